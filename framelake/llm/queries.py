@@ -5,13 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import simhash
+from framelake.llm import decontaminate, mixing, quality, simhash
 from framelake.llm.common import table
 
 
+def held_out(parts: int, part: int):
+    """Whether a document's id falls in the part that is never learned from; a null id is learned from nowhere either."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, its source's words and target, and the words that the mix takes of it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixing.taken(mixing.mix(docs, carry=["doc_id", "source"]))
+    return found.select(
+        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken")
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: SimHash of its 4-word shingles, and the smallest doc_id reachable over 4 or fewer differing bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     prints = simhash.with_fingerprint(docs).select("doc_id", "fingerprint")
     found = simhash.near_duplicates(prints)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Learned from labelled documents outside the held-out third."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
+    return quality.train(docs, labels)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the probability that its quality is 1, and whether its id was kept from learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.with_score(docs, quality_model(spark, docs, sf_dir))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words inside occurrences of benchmark windows, and the items whose windows occur."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
