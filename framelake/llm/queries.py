@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import decontaminate, mixing, quality, simhash
-from framelake.llm.common import table
+from framelake.llm import decontaminate, embedding, langid, mixing, passages, quality, sharding, simhash, sst, urls
+from framelake.llm.common import new_path, table
+
+#: Rules of the URL filter: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+ARRIVALS = 4
+
+
+def tokenizer_path() -> str:
+    """Place of the tokenizer that the corpus is encoded with, from the installed vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def held_out(parts: int, part: int):
@@ -14,6 +27,13 @@ def held_out(parts: int, part: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
 
 
+def op1_sst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, from the shards read back: ids before it, its ids with the end id, and their CRC-32."""
+    path = new_path(spark, "shards")
+    sst.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return sst.digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, its source's words and target, and the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -23,6 +43,36 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its language by a model of the documents outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~held_out(5, 0)))
+    found = langid.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents arrive in four commits and are compacted after each; per document of the last version: id, source and MD5 of the text."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.Store(spark, new_path(spark, "store"))
+    for k in range(ARRIVALS):
+        store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == k))
+        store.compact()
+        store.vacuum()
+    return store.read().select("doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
+
+
+def op5_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: links at cosine 0.98 inside its label, and the smallest vec_id reachable."""
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: host, path, the longest rule that fits, and its verdict."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: SimHash of its 4-word shingles, and the smallest doc_id reachable over 4 or fewer differing bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +81,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat, edits included, and where else they stand."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.repeated_passages(docs).withColumnRenamed("other", "other_doc_id")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
     """Learned from labelled documents outside the held-out third."""
     labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
