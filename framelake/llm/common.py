@@ -86,6 +86,13 @@ def key_runs(
         yield from handle(pa.Table.from_batches(carry).combine_chunks())
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of a batch stays small too."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def group_bounds(piece: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """First row and row after the last of each group in a sorted table."""
     changed = np.zeros(piece.num_rows, dtype=bool)

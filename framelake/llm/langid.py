@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framelake.llm.common import stored
+from framelake.llm.common import sliced, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -31,8 +31,8 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Settings:
     per_language: int = 3000
-    words: int = 60_000
-    grams: int = 30_000
+    words: int = 30_000
+    grams: int = 10_000
     longest: int = 5
 
 
@@ -47,21 +47,27 @@ class Model:
 
     def __init__(self, languages: list[str], counts: dict, totals: dict, settings: Settings):
         self.languages, self.settings = languages, settings
-        self.tables: list[dict[str, np.ndarray]] = []
+        self.tables: list[dict[str, int]] = []  # item -> row of the matrix of its length
+        self.logs: list[np.ndarray] = []
         for n in range(settings.longest + 1):
-            items: dict[str, np.ndarray] = {}
+            rows: dict[str, int] = {}
+            for lang in languages:
+                for item in counts.get((n, lang), {}):
+                    rows.setdefault(item, len(rows))
+            c = np.zeros((len(rows), len(languages)))
             for k, lang in enumerate(languages):
-                for item, c in counts.get((n, lang), {}).items():
-                    items.setdefault(item, np.zeros(len(languages)))[k] = c
+                for item, m in counts.get((n, lang), {}).items():
+                    c[rows[item], k] = m
             total = np.array([totals.get((n, lang), 0) for lang in languages], float)
-            self.tables.append({item: np.log((c + 0.5) / (total + 0.5 * (len(items) + 1))) for item, c in items.items()})
+            self.tables.append(rows)
+            self.logs.append(np.log((c + 0.5) / (total + 0.5 * (len(rows) + 1))))
         self.reset()
 
     def reset(self) -> None:
         self.rows, self.matrix, self.used = {}, np.zeros((1024, len(self.languages))), 0
 
     def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("languages", "settings", "tables")}
+        return {k: self.__dict__[k] for k in ("languages", "settings", "tables", "logs")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
@@ -71,11 +77,11 @@ class Model:
         """Log frequencies of a word by language."""
         found = self.tables[0].get(word)
         if found is not None:
-            return found
+            return self.logs[0][found]
         for n in range(self.settings.longest, 0, -1):
             known = [t for g in grams(word, n) if (t := self.tables[n].get(g)) is not None]
             if known:
-                return np.mean(known, axis=0)
+                return self.logs[n][known].mean(axis=0)
         return np.zeros(len(self.languages))
 
     def row(self, word: str) -> int:
@@ -93,7 +99,7 @@ class Model:
         words = LETTERS.findall((text or "").lower())
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        if self.used > 500_000:
+        if self.used > 200_000:
             self.reset()
         at = [self.rows.get(w, -1) for w in words]
         if -1 in at:
@@ -157,7 +163,7 @@ def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "l
     at, sent = kept.index(text), df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [sent.value.predict(t.as_py()) for t in batch.column(at)]
             columns = [pa.array([lang for lang, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, out, score])
