@@ -169,17 +169,33 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     return dealt.mapInArrow(_tile_links(radius), "u long, v long")
 
 
+def _classes(rows: DataFrame, radius: int) -> DataFrame:
+    """rows(id, fp) -> (fp, low, root, component_id) a distinct fingerprint: its least id, and its group's name and least id."""
+    prints, _ = stored(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
+    linked = connected_components(fingerprint_links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
+    linked, _ = stored(linked, "linked")
+    roots, _ = stored(prints.join(linked, "fp").groupBy("root").agg(F.min("low").alias("least")), "roots")
+    classes = prints.join(linked, "fp", "left").join(roots, "root", "left")
+    classes = classes.select("fp", "low", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "low").alias("component_id"))
+    return stored(classes, "classes")[0]
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", fp_col: str = "fingerprint", radius: int = 4) -> DataFrame:
     """df(id, fp) -> (id, fp, component_id): the smallest id reachable over links between fingerprints.
 
     Equal fingerprints are linked; rows with a null id take part and take the group's smallest id (null if it has none).
     """
     rows, _ = stored(df.select(F.col(id_col).alias("id"), F.col(fp_col).alias("fp")), "prints")
-    prints, _ = stored(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
-    linked = connected_components(fingerprint_links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
-    linked, _ = stored(linked, "linked")
-    roots = prints.join(linked, "fp").groupBy("root").agg(F.min("low").alias("least"))
-    classes, _ = stored(
-        prints.join(linked, "fp", "left").join(roots, "root", "left").select("fp", F.coalesce("least", "low").alias("component_id")), "classes"
-    )
+    classes = _classes(rows, radius).select("fp", "component_id")
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), F.col("fp").alias(fp_col), "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = 4, width: int = 4) -> DataFrame:
+    """df without near-duplicates: of each group the row with the least id stays, or any one row where all ids are null."""
+    rows, _ = stored(with_fingerprint(df, text, "__fp", width), "printed")
+    classes = _classes(rows.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp")), radius)
+    # a group's least id may stand under several of its fingerprints: take one
+    keep = classes.where("low <=> component_id").groupBy("root").agg(F.min("fp").alias("__fp"), F.first("component_id").alias("__keep"))
+    keep, _ = stored(keep.select("__fp", "__keep"), "keep")
+    kept = rows.join(keep, "__fp").where(F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")))
+    return kept.dropDuplicates(["__fp"]).select(*[F.col(f"`{c}`") for c in df.columns])
