@@ -129,7 +129,7 @@ def _slots(spark, sources: DataFrame, listed: list, shard_slots: int, seed: int)
             to = F.when(place < begin, to).otherwise(here)
         slots = slots.select("shard", F.when(F.col("t") < quota, F.struct(F.col("__sid").alias("sid"), F.col("t"))).otherwise(to).alias("s"))
         slots = slots.select("shard", F.col("s.sid").alias("__sid"), F.col("s.t").alias("t"))
-    slots = slots.join(sources.select("__sid", "__n"), "__sid")
+    slots = slots.join(F.broadcast(sources.select("__sid", "__n")), "__sid")  # a row a source
     key = f"{seed}, __sid, t div __n"
     turn = f"pmod(xxhash64({key}, r) - x, __n)"
     block = F.expr(
@@ -146,7 +146,33 @@ def taken(m: Mix) -> DataFrame:
         "__sid", "__start", "__size", F.explode(F.expr(f"sequence(__start div {size}, (__start + __size - 1) div {size})")).alias("block")
     )
     words = F.least(F.col("__start") + F.col("__size"), (F.col("block") + 1) * size) - F.greatest("__start", F.col("block") * size)
-    sums = parts.join(used.withColumnRenamed("sid", "__sid"), ["__sid", "block"]).groupBy("__sid", "__start").agg(F.sum(words * F.col("times")).alias("__taken"))
+    used = used.withColumnRenamed("sid", "__sid").hint("merge")  # grows with the mix: never to be broadcast on a guess of its size
+    sums = parts.join(used, ["__sid", "block"]).groupBy("__sid", "__start").agg(F.sum(words * F.col("times")).alias("__taken"))
     some = m.rows.where("__size > 0").join(sums, ["__sid", "__start"], "left")
     none = m.rows.where("__size = 0").withColumn("__taken", F.lit(None).cast("long"))
     return some.unionByName(none).withColumn("__taken", F.coalesce("__taken", F.lit(0).cast("long")))
+
+
+def mixed_documents(m: Mix, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The mix as documents: a row for each document and pass that takes words of it.
+
+    A text keeps the words of its taken blocks, in order, with the blanks that follow them; one that is taken whole stays
+    as it is. n_chars, if the column is there, is set anew. Documents without words are no part of a mix.
+    """
+    own = [c for c in m.rows.columns if not c.startswith("__")]
+    size = m.block
+    parts = m.rows.where("__size > 0").select(
+        "__sid", "__start", "__size", F.explode(F.expr(f"sequence(__start div {size}, (__start + __size - 1) div {size})")).alias("block")
+    )
+    lo = F.greatest("__start", F.col("block") * size) - F.col("__start")
+    hi = F.least(F.col("__start") + F.col("__size"), (F.col("block") + 1) * size) - F.col("__start")
+    parts = parts.select("__sid", "__start", "block", F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi")).alias("part"))
+    taken = parts.join(m.slots.select(F.col("sid").alias("__sid"), "pass", "block").hint("merge"), ["__sid", "block"])
+    taken = taken.groupBy("__sid", "__start", "pass").agg(F.array_sort(F.collect_list("part")).alias("__parts"))
+    rows = m.rows.where("__size > 0").join(taken, ["__sid", "__start"])
+    n = F.aggregate("__parts", F.lit(0), lambda a, p: a + p["hi"] - p["lo"])
+    words = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
+    cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(F.col("__words"), p["lo"] + 1, p["hi"] - p["lo"]))), "")
+    rows = rows.withColumn("__words", F.when(n < F.col("__size"), words)).withColumn("__text", F.when(F.col("__words").isNull(), F.col(f"`{text}`")).otherwise(cut))
+    new = {text: F.col("__text")} | ({n_chars: F.length("__text").cast(m.rows.schema[n_chars].dataType)} if n_chars in own else {})
+    return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in own])
