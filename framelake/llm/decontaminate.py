@@ -107,3 +107,9 @@ def judged(docs: DataFrame, bench: DataFrame, text: str = "text", width: int = 1
     n_words = F.size(words(F.col(text))).cast("long")
     none = F.array().cast("array<string>")
     return rows.select(*own, n_words.alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"))
+
+
+def clean(docs: DataFrame, bench: DataFrame, text: str = "text", width: int = 10, k: int = 5) -> DataFrame:
+    """docs without those that share a window with an item."""
+    found, _ = stored(contamination(docs, bench, text, width, k).select(F.col("key").alias("__key")), "contaminated")
+    return docs.join(found, F.md5(F.col(f"`{text}`")) == F.col("__key"), "left_anti")
