@@ -25,6 +25,7 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -175,46 +176,76 @@ class Shard:
         return found
 
 
-#: Texts with other characters, where libraries may differ on letters and blanks, or with the special token's string,
-#: are encoded whole; the rest piece by piece, with pieces' ids kept.
-PLAIN = re.compile("[\x00-\x1b\x20-\x84\x86-ɏ‐-‧]*")
+#: Characters whose class (letter, number, blank, other) is one and the same for every library.
+LETTER, NUMBER, BLANK = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", " \\t-\\r\xa0"
+PLAIN = re.compile("[\x01-\x1b\x20-\x84\x86-\u024f\u2010-\u2027]*")
+#: The tokenizer's pattern, a fixed value, over those characters.
+PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
 
 class Encoder:
     """byte_bpe_50k: token ids as little-endian bytes, those of tokenizers' encode(text, add_special_tokens=False).
 
-    The tokenizer splits a text into pieces by a pattern and encodes each for itself, so a piece's ids can be kept.
+    The tokenizer splits a text into pieces by a pattern and encodes each for itself, so the ids of pieces can be kept.
+    New pieces are encoded together, parted by line feeds, which are pieces of their own. Texts with characters outside
+    PLAIN or the special token's string are encoded whole. Once `most` pieces are kept, they become the old ones: those
+    that come again are kept anew, the rest go when the next `most` are full.
     """
 
-    MOST = 400_000
+    most = 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.pieces, self.kept = regex.compile(public_tokenizers.PATTERN).findall, {}
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # no piece is asked for twice
+        self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.feed = self._ids("\n")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _bytes(self, ids: Iterable[int]) -> bytes:
-        return np.fromiter(ids, f"<u{self.width}").tobytes()
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        lone = [p for p in new if p.isspace()]
+        more = list(new.difference(lone))
+        ids = np.array(self._ids("\n".join(more)), f"<u{self.width}") if more else np.zeros(0)
+        cuts = np.flatnonzero(ids == self.feed[0]) if len(self.feed) == 1 else []
+        if more and len(cuts) == len(more) - 1:
+            raw, at = ids.tobytes(), 0
+            for p, cut in zip(more, [*(cuts * self.width).tolist(), len(raw)], strict=True):
+                self.kept[p] = raw[at:cut]
+                at = cut + self.width
+        else:
+            lone = list(new)
+        for p in lone:
+            self.kept[p] = self._bytes(self._ids(p))
 
     def encode(self, text: str) -> bytes:
         if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        pieces = self.pieces(text)
-        kept = self.kept
-        new = [p for p in set(pieces) if p not in kept]
-        if new:
-            if len(kept) > self.MOST:
-                kept.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                kept[p] = self._bytes(e.ids)
-        return b"".join(map(kept.__getitem__, pieces))
+            return self._bytes(self._ids(text))
+        pieces = PIECE.findall(text)
+        if new := set(pieces).difference(self.kept):
+            if len(self.kept) + len(new) > self.most:
+                self.old, self.kept, new = self.kept, {}, set(pieces)
+            back = {p: self.old[p] for p in new if p in self.old}
+            self.kept |= back
+            if new := new.difference(back):
+                self._learn(new)
+        return b"".join(map(self.kept.__getitem__, pieces))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder a Python worker, so that later tasks find the pieces that earlier ones learned."""
+    return Encoder(path)
 
 
 def write_shards(df: DataFrame, path: str, tokenizer: str, ident: str = "doc_id", text: str = "text", end: int | None = 2, shard_bytes: int = SHARD_BYTES) -> None:
@@ -229,13 +260,13 @@ def write_shards(df: DataFrame, path: str, tokenizer: str, ident: str = "doc_id"
     rows = rows.repartitionByRange(max(1, -(-size // shard_bytes)), *order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        tail = b"" if end is None else encoder._bytes([end])
-        writer, out, held = ShardWriter(TaskContext.get().partitionId(), encoder.width), [], 0
+        ids_of = encoder(tokenizer)
+        tail = b"" if end is None else ids_of._bytes([end])
+        writer, out, held = ShardWriter(TaskContext.get().partitionId(), ids_of.width), [], 0
         pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["row"])
         for batch in batches:
             for ident, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-                for row in writer.add(key_of(ident), encoder.encode(text.as_py()) + tail):
+                for row in writer.add(key_of(ident), ids_of.encode(text.as_py()) + tail):
                     out.append(row)
                     held += len(row)
                 if held > 4 << 20:
