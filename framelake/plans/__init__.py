@@ -1 +1 @@
-
+"""Whole pipelines and the catalogue of registered queries."""

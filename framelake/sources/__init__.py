@@ -1 +1 @@
-
+"""Readers, writers and the registries that name them."""
