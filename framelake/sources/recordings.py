@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from framelake.shipping import ship
 from framelake.sources.decoding import BadRecording, as_json, decode, read_bag, read_mcap
 
 SCHEMA = "source_file string, topic string, type string, encoding string, seq long, log_time_ns long, publish_time_ns long, data string"
@@ -73,6 +74,7 @@ def read_recordings(spark: SparkSession, path: str | list[str], topics: list[str
 
     A file is a task's work. seq counts messages of a file, so (source_file, seq) is arrival order.
     """
+    ship(spark)
     wanted = set(topics) if topics else None
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.where(F.lower("path").rlike(r"\.(mcap|bag|rrd)$")).select("path", "content")
@@ -144,6 +146,7 @@ SOURCES: dict[str, type[DataSource]] = {"mcap": McapSource, "rosbag": BagSource,
 
 def register_sources(spark: SparkSession, more: dict[str, type[DataSource]] | None = None) -> list[str]:
     """Make the formats known to spark.read; returns their names."""
+    ship(spark)
     SOURCES.update(more or {})
     for cls in SOURCES.values():
         spark.dataSource.register(cls)

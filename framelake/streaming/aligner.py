@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from framelake.functions.clock import interval_ns
 from framelake.operators.align import bucketed
+from framelake.shipping import ship
 
 OUT = "source long, bucket_ns long, features array<string>, data array<array<float>>, n_messages long, complete boolean"
 STATE = "seqs array<long>, features array<string>, data array<array<float>>, n long, done boolean"
@@ -62,6 +63,7 @@ def aligned(messages: DataFrame, fps: int, required: list[str], window_frames: i
     complete tells frames whose features all came from those that the window closed. Per-feature data is in feature
     order; of a feature's messages the one with the highest seq counts.
     """
+    ship(messages.sparkSession)
     step_ns = interval or interval_ns(fps)
     window = window_frames * step_ns
     step = _fold(frozenset(required), window)
