@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.shipping import ship
+
 #: Fixed value: what the corpus tables call a word is a run of anything but these ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +41,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
+    ship(spark)
     return f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelake.llm.common import sliced, stored
+from framelake.shipping import ship
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -157,6 +158,7 @@ def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "l
 
     A null text, or one without letters, is `und` with score 0.
     """
+    ship(df.sparkSession)
     kept = [c for c in df.columns if c not in (out, score)]
     df = df.select(*[F.col(f"`{c}`") for c in kept])
     schema = df.select("*", F.lit("").alias(out), F.lit(0.0).alias(score)).schema
