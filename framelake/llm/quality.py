@@ -21,8 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.shipping import ship
+
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+|\n|_+")
-#: Tokens outside the vocabulary fall into classes of their own; capitals are added to a token's vector.
+#: Tokens outside the vocabulary fall into classes of their own, as do words that stand again beside or next but one to
+#: themselves; capitals are added to a token's vector.
 CLASSES = ("<letters>", "<marks>", "<digits>", "<line>", "<capitals>", "<again>")
 
 
@@ -51,7 +54,8 @@ class Model:
     temperature: float
 
     def rows(self, text: str) -> np.ndarray:
-        return np.fromiter(map(self.row, TOKEN.findall(text)), np.int64)
+        tokens = TOKEN.findall(text)
+        return _marked(np.fromiter(map(self.row, tokens), np.int64, len(tokens)), tokens, self.index["<again>"])
 
     def row(self, token: str) -> int:
         found = self.cache.get(token)
@@ -86,6 +90,15 @@ def _row(index: dict[str, int], half: int, token: str) -> int:
     return found + half * (len(token) > 1 and token.isupper())
 
 
+def _marked(rows: np.ndarray, tokens: list[str], again: int) -> np.ndarray:
+    """Words that repeat the token before, or the one before that, take the row `again`."""
+    at = [k for k, (c, b, a) in enumerate(zip(tokens, tokens[1:], tokens[2:], strict=False), 2) if (a == b or a == c) and a.isalpha()]
+    if len(tokens) > 1 and tokens[0] == tokens[1]:
+        at.append(1)
+    rows[at] = again
+    return rows
+
+
 def pooled(vectors: np.ndarray, rows: np.ndarray, text: str) -> np.ndarray:
     """Mean token vector, and the log of the token count and the share of repeated lines; zeros without tokens."""
     out = np.zeros(vectors.shape[1] + 2)
@@ -134,7 +147,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, s: Settings)
         often.update(t.lower() for t in x)
     names = [*CLASSES, *(w for w, _ in sorted(often.items(), key=lambda z: (-z[1], z[0]))[: s.vocab] if w not in CLASSES)]
     index = {w: k for k, w in enumerate(names)}
-    docs = [np.fromiter((_row(index, 0, t) for t in x), np.int64, len(x)) for x in tokens]
+    docs = [_marked(np.fromiter((_row(index, 0, t) for t in x), np.int64, len(x)), x, index["<again>"]) for x in tokens]
     vectors = _vectors(docs, names, s)
     vectors = np.concatenate([vectors, vectors + 3 * vectors[index["<capitals>"]]])
     model = Model(index, vectors.astype(np.float32), np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), 0.0, 1.0)
@@ -183,6 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
 
     Null ids, null labels and labels other than 0 and 1 are left out; an id labelled twice takes its lower label.
     """
+    ship(docs.sparkSession)
     marked = labels.where(f"doc_id IS NOT NULL AND {label} IN (0, 1)").groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
     there = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     picked = None
