@@ -24,6 +24,8 @@ from framelake.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 ROUNDS = 10
+#: Slots that one task places.
+TASK_SLOTS = 100_000
 
 
 @dataclass
@@ -118,6 +120,8 @@ def _slots(spark, sources: DataFrame, listed: list, shard_slots: int, seed: int)
             b += quota - n
     before = Window.partitionBy("__sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # by number, so that the few rows before the explosion do not end up in one task
+    based = based.repartition(max(1, -(-total // TASK_SLOTS)), "shard", "__sid")
     slots = based.select("shard", "__sid", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("t"))
     if over:
         quota = F.element_at(F.array(*[F.lit(r[5]).cast("long") for r in listed]), F.col("__sid") + 1)
