@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.functions import clock, media, names, values
-from framelake.operators import align, control, episodes, frames, mapping, merge, metadata, stats, validate
+from framelake.operators import align, control, episodes, frames, mapping, merge, metadata, stats, validate, video
 from framelake.sources.tables import event_messages, line_frames, table
 from framelake.streaming import aligner
 
@@ -587,3 +587,41 @@ def audio_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_frame_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = F.col("l_quantity").cast("long")
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", media.raw_bytes(F.lit("yuv420p"), w, F.lit(4)).alias("yuv"), media.raw_bytes(F.lit("rgb24"), w, F.lit(4)).alias("rgb"))
+
+
+def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.when(F.col("l_quantity") < 25, 640).otherwise(320)
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("episode_index"), F.lit("cam").alias("camera"), (F.col("l_orderkey") * 10000 + F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("frame_index"),
+        size.alias("width"), F.when(F.col("l_linenumber") == 7, 0).otherwise(240).alias("height"),
+    )
+
+
+_IMG = """im AS (SELECT l_suppkey AS episode_index, l_orderkey * 10000 + l_partkey * 8 + l_linenumber AS frame_index, CASE WHEN l_quantity < 25 THEN 640 ELSE 320 END AS width,
+  CASE WHEN l_linenumber = 7 THEN 0 ELSE 240 END AS height FROM lineitem), ok AS (SELECT *, first_value(CASE WHEN height > 0 THEN width END IGNORE NULLS)
+  OVER (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w FROM im)"""
+
+
+@query(f"WITH {_IMG} SELECT episode_index, count(*) FILTER (height > 0 AND width = w) AS kept, count(*) FILTER (NOT (height > 0 AND width = w)) AS skipped FROM ok GROUP BY 1")
+def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images that have the size of their episode's first one, and those skipped."""
+    return video.skipped(video.sized(_images(spark, sf_dir), ["episode_index"]), ["episode_index"])
+
+
+@query(f"WITH {_IMG}, f AS (SELECT episode_index, (row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1) // 45 AS fragment FROM im) SELECT episode_index, fragment, count(*) AS frames FROM f GROUP BY 1, 2")
+def video_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of each fragment: full at 60 frames or 1.5 seconds at 30 fps."""
+    out = video.fragments(_images(spark, sf_dir), ["episode_index"], "frame_index", 60, 1.5, 30)
+    return out.groupBy("episode_index", "fragment").agg(F.count("*").alias("frames"))
+
+
+@query(f"WITH {UN} SELECT batch, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS files FROM un GROUP BY batch")
+def unit_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _units(spark, sf_dir).groupBy("batch").agg(F.sum("size").alias("bytes"), F.count("*").alias("files"))
+
+
+@query("SELECT conv_id AS episode_index, count(*) AS length, min(turn) AS first, CAST(count(*) - 1 - max(turn) AS BIGINT) AS hole FROM conversations GROUP BY 1")
+def conversation_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as episodes: length, first frame, and whether frame numbers have holes."""
+    out = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("episode_index")).agg(F.count("*").alias("length"), F.min("turn").alias("first"), F.max("turn").alias("last"))
+    return out.select("episode_index", "length", "first", (F.col("length") - 1 - F.col("last")).alias("hole"))
