@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framelake.llm.common import sliced, stored
-from framelake.shipping import ship
+from framelake.llm.common import ready, sliced, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -98,7 +97,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall((text or "").lower())
-        if not words or not self.languages:
+        if not self.languages or not any(c.isalpha() for w in words for c in w):  # \w has other numbers than \d
             return UNKNOWN, 0.0
         if self.used > 200_000:
             self.reset()
@@ -158,7 +157,7 @@ def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "l
 
     A null text, or one without letters, is `und` with score 0.
     """
-    ship(df.sparkSession)
+    ready(df.sparkSession)
     kept = [c for c in df.columns if c not in (out, score)]
     df = df.select(*[F.col(f"`{c}`") for c in kept])
     schema = df.select("*", F.lit("").alias(out), F.lit(0.0).alias(score)).schema

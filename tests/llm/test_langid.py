@@ -31,7 +31,7 @@ def test_backoff():
 
 
 def test_odd_rows(spark):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "12 ?!", None), (None, "abc", "en"), (4, "abc", None), (5, "abc " * 30_000, "en"), (5, "abc", "en")]
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 ?! ²½", None), (None, "abc", "en"), (4, "abc", None), (5, "abc " * 30_000, "en"), (5, "abc", "en")]
     df = spark.createDataFrame([(*x, 0.5) for x in rows], "doc_id long, text string, lang string, score double")
     got = [r["lang_pred"] for r in langid.with_language(df, langid.train(df, SMALL)).collect()]
     assert got == ["und"] * 3 + ["en"] * 4
