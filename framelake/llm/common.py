@@ -18,8 +18,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 * 1024 * 1024
+
+
+def ready(spark: SparkSession) -> None:
+    """What Python operators need of a session: their code on the executors, and batches that stay small with long texts."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,7 +51,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
-    ship(spark)
+    ready(spark)
     return f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 

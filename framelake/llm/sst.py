@@ -36,8 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framelake.llm.common import stored
-from framelake.shipping import ship
+from framelake.llm.common import ready, stored
 
 MAGIC = b"FLSST001"
 FOOTER = struct.Struct("<8sIQQIQIQQI")
@@ -193,7 +192,7 @@ class Encoder:
     that come again are kept anew, the rest go when the next `most` are full.
     """
 
-    most = 400_000
+    most = 250_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -255,7 +254,7 @@ def write_shards(df: DataFrame, path: str, tokenizer: str, ident: str = "doc_id"
     A null text is empty; end, if any, closes every document. Rows with equal ids are all kept, ordered by a hash of
     their text. Other columns are left out.
     """
-    ship(df.sparkSession)
+    ready(df.sparkSession)
     rows = df.select(F.col(f"`{ident}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
