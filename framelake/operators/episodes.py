@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -35,19 +36,28 @@ def changes(frames: DataFrame, by: list[str], order: list[str], episode: str = "
     return out.where(F.col("previous").isNull() | (F.col("previous") != F.col(episode)))
 
 
+def _coarse(keys: DataFrame, key: str) -> Column:
+    """A coarser value in the order of key: ranges of integers, beginnings of strings, else the key itself."""
+    kind = keys.schema[key].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(key) / 65536)
+    return F.substring(key, 1, 4) if isinstance(kind, T.StringType) else F.col(key)
+
+
 def dense_numbers(keys: DataFrame, order: list[str], out: str = "episode_index") -> DataFrame:
     """0.. over the distinct keys in order. keys is a table of episodes or files, not of rows.
 
-    Ranges are numbered inside partitions, and a partition's first number comes from the sizes of those before it, so
-    that no task sorts the whole table.
+    Keys are numbered inside ranges of the first one, and a range's first number is the running sum of the sizes of
+    those before it: only the list of ranges is put in order in one task.
     """
-    keys = keys.dropDuplicates(order)
-    cut = keys.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    inside = Window.partitionBy("__part").orderBy(*order)
-    cut = cut.withColumn("__n", F.row_number().over(inside))
-    sizes = cut.groupBy("__part").agg(F.max("__n").alias("size"))
-    base = sizes.withColumn("__base", F.coalesce(F.sum("size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return cut.join(base.select("__part", "__base"), "__part").withColumn(out, F.col("__base") + F.col("__n") - 1).drop("__part", "__n", "__base")
+    keys = keys.select(*order).distinct().withColumn("__range", _coarse(keys, order[0]))
+    inside = Window.partitionBy("__range").orderBy(*order)
+    sizes = keys.groupBy("__range").agg(F.count("*").alias("__size"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"))
+    placed = keys.withColumn("__n", F.row_number().over(inside))
+    found = placed.join(bases.withColumnRenamed("__range", "__of"), F.col("__range").eqNullSafe(F.col("__of")))
+    return found.select(*order, (F.col("__base") + F.col("__n") - 1).alias(out))
 
 
 def reindexed(rows: DataFrame, episode: str, order: list[str]) -> DataFrame:
