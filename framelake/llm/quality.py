@@ -21,19 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.shipping import ship
+from framelake.llm.common import ready
 
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+|\n|_+")
 #: Tokens outside the vocabulary fall into classes of their own, as do words that stand again beside or next but one to
 #: themselves; capitals are added to a token's vector.
 CLASSES = ("<letters>", "<marks>", "<digits>", "<line>", "<capitals>", "<again>")
+#: How much capitals weigh beside the token itself.
+CAPITALS = 3
 
 
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 3000
-    vocab: int = 20_000
-    dim: int = 128
+    vocab: int = 10_000
+    dim: int = 96
     nonzero: int = 8
     reach: int = 2
     hidden: int = 32
@@ -44,7 +46,7 @@ class Settings:
 @dataclass
 class Model:
     index: dict[str, int]
-    vectors: np.ndarray  # a row a token, then as many rows for the same tokens in capitals
+    vectors: np.ndarray  # a row a token; rows beyond them stand for the same tokens in capitals
     mean: np.ndarray
     scale: np.ndarray
     w1: np.ndarray
@@ -55,14 +57,16 @@ class Model:
 
     def rows(self, text: str) -> np.ndarray:
         tokens = TOKEN.findall(text)
-        return _marked(np.fromiter(map(self.row, tokens), np.int64, len(tokens)), tokens, self.index["<again>"])
+        rows = np.fromiter(map(self.row, tokens), np.int64, len(tokens))
+        rows[_repeats(tokens)] = self.index["<again>"]
+        return rows
 
     def row(self, token: str) -> int:
         found = self.cache.get(token)
         if found is None:
-            if len(self.cache) > 300_000:
+            if len(self.cache) > 100_000:
                 self.cache.clear()
-            found = self.cache[token] = _row(self.index, len(self.vectors) // 2, token)
+            found = self.cache[token] = _row(self.index, len(self.vectors), token)
         return found
 
     def pooled(self, text: str) -> np.ndarray:
@@ -90,25 +94,25 @@ def _row(index: dict[str, int], half: int, token: str) -> int:
     return found + half * (len(token) > 1 and token.isupper())
 
 
-def _marked(rows: np.ndarray, tokens: list[str], again: int) -> np.ndarray:
-    """Words that repeat the token before, or the one before that, take the row `again`."""
+def _repeats(tokens: list[str]) -> list[int]:
+    """Places of words that repeat the token before, or the one before that."""
     at = [k for k, (c, b, a) in enumerate(zip(tokens, tokens[1:], tokens[2:], strict=False), 2) if (a == b or a == c) and a.isalpha()]
-    if len(tokens) > 1 and tokens[0] == tokens[1]:
-        at.append(1)
-    rows[at] = again
-    return rows
+    return [1, *at] if len(tokens) > 1 and tokens[0] == tokens[1] and tokens[0].isalpha() else at
 
 
 def pooled(vectors: np.ndarray, rows: np.ndarray, text: str) -> np.ndarray:
     """Mean token vector, and the log of the token count and the share of repeated lines; zeros without tokens."""
     out = np.zeros(vectors.shape[1] + 2)
     if len(rows):
+        capitals = rows >= len(vectors)
+        rows = np.where(capitals, rows - len(vectors), rows)
         if len(rows) > 512:  # weigh each distinct token by its count
             counts = np.bincount(rows)
             used = np.flatnonzero(counts)
             out[:-2] = counts[used] @ vectors[used] / len(rows)
         else:
             out[:-2] = vectors[rows].mean(axis=0)
+        out[:-2] += CAPITALS * vectors[CLASSES.index("<capitals>")] * capitals.mean()
         lines = [x for x in text.split("\n") if x.strip()]
         out[-2] = np.log1p(len(rows))
         out[-1] = 1 - len(set(lines)) / len(lines) if lines else 0
@@ -130,27 +134,38 @@ def _vectors(docs: list[np.ndarray], names: list[str], s: Settings) -> np.ndarra
     for ids in docs:
         for gap in range(1, s.reach + 1):
             for a, b in ((ids[:-gap], ids[gap:]), (ids[gap:], ids[:-gap])):
-                if len(a):
-                    np.add.at(context, (a[:, None] * s.dim + at[b]).ravel(), sign[b].ravel() / gap)
+                for k in range(0, len(a), 4096):
+                    x, y = a[k : k + 4096].astype(np.int64), b[k : k + 4096]
+                    np.add.at(context, (x[:, None] * s.dim + at[y]).ravel(), sign[y].ravel() / gap)
     context = context.reshape(size, s.dim)
     context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
-    own = np.zeros((size, s.dim))
-    np.put_along_axis(own, at, sign / np.sqrt(s.nonzero), axis=1)
-    return own + context
+    context[np.arange(size)[:, None], at] += sign / np.sqrt(s.nonzero)
+    return context.astype(np.float32)
 
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, s: Settings) -> Model:
     """weights: what a row stands for, so that probabilities follow the classes' shares in the corpus."""
-    tokens = [TOKEN.findall(t) for t in texts]
-    often = Counter()
-    for x in tokens:
-        often.update(t.lower() for t in x)
-    names = [*CLASSES, *(w for w, _ in sorted(often.items(), key=lambda z: (-z[1], z[0]))[: s.vocab] if w not in CLASSES)]
+    seen: dict[str, int] = {}  # each token once; texts become numbers
+    numbers, repeats, total = [], [], Counter()
+    for t in texts:
+        tokens = TOKEN.findall(t)
+        numbers.append(np.fromiter((seen.setdefault(x, len(seen)) for x in tokens), np.int32, len(tokens)))
+        repeats.append(np.array(_repeats(tokens), np.int32))
+    counts = np.zeros(len(seen), np.int64)
+    for x in numbers:
+        np.add.at(counts, x, 1)
+    for token, k in seen.items():
+        total[token.lower()] += int(counts[k])
+    names = [*CLASSES, *(w for w, _ in sorted(total.items(), key=lambda z: (-z[1], z[0]))[: s.vocab] if w not in CLASSES)]
     index = {w: k for k, w in enumerate(names)}
-    docs = [_marked(np.fromiter((_row(index, 0, t) for t in x), np.int64, len(x)), x, index["<again>"]) for x in tokens]
+    row = np.fromiter((_row(index, 0, t) for t in seen), np.int32, len(seen))
+    docs = []
+    for x, at in zip(numbers, repeats, strict=True):
+        docs.append(row[x])
+        docs[-1][at] = index["<again>"]
+    del seen, numbers, repeats, total
     vectors = _vectors(docs, names, s)
-    vectors = np.concatenate([vectors, vectors + 3 * vectors[index["<capitals>"]]])
-    model = Model(index, vectors.astype(np.float32), np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), 0.0, 1.0)
+    model = Model(index, vectors, np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), 0.0, 1.0)
     x = np.stack([model.pooled(t) for t in texts]) if texts else np.zeros((0, s.dim + 2))
     model.mean, model.scale = (x.mean(axis=0), x.std(axis=0) + 1e-3) if len(x) else (np.zeros(s.dim + 2), np.ones(s.dim + 2))
     r = np.random.default_rng(s.seed)
@@ -196,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
 
     Null ids, null labels and labels other than 0 and 1 are left out; an id labelled twice takes its lower label.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     marked = labels.where(f"doc_id IS NOT NULL AND {label} IN (0, 1)").groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
     there = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     picked = None
@@ -237,5 +252,6 @@ def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "scor
         for batch in batches:
             found = sent.value.scores([t or "" for t in batch.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, out])
+        sent.value.cache.clear()  # the worker lives on
 
     return df.mapInArrow(run, schema)
