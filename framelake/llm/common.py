@@ -50,9 +50,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+#: Scratch tables that have not been dropped.
+_SCRATCH: list[str] = []
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
     ready(spark)
-    return f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def made_since(n: int) -> list[str]:
+    """Scratch tables made after the first n; made_since(0) are all that haven't been dropped."""
+    return _SCRATCH[n:]
 
 
 def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
@@ -65,6 +75,8 @@ def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
 def dropped(spark: SparkSession, path: str | None) -> None:
     """Remove a scratch table that nothing reads any more."""
     if path:
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 

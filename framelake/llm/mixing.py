@@ -30,7 +30,7 @@ TASK_SLOTS = 100_000
 
 @dataclass
 class Mix:
-    rows: DataFrame  # the input's columns and __sid, __size, __start, __source_size, __target
+    rows: DataFrame  # the carried columns and __h, __h2 (hashes of all columns), __sid, __size, __start, __source_size, __target
     slots: DataFrame  # shard, place, sid, pass, block
     block: int
 
@@ -68,10 +68,10 @@ def mix(
     spark = df.sparkSession
     df = df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("__")])
     every = [F.col(f"`{c}`") for c in df.columns]
-    rows = df.withColumn("__size", size_of(F.col(text))).withColumn("__h", F.xxhash64(F.lit(seed), *every))
+    rows = _hashed(df, seed).withColumn("__size", size_of(F.col(text)))
     carried = df.columns if carry is None else [c for c in df.columns if c in carry]
     every = [F.col(f"`{c}`") for c in carried]
-    rows = rows.select(*every, "__size", "__h")
+    rows = rows.select(*every, "__size", "__h", "__h2")
     rows, _ = stored(rows, "sized")
     own = rows.groupBy(F.col(source).alias("source")).agg(F.sum("__size").alias("size")).collect()  # a row per source
     own = sorted(((r["source"], r["size"]) for r in own), key=lambda r: (r[0] is None, (r[0] or "").encode()))
@@ -86,13 +86,19 @@ def mix(
     sums = named.groupBy("__sid", "__bucket").agg(F.sum("__size").alias("__sum"))
     before = Window.partitionBy("__sid").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases, _ = stored(sums.select("__sid", "__bucket", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base")), "bases")
-    inside = Window.partitionBy("__sid", "__bucket").orderBy("__h", *every).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__sid", "__bucket").orderBy("__h", "__h2").rowsBetween(Window.unboundedPreceding, -1)
     placed = named.withColumn("__in", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
     placed = placed.join(bases, ["__sid", "__bucket"]).withColumn("__start", F.col("__base") + F.col("__in"))
-    placed, _ = stored(placed.select(*every, "__sid", "__size", "__start", "__source_size", "__target"), "placed")
+    placed, _ = stored(placed.select(*every, "__h", "__h2", "__sid", "__size", "__start", "__source_size", "__target"), "placed")
     return Mix(placed, _slots(spark, sources, listed, shard_slots, seed), block)
 
 
+def _hashed(df: DataFrame, seed: int) -> DataFrame:
+    """df with 128 bits that name a row by its content; rows that agree in all columns share them."""
+    every = [F.col(f"`{c}`") for c in df.columns]
+    return df.withColumns({"__h": F.xxhash64(F.lit(seed), *every), "__h2": F.xxhash64(F.lit(seed + 1), *every)})
+
+
 def _draw(listed: list, total: int, key: Column) -> Column:
     """Index of the source in whose part of 0..total-1 a hash falls."""
     ends, at = [], 0
@@ -157,26 +163,30 @@ def taken(m: Mix) -> DataFrame:
     return some.unionByName(none).withColumn("__taken", F.coalesce("__taken", F.lit(0).cast("long")))
 
 
-def mixed_documents(m: Mix, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """The mix as documents: a row for each document and pass that takes words of it.
+def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", n_chars: str = "n_chars", seed: int = 11, **options) -> DataFrame:
+    """The mix of df as documents: a row for each document and pass that takes words of it.
 
     A text keeps the words of its taken blocks, in order, with the blanks that follow them; one that is taken whole stays
-    as it is. n_chars, if the column is there, is set anew. Documents without words are no part of a mix.
+    as it is. n_chars, if the column is there, is set anew. Documents without words are no part of a mix. The mix is made
+    on narrow rows; texts are shuffled once, to meet what is taken of them.
     """
-    own = [c for c in m.rows.columns if not c.startswith("__")]
+    own = [c for c in df.columns if not c.startswith("__")]
+    m = mix(df, text, source, seed=seed, carry=[source], **options)
     size = m.block
     parts = m.rows.where("__size > 0").select(
-        "__sid", "__start", "__size", F.explode(F.expr(f"sequence(__start div {size}, (__start + __size - 1) div {size})")).alias("block")
+        "__h", "__h2", "__start", "__sid", "__size", F.explode(F.expr(f"sequence(__start div {size}, (__start + __size - 1) div {size})")).alias("block")
     )
     lo = F.greatest("__start", F.col("block") * size) - F.col("__start")
     hi = F.least(F.col("__start") + F.col("__size"), (F.col("block") + 1) * size) - F.col("__start")
-    parts = parts.select("__sid", "__start", "block", F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi")).alias("part"))
+    parts = parts.withColumn("part", F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi")))
     taken = parts.join(m.slots.select(F.col("sid").alias("__sid"), "pass", "block").hint("merge"), ["__sid", "block"])
-    taken = taken.groupBy("__sid", "__start", "pass").agg(F.array_sort(F.collect_list("part")).alias("__parts"))
-    rows = m.rows.where("__size > 0").join(taken, ["__sid", "__start"])
+    taken = taken.groupBy("__h", "__h2", "__size", "__start", "pass").agg(F.array_sort(F.collect_list("part")).alias("__parts"))
+    taken, _ = stored(taken, "taken")
+    texts = _hashed(df.select(*[F.col(f"`{c}`") for c in own]), seed).dropDuplicates(["__h", "__h2"])
+    rows = texts.join(taken.hint("merge"), ["__h", "__h2"])
     n = F.aggregate("__parts", F.lit(0), lambda a, p: a + p["hi"] - p["lo"])
     words = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
     cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(F.col("__words"), p["lo"] + 1, p["hi"] - p["lo"]))), "")
     rows = rows.withColumn("__words", F.when(n < F.col("__size"), words)).withColumn("__text", F.when(F.col("__words").isNull(), F.col(f"`{text}`")).otherwise(cut))
-    new = {text: F.col("__text")} | ({n_chars: F.length("__text").cast(m.rows.schema[n_chars].dataType)} if n_chars in own else {})
+    new = {text: F.col("__text")} | ({n_chars: F.length("__text").cast(df.schema[n_chars].dataType)} if n_chars in own else {})
     return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in own])

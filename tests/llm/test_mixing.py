@@ -52,3 +52,16 @@ def test_empty(spark):
     df, _ = docs(spark, 10)
     assert mixing.taken(mixing.mix(df.limit(0))).count() == 0
     assert [r["__taken"] for r in mixing.taken(mixing.mix(df.where("text IS NULL OR text = ''"))).collect()] == [0, 0]
+
+
+def test_mixed_documents_are_the_mix(spark):
+    df, rows = docs(spark)
+    m = mixing.mix(df, block=16, shard_slots=50)
+    took = {}
+    for r in mixing.taken(m).collect():
+        took[r["doc_id"]] = took.get(r["doc_id"], 0) + r["__taken"]
+    got = {}
+    for r in mixing.mixed_documents(df, block=16, shard_slots=50).collect():
+        assert r.asDict().keys() == dict.fromkeys(df.columns).keys()
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(re.findall(mixing.WORD, r["text"]))
+    assert got == {k: n for k, n in took.items() if n}
