@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from framelake.llm.common import LOWER, UPPER, stored
 
-PART_ROWS = 50_000
+PART_ROWS = 2_000
 
 
 def host_of(url: Column) -> Column:
