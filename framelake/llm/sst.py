@@ -192,7 +192,7 @@ class Encoder:
     that come again are kept anew, the rest go when the next `most` are full.
     """
 
-    most = 250_000
+    most = 320_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
