@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of rows that go to a Python worker at once.
 BATCH_BYTES = 8 * 1024 * 1024
+#: Keys at most that a table is sent for to every task, as too many rows have them; and rows a key has at least then.
+HOT_KEYS, LEAST_HOT = 20_000, 100
+#: Rows of a few dozen bytes each that a broadcast may have.
+BROADCAST_ROWS = 200_000
 
 
 def ready(spark: SparkSession) -> None:
@@ -50,19 +57,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
-#: Scratch tables that have not been dropped.
-_SCRATCH: list[str] = []
+#: Scratch tables of the block that runs in this context.
+_MADE: ContextVar[list[str] | None] = ContextVar("framelake_scratch", default=None)
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
     ready(spark)
-    _SCRATCH.append(f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}")
-    return _SCRATCH[-1]
-
-
-def made_since(n: int) -> list[str]:
-    """Scratch tables made after the first n; made_since(0) are all that haven't been dropped."""
-    return _SCRATCH[n:]
+    path = f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
 
 
 def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
@@ -75,12 +79,80 @@ def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
 def dropped(spark: SparkSession, path: str | None) -> None:
     """Remove a scratch table that nothing reads any more."""
     if path:
-        if path in _SCRATCH:
-            _SCRATCH.remove(path)
+        made = _MADE.get()
+        if made and path in made:
+            made.remove(path)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def folders_read(df: DataFrame) -> set[str]:
+    """Root paths of the file tables that a plan reads; a few, however many files they have."""
+    found, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            roots = leaf.relation().location().rootPaths()
+            found |= {roots.apply(i).toUri().getPath() for i in range(roots.size())}
+    return found
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside go when the block ends."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            dropped(spark, path)
+
+
+def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """f(spark, ...) -> DataFrame; of its scratch tables only those stay that the result still has to read."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, *args, **options) -> DataFrame:
+        made: list[str] = []
+        before, token = _MADE.get(), _MADE.set(made)
+        try:
+            out = f(spark, *args, **options)
+            needed = folders_read(out)
+        except BaseException:
+            needed = set()
+            raise
+        finally:
+            _MADE.reset(token)
+            for path in made:
+                if spark._jvm.java.net.URI(path).getPath() in needed:
+                    if before is not None:
+                        before.append(path)
+                else:
+                    dropped(spark, path)
+        return out
+
+    return run
+
+
+def checked_broadcast(table: DataFrame, n: int) -> DataFrame:
+    """A narrow table of n rows, to be joined: sent to every task if n allows, else met in a merge join."""
+    return F.broadcast(table) if n <= BROADCAST_ROWS else table.hint("merge")
+
+
+def split_join(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """rows joined with table, which has a row a key and, as n, how many of the `total` rows have it.
+
+    A key with many rows would put them all in one task; there are at most HOT_KEYS such keys, so these are sent to
+    every task, and all others meet in a merge join. n is left out of the result.
+    """
+    limit = max(LEAST_HOT, -(-total // HOT_KEYS))
+    hot = F.broadcast(table.where(F.col(n) > limit).drop(n))
+    cold = table.where(F.col(n) <= limit).drop(n)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold.hint("merge"), keys))
+
+
 def key_runs(
     batches: Iterator[pa.RecordBatch], keys: list[str], handle: Callable[[pa.Table], Iterator[pa.RecordBatch]]
 ) -> Iterator[pa.RecordBatch]:

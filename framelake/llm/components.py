@@ -1,7 +1,9 @@
 """Connected components of a link table by alternating large-star and small-star steps.
 
-Both steps are joins and minimum aggregates. No vertex's neighbours are gathered in one row, and every round is
-written to the shared folder, so that lineage stays short and a lost executor costs at most a round.
+Both steps are joins and minimum aggregates. No vertex's neighbours are gathered in one row. The minimum of a vertex with
+many neighbours, the centre of a star above all, is sent to every task, where its rows are; there are few such
+vertices, as together they have twice the links at most. Every round is written to the shared folder, so that lineage
+stays short and a lost executor costs at most a round.
 """
 
 from __future__ import annotations
@@ -9,19 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.common import dropped, stored
+from framelake.llm.common import dropped, split_join, stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> tuple[DataFrame, str]:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    low, path = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+    # larger neighbours only: of an edge, the row that begins at its lower end
+    up = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    near = split_join(up, low, ["u"], "n", 2 * n)
+    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), path
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    near = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return near.union(low.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(edges: DataFrame, n: int) -> tuple[DataFrame, str]:
+    low, path = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+    near = split_join(edges, low, ["u"], "n", n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return near.union(low.select("u", F.col("m").alias("v"))).distinct(), path
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -41,9 +46,13 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen[0]:
             break
-        new, new_path = stored(_small_star(_large_star(edges)), "links")
+        large, large_low = _large_star(edges, seen[0])
+        large, large_path = stored(large, "links")
+        small, small_low = _small_star(large, seen[0])
+        new, new_path = stored(small, "links")
         now = _mark(new)
-        dropped(spark, path)
+        for gone in (path, large_low, large_path, small_low):
+            dropped(spark, gone)
         edges, path = new, new_path
         if now == seen:
             break

@@ -9,7 +9,7 @@ any 0..n-1 without a table); each further pass over the blocks uses another perm
 (source, block).
 
 Nothing is ordered or numbered in one task: stream positions come from sums per (source, hash bucket) and a running
-sum inside each bucket. Only the list of sources, a row each, comes to the driver.
+sum inside each bucket, and a source's slots from sums per run of shards and a running sum inside each run. Only the list of sources, a row each, comes to the driver.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ WEIGHTS = (5, 2, 1)
 ROUNDS = 10
 #: Slots that one task places.
 TASK_SLOTS = 100_000
+#: Shards whose draws are added up in one window.
+RUN = 1024
 
 
 @dataclass
@@ -124,8 +126,14 @@ def _slots(spark, sources: DataFrame, listed: list, shard_slots: int, seed: int)
         elif n < quota:
             lack.append((b, row[0], n))
             b += quota - n
-    before = Window.partitionBy("__sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    based = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # running sums over runs of RUN shards, and inside each run: no task has a source's shards all together
+    counts = counts.withColumn("run", F.expr(f"shard div {RUN}"))
+    runs = counts.groupBy("__sid", "run").agg(F.sum("n").alias("all"))
+    upto = Window.partitionBy("__sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs, _ = stored(runs.select("__sid", "run", F.coalesce(F.sum("all").over(upto), F.lit(0)).alias("before")), "runs")
+    inside = Window.partitionBy("__sid", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    based = counts.withColumn("in", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(runs, ["__sid", "run"])
+    based = based.withColumn("base", F.col("before") + F.col("in"))
     # by number, so that the few rows before the explosion do not end up in one task
     based = based.repartition(max(1, -(-total // TASK_SLOTS)), "shard", "__sid")
     slots = based.select("shard", "__sid", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("t"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import decontaminate, embedding, langid, mixing, passages, quality, sharding, simhash, sst, urls
-from framelake.llm.common import new_path, table
+from framelake.llm.common import new_path, table, tidy
 
 #: Rules of the URL filter: host, path, verdict.
 URL_RULES = [
@@ -27,6 +27,7 @@ def held_out(parts: int, part: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
 
 
+@tidy
 def op1_sst(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, from the shards read back: ids before it, its ids with the end id, and their CRC-32."""
     path = new_path(spark, "shards")
@@ -34,6 +35,7 @@ def op1_sst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sst.digests(spark, path).withColumnRenamed("id", "doc_id")
 
 
+@tidy
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, its source's words and target, and the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -43,6 +45,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@tidy
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its language by a model of the documents outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -51,6 +54,7 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
 
 
+@tidy
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arrive in four commits and are compacted after each; per document of the last version: id, source and MD5 of the text."""
     docs = table(spark, sf_dir, "documents")
@@ -62,17 +66,20 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@tidy
 def op5_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vector: links at cosine 0.98 inside its label, and the smallest vec_id reachable."""
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
+@tidy
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page: host, path, the longest rule that fits, and its verdict."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@tidy
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: SimHash of its 4-word shingles, and the smallest doc_id reachable over 4 or fewer differing bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,6 +88,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@tidy
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat, edits included, and where else they stand."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -93,6 +101,7 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.train(docs, labels)
 
 
+@tidy
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the probability that its quality is 1, and whether its id was kept from learning."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,10 +109,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@tidy
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words inside occurrences of benchmark windows, and the items whose windows occur."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),

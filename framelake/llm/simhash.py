@@ -6,10 +6,16 @@ planes, 64 fingerprints to a word, and counts differing bits of all lanes at onc
 lanes have all passed the radius leave the tile early. A key that more rows share than a tile holds is cut into
 blocks, and each pair of blocks is a tile of its own: work spreads over tasks and no pair is lost. A tile returns a
 spanning set of its links, never all pairs.
+
+A radius of a few bits of 64 holds little but copies. `one_of_each`, for shingles of five words and a similarity of 0.8,
+takes 256 bits: texts of that similarity differ in 39 bits on the average, and texts that share nothing in 128. Keys
+are then bands of bits, in a number that leaves one pair of SPLIT_MISS unfound; tiles compare bit planes as above; and
+each link of a tile's nearest-first spanning forest is checked on the texts' shingles themselves.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,30 +25,66 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.common import group_bounds, key_runs, spanning_links, stored
+from framelake.llm.common import checked_broadcast, group_bounds, key_runs, ready, sliced, spanning_links, split_join, stored
 from framelake.llm.components import connected_components
 
 SEED = 42
 TILE = 1024
 #: Mean rows of a key above which fingerprints are cut into more blocks.
 MEAN_KEY_ROWS = 4096
+#: 64-bit words of a wide fingerprint, the share of pairs at the threshold that bands may miss, and rows of a band's key on the average.
+WIDE, SPLIT_MISS, BAND_ROWS = 4, 0.005, 512
 
 
-def fingerprint(text: bytes | None, width: int = 4) -> int:
-    """Bit i is set where over half of the shingles' hashes have it; 0 if there is no word."""
-    words = (text or b"").lower().split()  # bytes: A-Z only, and ASCII blanks only
-    if not words:
-        return 0
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()  # bytes: A-Z only, and ASCII blanks only
+
+
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """XXH64 of every `width` words in a row, or of all words of a shorter text."""
     joined, n = b" ".join(words), max(1, len(words) - width + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.append(0, ends[: n - 1] + 1)
     one = xxhash.xxh64_intdigest
-    hashes = np.fromiter((one(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends[len(words) - n :].tolist(), strict=True)), np.uint64, n)
-    counts = np.zeros(64, np.int64)
+    return np.fromiter((one(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends[len(words) - n :].tolist(), strict=True)), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """Hashes (n x words) -> words: bit i is set where over half of the n hashes have it."""
+    hashes = hashes.reshape(len(hashes), -1)
+    n, counts = len(hashes), np.zeros(64 * hashes.shape[1], np.int64)
     for k in range(0, n, 4096):
-        part = hashes[k : k + 4096].view(np.uint8).reshape(-1, 8)
+        part = np.ascontiguousarray(hashes[k : k + 4096]).view(np.uint8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return np.packbits(2 * counts > n, bitorder="little").view("<u8")
+
+
+def fingerprint(text: bytes | None, width: int = 4) -> int:
+    """The majority of the shingles' hashes; 0 if there is no word."""
+    words = words_of(text)
+    return int(majority(shingle_hashes(words, width))[0]) if words else 0
+
+
+def shingle_set(words: list[bytes], width: int) -> np.ndarray:
+    """Distinct 64-bit hashes of every `width` words in a row, or of all words of a shorter text; mixed from word hashes."""
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    width = min(width, len(words))
+    n = len(words) - width + 1
+    h = np.full(n if width else 0, np.uint64(width))
+    for j in range(width):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + one[j : j + n]
+        h ^= h >> np.uint64(29)
+    return np.unique(h)
+
+
+def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
+    """WIDE fingerprints of a set of shingles, each by hashes that are mixed anew; zeros if it is empty."""
+    if not len(shingles):
+        return np.zeros(WIDE, np.uint64)
+    x = shingles[:, None] + np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WIDE + 1, dtype=np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return majority(x ^ (x >> np.uint64(31)))
 
 
 def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", width: int = 4) -> DataFrame:
@@ -62,25 +104,26 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint"
 
 
 def _over(planes: np.ndarray, rows: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes (rows x words, bits) of planes (64 x words) that differ from each row in more than radius bits."""
+    """Lanes (rows x words, bits) of planes (bits x words) that differ from each of rows (n x bits / 64) in more than radius bits."""
     need = max(1, radius.bit_length())
-    n, words = len(rows), planes.shape[1]
+    n, (bits, words) = len(rows), planes.shape
     out = np.full((n, words), ~np.uint64(0))
     alive = np.arange(n)
-    masks = np.where((rows[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), ~np.uint64(0), np.uint64(0))
+    spread = (rows[:, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    masks = np.where(spread.reshape(n, bits).T, ~np.uint64(0), np.uint64(0))
     digits = [np.zeros((n, words), np.uint64) for _ in range(need)]
     full = np.zeros((n, words), np.uint64)  # lanes whose counter has run over
-    for p in range(64):
+    for p in range(bits):
         carry = planes[p][None, :] ^ masks[p][alive][:, None]
         for d in digits:
             was = d & carry
             d ^= carry
             carry = was
         full |= carry
-        if p % 8 == 7 and p > 15:
+        if p == bits - 1 or (p % 8 == 7 and p > max(15, radius)):
             passed = full | _above(digits, radius)
             live = (passed != ~np.uint64(0)).any(axis=1)
-            if p == 63:
+            if p == bits - 1:
                 out[alive] = passed
             elif not live.all():
                 alive, full, digits = alive[live], full[live], [d[live] for d in digits]
@@ -102,11 +145,12 @@ def _above(digits: list[np.ndarray], radius: int) -> np.ndarray:
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two uint64 arrays whose values differ in at most radius bits."""
-    words = -(-len(b) // 64)
-    bits = np.zeros((64, words * 64), bool)
-    bits[:, : len(b)] = (b[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1)
-    planes = np.packbits(bits, axis=1, bitorder="little").view("<u8")
+    """Index pairs of two uint64 arrays (a value a row, or a row of words each) that differ in at most radius bits."""
+    a, b = a.reshape(len(a), -1), b.reshape(len(b), -1)
+    lanes, bits = -(-len(b) // 64), 64 * b.shape[1]
+    flags = np.zeros((bits, lanes * 64), bool)
+    flags[:, : len(b)] = ((b[:, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).reshape(len(b), bits).T
+    planes = np.packbits(flags, axis=1, bitorder="little").view("<u8")
     over = _over(planes, a, radius)
     near = np.unpackbits((~over).view(np.uint8), axis=1, bitorder="little")[:, : len(b)]
     return np.nonzero(near)
@@ -156,46 +200,221 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     masks = [sum(((1 << cuts[k + 1]) - (1 << cuts[k])) for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("c", "key"))
+    dealt = _dealt(keyed, "fp", ["fp"], tile)
+    return dealt.mapInArrow(_tile_links(radius), "u long, v long")
+
+
+def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int) -> DataFrame:
+    """Rows of (c, key) dealt to tiles (i, j): blocks of a key that has more rows than a tile holds, each with itself and each other."""
+    keys = ["c", "key", "i", "j"]
     hot = keyed.groupBy("c", "key").count().where(F.col("count") > tile)
     parts = F.ceil(F.coalesce("count", F.lit(1)) / F.lit(tile)).cast("int")
     dealt = (
         keyed.join(hot, ["c", "key"], "left")
-        .select("c", "key", "fp", parts.alias("m"))
-        .withColumn("x", F.pmod(F.xxhash64("fp"), F.col("m")).cast("int"))
-        .select("c", "key", "fp", "x", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("y"))
-        .select("c", "key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (F.col("x") < F.col("y")).alias("first"), "fp")
+        .select("c", "key", *columns, parts.alias("m"))
+        .withColumn("x", F.pmod(F.xxhash64(ident), F.col("m")).cast("int"))
+        .select("c", "key", *columns, "x", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("y"))
+        .select("c", "key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (F.col("x") < F.col("y")).alias("first"), *columns)
     )
-    dealt = dealt.repartition("c", "key", "i", "j").sortWithinPartitions("c", "key", "i", "j")
-    return dealt.mapInArrow(_tile_links(radius), "u long, v long")
-
-
-def _classes(rows: DataFrame, radius: int) -> DataFrame:
-    """rows(id, fp) -> (fp, low, root, component_id) a distinct fingerprint: its least id, and its group's name and least id."""
-    prints, _ = stored(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
-    linked = connected_components(fingerprint_links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
-    linked, _ = stored(linked, "linked")
-    roots, _ = stored(prints.join(linked, "fp").groupBy("root").agg(F.min("low").alias("least")), "roots")
-    classes = prints.join(linked, "fp", "left").join(roots, "root", "left")
-    classes = classes.select("fp", "low", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "low").alias("component_id"))
-    return stored(classes, "classes")[0]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", fp_col: str = "fingerprint", radius: int = 4) -> DataFrame:
     """df(id, fp) -> (id, fp, component_id): the smallest id reachable over links between fingerprints.
 
     Equal fingerprints are linked; rows with a null id take part and take the group's smallest id (null if it has none).
+    Repeated rows stay as they are. A tie, a bit that half of the hashes have, is no set bit.
+    """
+    rows, _ = stored(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{fp_col}`").alias("fp")), "prints")
+    prints, _ = stored(rows.groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("n")), "distinct")
+    total = prints.agg(F.sum("n")).head()[0] or 0
+    linked, _ = stored(connected_components(fingerprint_links(prints.select("fp"), radius)).withColumnRenamed("node", "fp"), "linked")
+    members = linked.count()
+    roots = prints.join(linked, "fp").groupBy("root").agg(F.min("low").alias("least"), F.count("*").alias("members"))
+    roots, _ = stored(roots, "roots")
+    named = split_join(linked, roots, ["root"], "members", members).select("fp", "least")
+    classes = prints.join(named, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"), "n")
+    classes, _ = stored(classes, "classes")
+    return split_join(rows, classes, ["fp"], "n", total).select(F.col("id").alias(id_col), F.col("fp").alias(fp_col), "component_id")
+
+
+# --- similar texts: wide fingerprints, bands, and a check on the shingles
+
+
+def bands_for(n: int, similarity: float) -> tuple[list[np.ndarray], int]:
+    """(bits of each band, radius) for n fingerprints: of sets with this Jaccard similarity, SPLIT_MISS share no band at most."""
+    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi  # share of bits that differ, of sets of one size; else fewer
+    bits = 64 * WIDE
+    width = max(1, math.ceil(math.log2(max(2, n / BAND_ROWS))))
+    count = math.ceil(math.log(SPLIT_MISS) / math.log(1 - (1 - apart) ** width))
+    r = np.random.default_rng(SEED)
+    order = np.concatenate([r.permutation(bits) for _ in range(-(-count * width // bits) + 1)])
+    return [np.sort(order[k * width : (k + 1) * width]) for k in range(count)], math.ceil(bits * apart + 3.5 * math.sqrt(bits * apart * (1 - apart)))
+
+
+def _banded(bands: list[np.ndarray]):
+    """Rows (k, f0, f1, ...) -> a row for each band: c, key, k, f0, f1, ..."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2000):
+            prints = np.stack([batch.column(f"f{k}").to_numpy() for k in range(WIDE)], axis=1).view(np.uint64)
+            flags = ((prints[:, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).reshape(len(prints), -1).astype(np.int64)
+            for c, at in enumerate(bands):
+                key = flags[:, at] @ (1 << np.arange(len(at)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), c, np.int32)), pa.array(key), *batch.columns], ["c", "key", *batch.schema.names])
+
+    return run
+
+
+def nearest_forest(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Of links a-b among 0..n-1, those of a spanning forest with the least distances d, as indices."""
+    order = np.lexsort((b, a, d))
+    a, b, label, kept = a[order], b[order], np.arange(n), []
+    at = np.arange(len(order))
+    while True:
+        x, y = label[a[at]], label[b[at]]
+        at, x, y = at[x != y], x[x != y], y[x != y]
+        if not len(at):
+            return order[np.unique(np.concatenate(kept))] if kept else np.zeros(0, np.int64)
+        best = np.full(n, len(order))
+        np.minimum.at(best, x, at)
+        np.minimum.at(best, y, at)
+        chosen = np.unique(best[best < len(order)])
+        kept.append(chosen)
+        low = np.arange(n)
+        u, v = spanning_links(n, label[a[chosen]], label[b[chosen]])
+        low[u] = v
+        label = low[label]
+
+
+def _similar_tiles(radius: int):
+    """Sorted tiles -> links (u, v), u before v, of each tile's nearest-first forest."""
+    keys = ["c", "key", "i", "j"]
+
+    def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        prints = np.stack([piece.column(f"f{k}").to_numpy() for k in range(WIDE)], axis=1).view(np.uint64)
+        first, i, j = piece.column("first").to_numpy(), piece.column("i").to_numpy(), piece.column("j").to_numpy()
+        us, vs = [], []
+        starts, ends = group_bounds(piece, keys)
+        wide = ends - starts > 1
+        for s, e in zip(starts[wide], ends[wide], strict=True):
+            own = prints[s:e]
+            if i[s] == j[s]:
+                a, b = close_pairs(own, own, radius)
+                a, b = a[a < b], b[a < b]
+            else:
+                left, right = np.flatnonzero(first[s:e]), np.flatnonzero(~first[s:e])
+                if not len(left) or not len(right):
+                    continue
+                a, b = close_pairs(own[left], own[right], radius)
+                a, b = left[a], right[b]
+            if len(a):
+                keep = nearest_forest(len(own), a, b, np.bitwise_count(own[a] ^ own[b]).sum(axis=1, dtype=np.int64))
+                us.append(s + a[keep])
+                vs.append(s + b[keep])
+        if us:
+            k = piece.column("k")
+            u, v = (k.take(pa.array(np.concatenate(x))).combine_chunks() for x in (us, vs))
+            yield pa.RecordBatch.from_arrays([x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (u, v)], ["u", "v"])
+
+    return lambda batches: key_runs(batches, keys, handle)
+
+
+def _similar(similarity: float):
+    """Links with the shingle sets of both ends -> links of the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
+                x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """df -> rows(id, t, k), a row a row of df, and links(node, root) between the texts k of groups of similar texts.
+
+    t is XXH64 of the text, k names its lower-cased words; texts with equal words have one k. Two texts are linked if
+    their sets of `width`-word shingles have this Jaccard similarity at least; the links that are found connect groups.
+    """
+    spark = df.sparkSession
+    ready(spark)
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("t"), F.col(f"`{text}`").alias("text"))
+    schema = texts.select("id", "t").schema.add("k", "binary")
+    for n in range(WIDE):
+        schema = schema.add(f"f{n}", "long")
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            names, prints = [], []
+            for x in batch.column("text").cast(pa.binary()):
+                words = words_of(x.as_py())
+                names.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                prints.append(wide_fingerprint(shingle_set(words, width)))
+            found = np.array(prints, np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("t"), pa.array(names, pa.binary()), *(pa.array(found[:, n]) for n in range(WIDE))], schema.names
+            )
+
+    rows, _ = stored(texts.mapInArrow(printed, schema), "prints")
+    ends = [f"f{n}" for n in range(WIDE)]
+    of_each = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("first")
+    prints, _ = stored(rows.groupBy("k").agg(of_each, *[F.first(f).alias(f) for f in ends]), "distinct")
+    bands, radius = bands_for(prints.count(), similarity)
+    kinds = ", ".join(f"{f} long" for f in ends)
+    keyed = prints.select("k", *ends).mapInArrow(_banded(bands), f"c int, key long, k binary, {kinds}")
+    near = _dealt(keyed, "k", ["k", *ends], TILE).mapInArrow(_similar_tiles(radius), "u binary, v binary")
+    near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
+    met, _ = stored(near.select(F.col("u").alias("k")).union(near.select("v")).distinct().join(prints.select("k", "first"), "k").select("k", "first.id", "first.t"), "met")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            found = [shingle_set(words_of(x.as_py()), width).tobytes() for x in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.binary())], ["k", "s"])
+
+    met, n_met = met.withColumnRenamed("id", "own").withColumnRenamed("t", "hash"), met.count()
+    there = texts.join(checked_broadcast(met, n_met), F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("hash")))
+    sets = there.select("k", "text").mapInArrow(shingled, "k binary, s binary")
+    sets, _ = stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
+    pairs = near.join(sets.toDF("u", "a").hint("merge"), "u").join(sets.toDF("v", "b").hint("merge"), "v")
+    links, _ = stored(pairs.select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u binary, v binary"), "similar")
+    return rows.select("id", "t", "k"), connected_components(links)
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """df without near-duplicates: of each group of similar texts the row with the least id stays.
+
+    Null ids come last; of rows with one id the one with the least XXH64 of its text stays, and of repeated rows one.
+    Texts without words, null and empty, are one group. What goes is decided on narrow rows; texts meet the list of rows
+    that go, broadcast if it is small, else in one merge join.
     """
-    rows, _ = stored(df.select(F.col(id_col).alias("id"), F.col(fp_col).alias("fp")), "prints")
-    classes = _classes(rows, radius).select("fp", "component_id")
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), F.col("fp").alias(fp_col), "component_id")
-
-
-def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = 4, width: int = 4) -> DataFrame:
-    """df without near-duplicates: of each group the row with the least id stays, or any one row where all ids are null."""
-    rows, _ = stored(with_fingerprint(df, text, "__fp", width), "printed")
-    classes = _classes(rows.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp")), radius)
-    # a group's least id may stand under several of its fingerprints: take one
-    keep = classes.where("low <=> component_id").groupBy("root").agg(F.min("fp").alias("__fp"), F.first("component_id").alias("__keep"))
-    keep, _ = stored(keep.select("__fp", "__keep"), "keep")
-    kept = rows.join(keep, "__fp").where(F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")))
-    return kept.dropDuplicates(["__fp"]).select(*[F.col(f"`{c}`") for c in df.columns])
+    rows, linked = similar_texts(df, id_col, text, width, similarity)
+    linked, _ = stored(linked.withColumnRenamed("node", "k"), "linked")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "t")
+    alone, _ = stored(rows.groupBy("k").agg(F.min(first).alias("first"), F.count("*").alias("n")), "texts")
+    roots, _ = stored(alone.join(linked, "k").groupBy("root").agg(F.min("first").alias("stays"), F.count("*").alias("n")), "groups")
+    named = split_join(linked, roots, ["root"], "n", linked.count()).select("k", "stays")
+    classes, _ = stored(alone.join(named, "k", "left").select("k", F.coalesce("stays", "first").alias("stays"), "n"), "classes")
+    # a text that stands once and stays needs no second look
+    more = classes.join(alone.select("k", "first"), "k").where("n > 1 OR first <> stays").select("k", "stays", "n")
+    judged = split_join(rows, more, ["k"], "n", rows.count())
+    same = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("t") == F.col("stays.t"))
+    found, _ = stored(judged.groupBy("id", "t").agg(F.max(same).alias("stays"), F.count("*").alias("n")).where("NOT stays OR n > 1"), "judged")
+    n_found = found.count()
+    marks = found.select(F.col("id").alias("__own"), F.col("t").alias("__hash"), F.col("stays").alias("__stays"))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.select(*own, F.xxhash64(F.col(f"`{text}`")).alias("__t"))
+    meets = F.col(f"`{id_col}`").eqNullSafe(F.col("__own")) & (F.col("__t") == F.col("__hash"))
+    kept = keyed.join(checked_broadcast(marks.select("__own", "__hash"), n_found), meets, "left_anti").select(*own)
+    repeated = marks.where("__stays")
+    n_repeated = repeated.count()
+    if not n_repeated:
+        return kept
+    # rows that repeat with all of id and text: one of each
+    again = keyed.join(checked_broadcast(repeated.select("__own", "__hash"), n_repeated), meets, "left_semi")
+    one = again.groupBy(id_col, "__t").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("__row"))
+    return kept.union(one.select(*[F.col("__row")[c].alias(c) for c in df.columns]))

@@ -14,7 +14,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import corpus_pipeline
 import public_tokenizers
 from test_decontaminate import plain as hits
-from test_simhash import components, plain as print_of
 from tokenizers import Tokenizer
 
 from framelake.llm import mixing, quality
@@ -74,9 +73,19 @@ def test_quality(stages):
     assert gone == bad and set(stages[1]) <= set(stages[0])
 
 
+def shingles(text):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
 def test_near_duplicates(stages):
     rows = stages[1]
-    group = components([print_of(x[1]) for x in rows], 4)
+    sets, group = [shingles(x[1]) for x in rows], list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                group = [group[b] if g == group[a] else g for g in group]
     low = {}
     for g, x in zip(group, rows, strict=True):
         low[g] = x[0] if low.get(g) is None else min(low[g], low[g] if x[0] is None else x[0])
