@@ -14,11 +14,14 @@ UTF-8 for a string. Equal ids keep all their entries. A lookup asks the filter,
 in the index, and reads from there.
 
 Spark's own text writer stores the rows, so any Hadoop file system will do, tasks commit or leave nothing, and a lost
-executor's shard is written anew. The binaryFile reader brings whole shards back.
+executor's shard is written anew. Scans bring whole shards back through the binaryFile reader. A Reader takes one
+document from a store of any size by reads of byte ranges: shards are in key order, so a binary search over them reads
+the footers and indexes of a few, then one filter and one block.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -126,26 +129,28 @@ class ShardWriter:
 
 
 class Shard:
-    """A shard's bytes, opened for lookups and scans."""
+    """A shard, opened for lookups and scans. read(offset, size) brings bytes of it; size is all of it."""
 
-    def __init__(self, data: bytes):
-        self.data, unzip = data, zstandard.ZstdDecompressor()
-        magic, self.width, self.sequence, at, size, bloom, bits, self.docs, self.total, _ = FOOTER.unpack(data[-FOOTER.size - 1 : -1])
+    def __init__(self, read, size: int):
+        self.read, self.unzip = read, zstandard.ZstdDecompressor()
+        magic, self.width, self.sequence, at, length, self.bloom, self.bits, self.docs, self.total, _ = FOOTER.unpack(read(size - FOOTER.size - 1, FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a shard, or cut short")
-        index = unzip.decompress(data[at : at + size])
-        self.bits, self.flags = bits, data[bloom : bloom + -(-bits // 8)]
+        index, self.flags = self.unzip.decompress(read(at, length)), None
         self.firsts, self.blocks, at = [], [], 0
         while at < len(index):
             n, at = _read_varint(index, at)
             self.firsts.append(index[at : at + n])
             self.blocks.append(struct.unpack_from("<QIIIQ", index, at + n))
             at += n + 28
-        self.unzip = unzip
+
+    @classmethod
+    def of(cls, data: bytes) -> Shard:
+        return cls(lambda at, size: data[at : at + size], len(data))
 
     def entries(self, block: int) -> Iterator[tuple[bytes, bytes]]:
         at, size, crc, n, _ = self.blocks[block]
-        row = self.data[at : at + size]
+        row = self.read(at, size)
         if zlib.crc32(row) != crc:
             raise ValueError(f"block {block} is damaged")
         data, at, key = self.unzip.decompress(row), 0, b""
@@ -162,6 +167,8 @@ class Shard:
             yield from self.entries(k)
 
     def may_have(self, key: bytes) -> bool:
+        if self.flags is None:
+            self.flags = self.read(self.bloom, -(-self.bits // 8))
         spots = _probes(np.array([xxhash.xxh64_intdigest(key)], np.uint64), self.bits)[0]
         return all(self.flags[int(p) >> 3] >> (int(p) & 7) & 1 for p in spots)
 
@@ -188,11 +195,14 @@ class Encoder:
 
     The tokenizer splits a text into pieces by a pattern and encodes each for itself, so the ids of pieces can be kept.
     New pieces are encoded together, parted by line feeds, which are pieces of their own. Texts with characters outside
-    PLAIN or the special token's string are encoded whole. Once `most` pieces are kept, they become the old ones: those
-    that come again are kept anew, the rest go when the next `most` are full.
+    PLAIN or the special token's string are encoded whole, as are all texts if the file at path describes another
+    splitting. Once kept pieces take `most` bytes, they become the old ones: those that come again are kept anew, the
+    rest go when the next `most` are full.
     """
 
-    most = 320_000
+    most = 80 << 20
+    #: Bytes that Python takes for a piece and its ids besides their characters.
+    EACH = 250
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -204,6 +214,9 @@ class Encoder:
             self.tokenizer.model._resize_cache(0)  # no piece is asked for twice
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
+        how = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        self.splits = how.get("type") == "ByteLevel" and how.get("use_regex", True) and not how.get("add_prefix_space", True) and self.tokenizer.normalizer is None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.feed = self._ids("\n")
 
@@ -229,12 +242,15 @@ class Encoder:
             self.kept[p] = self._bytes(self._ids(p))
 
     def encode(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        if not self.splits or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self._bytes(self._ids(text))
         pieces = PIECE.findall(text)
         if new := set(pieces).difference(self.kept):
-            if len(self.kept) + len(new) > self.most:
-                self.old, self.kept, new = self.kept, {}, set(pieces)
+            more = self.EACH * len(new) + 3 * sum(map(len, new))
+            if self.held + more > self.most and self.kept:
+                self.old, self.kept, self.held, new = self.kept, {}, 0, set(pieces)
+                more = self.EACH * len(new) + 3 * sum(map(len, new))
+            self.held += more
             back = {p: self.old[p] for p in new if p in self.old}
             self.kept |= back
             if new := new.difference(back):
@@ -290,13 +306,22 @@ def read_shards(spark: SparkSession, path: str, kind: str = "long") -> DataFrame
 
 
 def digests(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document: start counts the ids of all documents before it."""
+    """(id, start, n_tokens, ids_crc32, looked_up) of every document: start counts the ids of all documents before it.
+
+    looked_up: for integer ids divisible by 50, whether filter, index and block give the document its ids too; else null.
+    """
     crc = lambda ids, width: zlib.crc32(np.frombuffer(ids, f"<u{width}").astype("<u4"))
-    rows, _ = stored(_scan(spark, path, f"sequence long, place long, id {kind}, ids_crc32 long, local long, n_tokens long", crc, pa.int64()), "digests")
+    rows, _ = stored(_scan(spark, path, f"sequence long, place long, id {kind}, ids_crc32 long, local long, n_tokens long, looked_up boolean", crc, pa.int64()), "digests")
     sums = rows.groupBy("sequence").agg(F.sum("n_tokens").alias("n"))  # a row a shard
     before = Window.orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
     bases, _ = stored(sums.select("sequence", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
-    return rows.join(bases, "sequence").select("id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(bases, "sequence").select("id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "looked_up")
+
+
+def _probed(shard: Shard, key: bytes, ids: bytes) -> bool | None:
+    if key[:1] != b"\x01" or value_of(key) % 50:
+        return None
+    return any(x.tobytes() == ids for x in shard.get(value_of(key)))
 
 
 def _scan(spark: SparkSession, path: str, schema: str, value, kind: pa.DataType) -> DataFrame:
@@ -306,7 +331,7 @@ def _scan(spark: SparkSession, path: str, schema: str, value, kind: pa.DataType)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("content"):
-                shard, place, local = Shard(data.as_py()), 0, 0
+                shard, place, local = Shard.of(data.as_py()), 0, 0
                 for k in range(len(shard.blocks)):
                     rows = list(shard.entries(k))
                     sizes = np.array([len(ids) // shard.width for _, ids in rows], np.int64)
@@ -316,22 +341,77 @@ def _scan(spark: SparkSession, path: str, schema: str, value, kind: pa.DataType)
                         pa.array([value_of(key) for key, _ in rows], ident), pa.array([value(ids, shard.width) for _, ids in rows], kind),
                         pa.array(starts), pa.array(sizes),
                     ]
+                    if "looked_up" in names:
+                        columns.append(pa.array([_probed(shard, *row) for row in rows], pa.bool_()))
                     yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
                     place, local = place + len(rows), local + int(sizes.sum())
 
     return shard_files(spark, path).mapInArrow(run, schema)
 
 
+class Reader:
+    """Point lookups from the driver in the shards at path, on any Hadoop file system, by reads of byte ranges."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.utils, self.gateway = jvm.org.apache.commons.io.IOUtils, spark.sparkContext._gateway
+        found = [f for f in self.fs.listStatus(folder) if f.getPath().getName().startswith("part-") and f.getLen()]
+        self.files = sorted(((f.getPath(), f.getLen()) for f in found), key=lambda f: f[0].getName())  # in the order of their keys
+        self.shards: dict[int, Shard] = {}
+
+    def _read(self, k: int):
+        def read(at: int, size: int) -> bytes:
+            stream = self.fs.open(self.files[k][0])
+            try:
+                stream.seek(at)
+                return bytes(self.utils.toByteArray(stream, size))
+            finally:
+                stream.close()
+
+        return read
+
+    def shard(self, k: int) -> Shard:
+        """Shard number k with its index; its blocks stay where they are."""
+        if k not in self.shards:
+            if len(self.shards) > 1000:
+                self.shards.clear()
+            self.shards[k] = Shard(self._read(k), self.files[k][1])
+        return self.shards[k]
+
+    def candidates(self, value) -> list[int]:
+        """Numbers of the shards whose range of keys has the value's."""
+        key, lo, hi = key_of(value), 0, len(self.files)
+        while lo < hi:  # the first shard that begins at the key or behind it
+            mid = (lo + hi) // 2
+            lo, hi = (mid + 1, hi) if self.shard(mid).firsts[0] < key else (lo, mid)
+        out = [lo - 1] if lo else []
+        while lo < len(self.files) and self.shard(lo).firsts[0] == key:
+            out.append(lo)
+            lo += 1
+        return out
+
+    def get(self, value) -> list[np.ndarray]:
+        """Token ids of every document with this id; none if there is none."""
+        return [ids for k in self.candidates(value) for ids in self.shard(k).get(value)]
+
+
 def lookup(spark: SparkSession, path: str, values: list, kind: str = "long") -> DataFrame:
-    """(id, ids) of the documents with these ids, a list that fits a task; each shard is asked through its filter."""
+    """(id, ids) of the documents with these ids, a list that fits a task; only shards that may have one are opened."""
+    ready(spark)
+    reader = Reader(spark, path)
+    files = sorted({reader.files[k][0].toString() for v in values for k in reader.candidates(v)})
+    if not files:
+        return spark.createDataFrame([], f"id {kind}, ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("content"):
-                shard = Shard(data.as_py())
+                shard = Shard.of(data.as_py())
                 found = [(v, ids.astype(np.int32)) for v in values for ids in shard.get(v)]
                 if found:
                     ident = pa.string() if kind == "string" else pa.int64()
                     yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in found], ident), pa.array([x for _, x in found], pa.list_(pa.int32()))], ["id", "ids"])
 
-    return shard_files(spark, path).mapInArrow(run, f"id {kind}, ids array<int>")
+    return spark.read.format("binaryFile").load(files).select("content").mapInArrow(run, f"id {kind}, ids array<int>")
