@@ -34,8 +34,8 @@ CAPITALS = 3
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 3000
-    vocab: int = 10_000
-    dim: int = 96
+    vocab: int = 20_000
+    dim: int = 128
     nonzero: int = 8
     reach: int = 2
     hidden: int = 32
@@ -106,12 +106,8 @@ def pooled(vectors: np.ndarray, rows: np.ndarray, text: str) -> np.ndarray:
     if len(rows):
         capitals = rows >= len(vectors)
         rows = np.where(capitals, rows - len(vectors), rows)
-        if len(rows) > 512:  # weigh each distinct token by its count
-            counts = np.bincount(rows)
-            used = np.flatnonzero(counts)
-            out[:-2] = counts[used] @ vectors[used] / len(rows)
-        else:
-            out[:-2] = vectors[rows].mean(axis=0)
+        used, counts = np.unique(rows, return_counts=True)  # weigh each distinct token by its count
+        out[:-2] = counts @ vectors[used] / len(rows)
         out[:-2] += CAPITALS * vectors[CLASSES.index("<capitals>")] * capitals.mean()
         lines = [x for x in text.split("\n") if x.strip()]
         out[-2] = np.log1p(len(rows))
