@@ -4,16 +4,21 @@ A store is a folder of immutable Parquet shards and numbered manifests. append()
 shards, and commits a manifest that lists them. compact() sorts shards into tiers by size, each `fan_in` times the one
 before; a tier with fan_in shards is merged, in order, into shards of up to `target` bytes, each written by one task.
 A commit is one rename of a finished file to the next version's name, which fails if that name is taken: readers see
-all of a version or nothing of it, and of two writers one must try again. A lost executor's shard is written anew by
+all of a version or nothing of it, and of two writers one must try again. That holds where the file system's rename is
+atomic and fails on a name that exists, as HDFS's does; on object stores, writers need a lock around commit. A lost executor's shard is written anew by
 Spark's committer before any manifest names it. vacuum() deletes what no kept version names.
 
 The driver holds a manifest: a line a shard, not a row of data.
+
+Rows are stored as they come: nulls in any column, empty and very long texts, repeated rows and odd column names change
+nothing, an empty table is a commit without rows, and ties in size keep the shards' order.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -157,17 +162,25 @@ class Store:
             return self.spark.createDataFrame([], m["schema"])
         return self._read([s["file"] for s in m["shards"]], m["schema"])
 
-    def vacuum(self, keep: int = 1) -> int:
+    def vacuum(self, keep: int = 1, grace: int = 0) -> int:
         """Delete manifests but the last `keep`, and shards that none of those names. Number of shards deleted.
 
-        Not to run beside an append, whose shards no manifest names yet.
+        What is younger than `grace` seconds stays: running readers of an older version and appends, whose shards no
+        manifest names yet, need a grace above their own time.
         """
+        before = (time.time() - grace) * 1000
         found = self.versions()
         named = {s["file"] for v in found[-keep:] for s in self.manifest(v)["shards"]}
         for v in found[:-keep]:
-            self.fs.delete(self._path(f"manifests/v{v:012d}.json"), False)
+            path = self._path(f"manifests/v{v:012d}.json")
+            if self.fs.getFileStatus(path).getModificationTime() <= before:
+                self.fs.delete(path, False)
+            else:
+                named |= {s["file"] for s in self.manifest(v)["shards"]}
         gone = 0
         for folder in self.fs.listStatus(self._path("data")):
+            if folder.getModificationTime() > before:
+                continue
             files = [f.getPath().getName() for f in self.fs.listStatus(folder.getPath())]
             here = [f"data/{folder.getPath().getName()}/{f}" for f in files if f.startswith("part-")]
             for f in here:

@@ -65,3 +65,25 @@ def test_mixed_documents_are_the_mix(spark):
         assert r.asDict().keys() == dict.fromkeys(df.columns).keys()
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(re.findall(mixing.WORD, r["text"]))
     assert got == {k: n for k, n in took.items() if n}
+
+
+def test_draws_are_multinomial(spark):
+    """Source counts per output shard, against their expected shares, by chi-square; runs of shards in more than one window."""
+    keep, mixing.RUN = mixing.RUN, 7
+    try:
+        listed = [(0, "a", 64 * 5000, 0.0, 5000, 5000), (1, "b", 64 * 3000, 0.0, 3000, 3000), (2, None, 64 * 2000, 0.0, 2000, 2000)]
+        sources = spark.createDataFrame(listed, "__sid int, __source string, __source_size long, __target double, __n long, __quota long")
+        slots = mixing._slots(spark, sources, listed, 100, 11)
+        got = slots.groupBy("shard", "sid").count().collect()
+    finally:
+        mixing.RUN = keep
+    counts = {}
+    for r in got:
+        counts.setdefault(r["shard"], {})[r["sid"]] = r["count"]
+    assert len(counts) == 100 and all(sum(c.values()) == 100 for c in counts.values())
+    share = [0.5, 0.3, 0.2]
+    chi = sum((c.get(s, 0) - 100 * p) ** 2 / (100 * p) for c in counts.values() for s, p in enumerate(share))
+    assert 140 < chi < 265  # 200 degrees of freedom
+    assert [sum(c.get(s, 0) for c in counts.values()) for s in range(3)] == [5000, 3000, 2000]
+    each = slots.groupBy("sid", "pass", "block").count()
+    assert each.where("count > 1").count() == 0

@@ -41,3 +41,16 @@ def test_conflicts_and_schemas(spark, tmp_path):
         store.append(spark.range(3))
     store.append(arrivals(spark, 1))
     assert store.read().count() == 4000
+
+
+def test_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and ties stay as they are; so do odd names."""
+    rows = [(None, None, None), (1, "", None), (1, "", None), (2, "x" * 200_000, "a"), (2, "y", "a")]
+    df = spark.createDataFrame(rows, "id long, `file name` string, bytes string")
+    store = Store(spark, f"file://{tmp_path}/s", target=10**6, smallest=1000, fan_in=2)
+    for _ in range(3):
+        store.append(df)
+        store.compact()
+    assert sorted(map(str, store.read().collect())) == sorted(map(str, df.collect() * 3))
+    assert store.vacuum(grace=3600) == 0 and store.vacuum() > 0
+    assert store.read().count() == 15

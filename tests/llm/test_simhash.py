@@ -72,3 +72,42 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, 1), (2, 1), (None, 3), (3, 3), (3, 3)], key=str)
     empty = df.limit(0)
     assert simhash.near_duplicates(simhash.with_fingerprint(empty)).count() == 0
+
+
+def test_similar_texts(spark):
+    """Groups by five-word shingles against all pairs, with copies that differ in case and blanks, and ties of ids."""
+    import random
+
+    r = random.Random(17)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for k in range(30):
+        body = [word() for _ in range(r.choice([3, 60, 200]))]
+        rows.append((10 * k, " ".join(body)))
+        for x in range(1, r.randrange(1, 5)):
+            own = list(body)
+            for _ in range(r.choice([0, 1, 2, 12]) if len(body) > 3 else 0):
+                own[r.randrange(len(own))] = word()
+            rows.append((10 * k + x, ("  " if x % 2 else " ").join(own).upper() if x % 3 == 0 else " ".join(own)))
+    rows += [(500, None), (501, ""), (None, rows[0][1]), rows[4], rows[4], (502, "long " * 30_000), (503, "Long " * 30_000)]
+    df = spark.createDataFrame([(*x, "n") for x in rows], "doc_id long, text string, t string")
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                group = [group[b] if g == group[a] else g for g in group]
+    want = {}
+    for g, (k, _) in zip(group, rows, strict=True):
+        want[g] = min(want.get(g, k), k) if k is not None and want.get(g) is not None else (want.get(g) if k is None else k)
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((x["doc_id"] for x in got.collect()), key=str) == sorted(want.values(), key=str)
+    assert simhash.one_of_each(df.limit(0)).count() == 0
+
+
+def test_nearest_forest():
+    a, b, d = np.array([0, 0, 1, 3]), np.array([1, 2, 2, 4]), np.array([5, 1, 1, 9])
+    kept = simhash.nearest_forest(6, a, b, d)
+    assert sorted(zip(a[kept], b[kept], strict=True)) == [(0, 2), (1, 2), (3, 4)]
