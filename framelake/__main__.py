@@ -7,14 +7,14 @@ import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def show(df: DataFrame, form: str) -> None:
-    """Rows of a small result as a table, JSON lines or CSV."""
-    rows = [r.asDict(recursive=True) for r in df.collect()]
+    """Rows as a table, JSON lines or CSV; they come in turn, and all of them."""
+    rows = (r.asDict(recursive=True) for r in df.toLocalIterator())
     if form == "json":
-        print("\n".join(json.dumps(r, default=str) for r in rows))
+        for r in rows:
+            print(json.dumps(r, default=str))
     elif form == "csv":
         import csv
 
@@ -22,7 +22,9 @@ def show(df: DataFrame, form: str) -> None:
         out.writeheader()
         out.writerows(rows)
     else:
-        df.show(1000, truncate=False)
+        print(" | ".join(df.columns))
+        for r in rows:
+            print(" | ".join(map(str, r.values())))
 
 
 def main(args: list[str] | None = None) -> None:
@@ -33,26 +35,28 @@ def main(args: list[str] | None = None) -> None:
     c.add_argument("source")
     c.add_argument("target")
     c.add_argument("--config", required=True)
-    c.add_argument("--field", default="position", help="the field of a message that holds its numbers")
+    c.add_argument("--task", help="what the recorded robot does")
     for name in ("topics", "files"):
         sub.add_parser(name).add_argument("source")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("framelake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     from framelake.operators.metadata import topic_metadata
-    from framelake.plans.convert import convert
+    from framelake.plans.convert import convert, messages_of
     from framelake.sources.config import from_toml
-    from framelake.sources.recordings import read_recordings
+    from framelake.sources.recordings import kind_of, read_messages, read_recordings
     from framelake.sources.sidecars import list_files
 
     if a.what == "files":
         return show(list_files(spark, a.source).orderBy("path"), a.output)
+    if kind_of(a.source) == "rrd":
+        p.error("rrd recordings can't be read")
     messages = read_recordings(spark, a.source)
     if a.what == "topics":
         return show(topic_metadata(messages, ["topic", "type"]).orderBy("topic"), a.output)
-    numbers = F.coalesce(F.from_json("data", "array<float>"), F.from_json(F.get_json_object("data", f"$.{a.field}"), "array<float>"))
-    rows = messages.select(F.col("source_file").alias("source"), "topic", "log_time_ns", "seq", numbers.alias("data"))
     with open(a.config) as f:
-        report = convert(spark, rows, a.target, from_toml(f.read()), ["source"])
+        config = from_toml(f.read())
+    rows, infos = messages_of(read_messages(spark, a.source))
+    report = convert(spark, rows, a.target, config, ["source"], task=a.task, infos=infos)
     show(spark.createDataFrame([tuple(report.values())], list(report)), a.output)
 
 

@@ -56,6 +56,27 @@ def is_camera_info(keys: Column) -> Column:
     return F.array_contains(keys, "K") & F.array_contains(keys, "D")
 
 
+def nested_bytes(arrays: Column) -> Column:
+    """bytes_of the first of nested arrays that isn't empty."""
+    return bytes_of(F.get(F.filter(arrays, lambda a: F.size(a) > 0), F.lit(0)))
+
+
+def field_exists(fields: Column, name: str) -> Column:
+    """fields: MAP of a message's fields."""
+    return F.map_contains_key(fields, F.lit(name))
+
+
+def field_above(fields: Column, name: str, least: int) -> Column:
+    """The field is a whole number above `least`; false for what is none."""
+    x = F.try_element_at(fields, F.lit(name)).try_cast("bigint")
+    return F.coalesce(x > least, F.lit(False))
+
+
+def field_longer(arrays: Column, name: str, least: int) -> Column:
+    """The field is an array of more than `least` elements."""
+    return F.coalesce(F.size(F.try_element_at(arrays, F.lit(name))) > least, F.lit(False))
+
+
 def bytes_of(numbers: Column) -> Column:
     """BINARY of the elements that fit a byte; null when none does."""
     kept = F.filter(numbers, lambda x: x.between(0, 255))

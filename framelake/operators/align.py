@@ -27,10 +27,13 @@ def frames(messages: DataFrame, by: list[str], emit: str = "per_bucket", seq: st
     """Frames with map columns states, actions and timestamps, indexed from 0 within `by`.
 
     per_bucket folds a bucket's messages into a frame, the last message of a feature winning; per_message makes each
-    message a frame of its own bucket time. messages needs bucket_ns, feature, role and log_time_ns.
+    message a frame of its own bucket time. messages needs bucket_ns, feature, role and log_time_ns. If it has a struct
+    column `image` (and rows of role image), frames have a map column images of it, with the message's time added.
     """
     kinds = {"states": "state", "actions": "action"}
-    last = F.struct(F.col(value).alias("v"), F.col("log_time_ns").alias("t"))
+    with_images = "image" in messages.columns
+    own = [F.col("image")] if with_images else []
+    last = F.struct(F.col(value).alias("v"), F.col("log_time_ns").alias("t"), *own)
     if emit == "per_message":
         cells = messages.select(*by, "bucket_ns", F.col(seq).alias("__seq"), "feature", "role", last.alias("cell"))
     elif emit == "per_bucket":
@@ -41,16 +44,21 @@ def frames(messages: DataFrame, by: list[str], emit: str = "per_bucket", seq: st
     entry = F.struct(F.col("feature").alias("k"), F.col("cell.v").alias("v"))
     maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("role") == role, entry)))).alias(name) for name, role in kinds.items()]
     times = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("feature").alias("k"), F.col("cell.t").alias("v"))))).alias("timestamps")
+    if with_images:
+        shot = F.struct(F.col("cell.t").alias("t"), "cell.image.*")
+        shots = F.collect_list(F.when(F.col("role") == "image", F.struct(F.col("feature").alias("k"), shot.alias("v"))))
+        maps.append(F.map_from_entries(F.array_sort(shots)).alias("images"))
+        kinds["images"] = "image"
     out = cells.groupBy(*by, "bucket_ns", "__seq").agg(*maps, times)
     order = Window.partitionBy(*by).orderBy("bucket_ns", "__seq")
     out = out.withColumn("frame_index", (F.row_number().over(order) - 1).cast("long"))
     return out.select(*by, "frame_index", F.col("bucket_ns").alias("timestamp_ns"), *kinds, "timestamps")
 
 
-def not_empty(framed: DataFrame, maps: tuple = ("states", "actions")) -> DataFrame:
-    """Frames with something in any of their maps."""
+def not_empty(framed: DataFrame, maps: tuple = ("states", "actions", "images", "audio")) -> DataFrame:
+    """Frames with something in any of those of the maps that there are."""
     some = F.lit(False)
-    for m in maps:
+    for m in (m for m in maps if m in framed.columns):
         some = some | F.coalesce(F.size(m) > 0, F.lit(False))
     return framed.where(some)
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from framelake.shared import fixed
+
 
 def single(df: DataFrame) -> DataFrame:
     return df.withColumn("episode", F.lit(0).cast("long"))
@@ -36,42 +37,47 @@ def changes(frames: DataFrame, by: list[str], order: list[str], episode: str = "
     return out.where(F.col("previous").isNull() | (F.col("previous") != F.col(episode)))
 
 
-def _coarse(keys: DataFrame, key: str) -> Column:
-    """A coarser value in the order of key: ranges of integers, beginnings of strings, else the key itself."""
-    kind = keys.schema[key].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(key) / 65536)
-    return F.substring(key, 1, 4) if isinstance(kind, T.StringType) else F.col(key)
-
-
 def dense_numbers(keys: DataFrame, order: list[str], out: str = "episode_index") -> DataFrame:
     """0.. over the distinct keys in order. keys is a table of episodes or files, not of rows.
 
-    Keys are numbered inside ranges of the first one, and a range's first number is the running sum of the sizes of
-    those before it: only the list of ranges is put in order in one task.
+    Keys are dealt to ranges by sampled boundaries, whatever they look like; a range's first number is the running sum of
+    the sizes of those before it, so only the list of ranges, a row a partition, comes to the driver.
     """
-    keys = keys.select(*order).distinct().withColumn("__range", _coarse(keys, order[0]))
+    return _numbered(keys.select(*order).distinct(), order, out)
+
+
+def _numbered(table: DataFrame, order: list[str], out: str, amount: str | None = None, base: str = "__before") -> DataFrame:
+    """table, a row a key, with places in order and, if asked for, the sum of amount over all rows before as base."""
+    # sampled boundaries may differ from run to run: what they make is fixed before it is counted
+    ranged = fixed(table.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
     inside = Window.partitionBy("__range").orderBy(*order)
-    sizes = keys.groupBy("__range").agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"))
-    placed = keys.withColumn("__n", F.row_number().over(inside))
-    found = placed.join(bases.withColumnRenamed("__range", "__of"), F.col("__range").eqNullSafe(F.col("__of")))
-    return found.select(*order, (F.col("__base") + F.col("__n") - 1).alias(out))
+    more = [F.sum(amount).alias("__sum")] if amount else []
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"), *more).collect()
+    bases, n, total = [], 0, 0
+    for r in sorted(sizes, key=lambda r: r["__range"]):
+        bases.append((r["__range"], n, total))
+        n, total = n + r["__size"], total + (r["__sum"] or 0 if amount else 0)
+    first = table.sparkSession.createDataFrame(bases, "__range int, __base long, __total long")
+    found = ranged.withColumn("__n", F.row_number().over(inside))
+    if amount:
+        found = found.withColumn("__in", F.coalesce(F.sum(amount).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    found = found.join(F.broadcast(first), "__range")
+    columns = [F.col(c) for c in table.columns] + [(F.col("__base") + F.col("__n") - 1).cast("long").alias(out)]
+    if amount:
+        columns.append((F.col("__total") + F.col("__in")).cast("long").alias(base))
+    return found.select(*columns)
 
 
 def reindexed(rows: DataFrame, episode: str, order: list[str]) -> DataFrame:
     """Merged numbering: episode_index in order of `episode` without holes, index over all rows, frame_in_episode from 0.
 
-    Global row numbers are an episode's offset, from a running sum over the table of episodes, and the row's own place.
+    Global row numbers are an episode's offset, from sums over ranges of the table of episodes, and the row's own place.
     """
     place = Window.partitionBy(episode).orderBy(*order)
     sizes = rows.groupBy(episode).agg(F.count("*").alias("__size"))
-    w = Window.orderBy(episode)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select(episode, (F.row_number().over(w) - 1).cast("long").alias("episode_index"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"))
+    bases = _numbered(sizes, [episode], "episode_index", "__size").drop("__size")
     out = rows.withColumn("frame_in_episode", (F.row_number().over(place) - 1).cast("long")).join(bases, episode)
-    return out.withColumn("index", F.col("__base") + F.col("frame_in_episode")).withColumn("frame_index", F.col("index")).drop("__base")
+    return out.withColumn("index", F.col("__before") + F.col("frame_in_episode")).withColumn("frame_index", F.col("index")).drop("__before")
 
 
 def annotated(frames: DataFrame, segments: DataFrame, ns: str, by: list[str]) -> DataFrame:

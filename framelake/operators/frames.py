@@ -45,13 +45,20 @@ def forward_filled(rows: DataFrame, by: list[str], order: str = "frame_index", c
 
 
 def filled(rows: DataFrame, by: list[str], order: str = "frame_index") -> DataFrame:
-    """Every frame with state and action of the episode's state width: own, last seen, else zeros.
+    """Every frame with state and action: own, last seen, else zeros.
 
+    A state has the width of the episode's first state, an action that of the filled episode's first action that isn't
+    empty; before an episode's first action there are as many zeros as a state has, so an episode that begins without
+    an action has actions of the state's width.
     Episodes in which no frame has a state are an error; they go to `without_state` instead of being dropped unseen.
     """
     dims = widths(rows, by, order).select(*by, "state_dim").where("state_dim IS NOT NULL")
     out = forward_filled(rows, by, order).join(dims, by)
-    return out.withColumn("state", fitted(F.col("state"), F.col("state_dim"))).withColumn("action", fitted(F.col("action"), F.col("state_dim")))
+    out = out.withColumn("action", F.coalesce("action", fitted(F.array().cast("array<float>"), F.col("state_dim"))))
+    first = F.first(F.size("action")).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    action_dim = F.when(first > 0, first).otherwise(F.lit(DEFAULT_ACTION))
+    out = out.withColumn("action_dim", action_dim)
+    return out.withColumn("state", fitted(F.col("state"), F.col("state_dim"))).withColumn("action", fitted(F.col("action"), F.col("action_dim")))
 
 
 def without_state(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framelake.functions.media import extrinsics, intrinsics
 from framelake.functions.names import feature_of
 from framelake.functions.values import role
 
@@ -49,6 +50,19 @@ def split_camera_info(messages: DataFrame, is_info: Column, order: list[str], by
     return marked.where("NOT __info").drop("__info"), infos
 
 
-def first_frames(frames: DataFrame, limit: int | None, index: str = "frame_index") -> DataFrame:
-    """A deterministic limit: frames below an index."""
-    return frames if limit is None else frames.where(F.col(index) < limit)
+def calibrations(infos: DataFrame, camera: str = "feature") -> DataFrame:
+    """(camera, intrinsic, extrinsic) of calibration messages with arrays K, D and P in a struct column `camera`, one a camera.
+
+    Of a camera with several, the one that came first counts, by source order of `seq`.
+    """
+    c = F.col("camera")
+    first = infos.groupBy(F.col(camera).alias("__name")).agg(F.min_by(F.struct(c["K"].alias("K"), c["D"].alias("D"), c["P"].alias("P")), "seq").alias("c"))
+    return first.select(F.col("__name").alias("camera"), intrinsics(F.col("c.K"), F.col("c.D")).alias("intrinsic"), extrinsics(F.col("c.K"), F.col("c.P")).alias("extrinsic"))
+
+
+def first_frames(frames: DataFrame, limit: int | None, by: list[str], order: list[str]) -> DataFrame:
+    """The first `limit` frames of each `by`, a recording's run, over all its episodes: the deterministic form of a limit."""
+    if limit is None:
+        return frames
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return frames.withColumn("__place", place).where(F.col("__place") <= limit).drop("__place")

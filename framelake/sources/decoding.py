@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import bz2
+import io
 import json
 import re
 import struct
@@ -75,39 +76,157 @@ def _unpacked(kind: str, data: bytes) -> bytes:
     raise BadRecording(f"compression {kind}")
 
 
-def read_mcap(data: bytes, topics: set[str] | None = None) -> Iterator[Raw]:
-    """Messages in file order; a chunk whose compression is unknown ends the file with BadRecording."""
-    if data[:8] != MCAP_MAGIC:
-        raise BadRecording("not an MCAP file")
-    schemas: dict[int, tuple[str, str]] = {}
-    channels: dict[int, Channel] = {}
+@dataclass
+class Faults:
+    """What a reader passed over."""
+
+    blocks: int = 0  # chunks and ends of files that can't be read
+    messages: int = 0
+
 
-    def records(block: bytes, at: int) -> Iterator[Raw]:
+class Mcap:
+    """Messages of an MCAP file, chunk by chunk from a file object: memory follows the largest record."""
+
+    def __init__(self, file, topics: set[str] | None = None, start_ns: int | None = None, end_ns: int | None = None, faults: Faults | None = None):
+        self.file, self.topics, self.start, self.end = file, topics, start_ns, end_ns
+        self.faults, self.strict = faults or Faults(), faults is None
+        self.schemas: dict[int, tuple[str, str]] = {}
+        self.channels: dict[int, Channel] = {}
+
+    def _record(self) -> tuple[int, bytes] | None:
+        head = self.file.read(9)
+        if len(head) < 9:
+            return None
+        op, size = head[0], struct.unpack_from("<Q", head, 1)[0]
+        body = self.file.read(size)
+        if len(body) < size:
+            raise BadRecording("cut short")
+        return op, body
+
+    def _known(self, op: int, body: bytes) -> None:
+        c = Cursor(body)
+        if op == 0x03:
+            ident, name, _ = c.number("H"), c.text(), c.text()
+            self.schemas[ident] = (name, c.take(c.number("I")).decode("utf-8", "replace"))
+        elif op == 0x04:
+            ident, schema, topic, encoding = c.number("H"), c.number("H"), c.text(), c.text()
+            self.channels[ident] = Channel(topic, encoding, *self.schemas.get(schema, ("", "")))
+
+    def _message(self, body: bytes) -> Raw | None:
+        c = Cursor(body)
+        ident, sequence, log, publish = c.number("H"), c.number("I"), c.number("Q"), c.number("Q")
+        channel = self.channels.get(ident)
+        if not channel or (self.topics is not None and channel.topic not in self.topics):
+            return None
+        if (self.start is not None and log < self.start) or (self.end is not None and log >= self.end):
+            return None
+        return Raw(channel, sequence, log, publish, body[c.at :])
+
+    def _block(self, block: bytes) -> Iterator[Raw]:
+        at = 0
         while at + 9 <= len(block):
             op, size = block[at], struct.unpack_from("<Q", block, at + 1)[0]
-            c = Cursor(block[at + 9 : at + 9 + size])
-            if len(c.data) < size:
+            body = block[at + 9 : at + 9 + size]
+            if len(body) < size:
                 raise BadRecording("cut short")
             at += 9 + size
-            if op == 0x03:
-                ident, name, _ = c.number("H"), c.text(), c.text()
-                schemas[ident] = (name, c.take(c.number("I")).decode("utf-8", "replace"))
-            elif op == 0x04:
-                ident, schema, topic, encoding = c.number("H"), c.number("H"), c.text(), c.text()
-                channels[ident] = Channel(topic, encoding, *schemas.get(schema, ("", "")))
-            elif op == 0x05:
-                ident, sequence, log, publish = c.number("H"), c.number("I"), c.number("Q"), c.number("Q")
-                channel = channels.get(ident)
-                if channel and (topics is None or channel.topic in topics):
-                    yield Raw(channel, sequence, log, publish, c.data[c.at :])
-            elif op == 0x06:
-                c.at = 28
-                kind = c.text()
-                yield from records(_unpacked(kind, c.take(c.number("Q"))), 0)
-            elif op in (0x02, 0x0F):
+            if op == 0x05:
+                if m := self._message(body):
+                    yield m
+            else:
+                self._known(op, body)
+
+    def chunk(self, body: bytes) -> Iterator[Raw]:
+        """Messages of a chunk record; one that can't be unpacked is a fault, and what follows it is read on."""
+        try:
+            c = Cursor(body, 28)
+            kind = c.text()
+            block = _unpacked(kind, c.take(c.number("Q")))
+        except Exception as e:
+            if self.strict:
+                raise e if isinstance(e, BadRecording) else BadRecording(str(e)) from e
+            self.faults.blocks += 1
+            return
+        yield from self._whole(self._block(block))
+
+    def _whole(self, messages: Iterator[Raw]) -> Iterator[Raw]:
+        try:
+            yield from messages
+        except (BadRecording, struct.error):
+            if self.strict:
+                raise
+            self.faults.blocks += 1
+
+    def messages(self) -> Iterator[Raw]:
+        """All messages in file order."""
+        if self.file.read(8) != MCAP_MAGIC:
+            raise BadRecording("not an MCAP file")
+        while True:
+            try:
+                found = self._record()
+            except BadRecording:
+                if self.strict:
+                    raise
+                self.faults.blocks += 1
+                return
+            if found is None or found[0] in (0x02, 0x0F):
                 return
+            op, body = found
+            if op == 0x06:
+                yield from self.chunk(body)
+            elif op == 0x05:
+                if m := self._message(body):
+                    yield m
+            else:
+                self._known(op, body)
 
-    yield from records(data, 8)
+    def at(self, offset: int) -> Iterator[Raw]:
+        """Messages of the chunk record at a place of the file; its channels must be known from the summary."""
+        self.file.seek(offset)
+        op, body = self._record()
+        if op != 0x06:
+            raise BadRecording("no chunk there")
+        yield from self.chunk(body)
+
+
+@dataclass(frozen=True)
+class Chunk:
+    offset: int
+    size: int
+    start_ns: int
+    end_ns: int
+    channels: tuple[int, ...]
+
+
+def mcap_summary(file, size: int) -> tuple[list[Chunk], Mcap] | None:
+    """Chunks that the file's summary lists, and a reader that knows its channels; None without a usable summary."""
+    if size < 8 + 29 + 8:
+        return None
+    file.seek(size - 37)
+    tail = file.read(37)
+    if tail[29:] != MCAP_MAGIC or tail[0] != 0x02:
+        return None
+    start = struct.unpack_from("<Q", tail, 9)[0]
+    if not 8 <= start < size - 37:
+        return None
+    file.seek(start)
+    block, at, chunks, reader = file.read(size - 37 - start), 0, [], Mcap(file)
+    while at + 9 <= len(block):
+        op, n = block[at], struct.unpack_from("<Q", block, at + 1)[0]
+        body = block[at + 9 : at + 9 + n]
+        at += 9 + n
+        if op in (0x03, 0x04):
+            reader._known(op, body)
+        elif op == 0x08:
+            first, last, offset, length, listed = struct.unpack_from("<QQQQI", body)
+            channels = tuple(struct.unpack_from("<H", body, 36 + k)[0] for k in range(0, listed, 10))
+            chunks.append(Chunk(offset, length, first, last, channels))
+    return (sorted(chunks, key=lambda c: c.offset), reader) if chunks and reader.channels else None
+
+
+def read_mcap(data: bytes, topics: set[str] | None = None, faults: Faults | None = None) -> Iterator[Raw]:
+    """Messages in file order. Without faults, what can't be read raises BadRecording; with, it is counted there."""
+    return Mcap(io.BytesIO(data), topics, faults=faults).messages()
 
 
 def _fields(block: bytes) -> dict[str, bytes]:
@@ -118,35 +237,61 @@ def _fields(block: bytes) -> dict[str, bytes]:
     return out
 
 
-def read_bag(data: bytes, topics: set[str] | None = None) -> Iterator[Raw]:
-    """Messages of a ROS 1 bag (format 2.0) in file order."""
-    if not data.startswith(BAG_MAGIC):
+def read_bag(data: bytes, topics: set[str] | None = None, faults: Faults | None = None) -> Iterator[Raw]:
+    """Messages of a ROS 1 bag in memory, as read_mcap."""
+    return bag_messages(io.BytesIO(data), topics, faults=faults)
+
+
+def bag_messages(file, topics: set[str] | None = None, start_ns: int | None = None, end_ns: int | None = None, faults: Faults | None = None) -> Iterator[Raw]:
+    """Messages of a ROS 1 bag (format 2.0) in file order, record by record from a file object."""
+    strict, faults = faults is None, faults or Faults()
+    if file.read(len(BAG_MAGIC)) != BAG_MAGIC:
         raise BadRecording("not a ROS bag")
     channels: dict[int, Channel] = {}
     place = 0
 
-    def records(block: bytes, at: int) -> Iterator[Raw]:
+    def part(f) -> bytes | None:
+        head = f.read(4)
+        if len(head) < 4:
+            return None
+        n = struct.unpack("<I", head)[0]
+        body = f.read(n)
+        if len(body) < n:
+            raise BadRecording("cut short")
+        return body
+
+    def records(f) -> Iterator[Raw]:
         nonlocal place
-        c = Cursor(block, at)
-        while c.at + 4 <= len(block):
-            head = _fields(c.take(c.number("I")))
-            body = c.take(c.number("I"))
+        while (head := part(f)) is not None:
+            head, body = _fields(head), part(f) or b""
             op = head.get("op", b"\0")[0]
             if op == 0x07:
                 own = _fields(body)
                 topic = head.get("topic", own.get("topic", b"")).decode()
                 channels[struct.unpack("<I", head["conn"])[0]] = Channel(topic, "ros1", own.get("type", b"").decode(), own.get("message_definition", b"").decode("utf-8", "replace"))
             elif op == 0x05:
-                yield from records(_unpacked(head.get("compression", b"none").decode(), body), 0)
+                try:
+                    block = _unpacked(head.get("compression", b"none").decode(), body)
+                except Exception as e:
+                    if strict:
+                        raise BadRecording(str(e)) from e
+                    faults.blocks += 1
+                    continue
+                yield from records(io.BytesIO(block))
             elif op == 0x02:
                 channel = channels.get(struct.unpack("<I", head["conn"])[0])
                 seconds, nanos = struct.unpack("<II", head["time"])
-                place += 1
-                if channel and (topics is None or channel.topic in topics):
-                    t = seconds * 1_000_000_000 + nanos
+                t, place = seconds * 1_000_000_000 + nanos, place + 1
+                inside = (start_ns is None or t >= start_ns) and (end_ns is None or t < end_ns)
+                if channel and inside and (topics is None or channel.topic in topics):
                     yield Raw(channel, place - 1, t, t, body)
 
-    yield from records(data, len(BAG_MAGIC))
+    try:
+        yield from records(file)
+    except (BadRecording, KeyError, struct.error) as e:
+        if strict:
+            raise e if isinstance(e, BadRecording) else BadRecording(str(e)) from e
+        faults.blocks += 1
 
 
 #: ROS primitive types by struct code.
@@ -254,3 +399,46 @@ def decode(m: Raw) -> dict | list:
 def as_json(value) -> str:
     """Compact JSON; bytes in base64."""
     return json.dumps(value, default=lambda x: base64.b64encode(x).decode(), separators=(",", ":"))
+
+
+def _bytes_in(value) -> bytes | None:
+    """Bytes, or an array's elements that fit a byte, or those of the first nested array that isn't empty."""
+    if isinstance(value, (bytes, bytearray)):
+        return bytes(value) or None
+    if isinstance(value, list):
+        own = [x for x in value if isinstance(x, int) and not isinstance(x, bool) and 0 <= x <= 255]
+        if own:
+            return bytes(own)
+        return _bytes_in(next((x for x in value if isinstance(x, list) and x), None))
+    return None
+
+
+def _kind_in(values: list, declared: str | None) -> str | None:
+    """Number type of an array: the definition's, else by its values, as JSON has only whole numbers and doubles."""
+    if declared:
+        return declared
+    return "int64" if all(isinstance(x, int) for x in values) else "float64"
+
+
+def parts_of(m: Raw, value) -> dict:
+    """Typed parts of a decoded message: field names, numbers and their type, picture fields, calibration."""
+    out: dict = {"keys": None, "numbers": None, "number_type": None, "format": None, "width": None, "height": None, "bytes": None, "camera": None}
+    numbers, declared = value if isinstance(value, list) else None, None
+    if isinstance(value, dict):
+        out["keys"] = list(value)
+        types = number_types(m.channel.type, m.channel.definition) if m.channel.definition else {}
+        if isinstance(value.get("position"), list):
+            numbers, declared = value["position"], types.get("position")
+        out["format"] = value["format"] if isinstance(value.get("format"), str) else None
+        for side in ("width", "height"):
+            x = value.get(side)
+            out[side] = x if isinstance(x, int) and not isinstance(x, bool) and 0 <= x < 1 << 32 else None
+        if "data" in value:
+            out["bytes"] = _bytes_in(value["data"])
+        if "K" in value and "D" in value:
+            array = lambda x: [float(v) for v in x] if isinstance(x, list) else None
+            out["camera"] = {k: array(value.get(k)) for k in ("K", "D", "P")}
+    if numbers is not None:
+        kept = [x for x in numbers if isinstance(x, (int, float)) and not isinstance(x, bool)]
+        out["numbers"], out["number_type"] = [float(x) for x in kept], _kind_in(kept, declared)
+    return out

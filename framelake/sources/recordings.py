@@ -1,7 +1,14 @@
-"""Recordings as tables of messages, one row a message: bag, MCAP, and whole prefixes of them."""
+"""Recordings as tables of messages, one row a message: bag, MCAP, and whole prefixes of them.
+
+Two readers. read_recordings and read_messages go through Spark's own file reader, so any store that Spark reads will do,
+and a file of up to 2 GB is a task's work. spark.read.format("mcap") and "rosbag" open files through pyarrow's file
+systems (local, HDFS, S3, GCS) by byte ranges, whatever their size: an MCAP file with a summary is cut at its chunks, and
+chunks without the wanted topics or times aren't read; others are read record by record.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -12,11 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from framelake.shipping import ship
-from framelake.sources.decoding import BadRecording, as_json, decode, read_bag, read_mcap
-
-SCHEMA = "source_file string, topic string, type string, encoding string, seq long, log_time_ns long, publish_time_ns long, data string"
+from framelake.sources.decoding import BadRecording, Faults, Mcap, Raw, as_json, bag_messages, decode, mcap_summary, parts_of, read_bag, read_mcap
+
+HEAD = "source_file string, topic string, type string, encoding string, seq long, log_time_ns long, publish_time_ns long"
+SCHEMA = f"{HEAD}, data string"
+#: What is known of a picture in a frame: its bytes stay in the recording.
+IMAGE = "struct<width:bigint,height:bigint,kind:string,size:bigint,file:string,seq:bigint>"
+CAMERA = "struct<K:array<double>,D:array<double>,P:array<double>>"
+TYPED = f"{HEAD}, keys array<string>, numbers array<double>, number_type string, format string, width long, height long, bytes binary, camera {CAMERA}"
 READERS = {"mcap": read_mcap, "bag": read_bag}
 EXTENSIONS = ("mcap", "bag", "rrd")
+#: Topic of the row that counts what was passed over in a recording, if that is asked for.
+FAULTS = "__faults"
+#: Bytes of chunks that one task reads.
+SPLIT_BYTES = 64 << 20
 
 
 class UnsupportedFormat(ValueError):
@@ -32,95 +48,192 @@ def kind_of(url: str) -> str:
     return "prefix" if "://" in url and not url.startswith("file://") and not found else "mcap"
 
 
-def rows_of(name: str, data: bytes, topics: set[str] | None = None, strict: bool = False) -> Iterator[tuple]:
-    """Rows of one recording. A message that can't be decoded is skipped, or raised if strict; so is the rest of a broken file."""
-    extension = name.rsplit(".", 1)[-1].lower()
-    if extension == "rrd":
-        raise UnsupportedFormat("rrd recordings can't be read")
-    reader = READERS["bag" if extension == "bag" else "mcap"](data, topics)
-    seq = 0
-    while True:
-        try:
-            m = next(reader, None)
-        except (BadRecording, ValueError, KeyError):
-            if strict:
-                raise
-            return
-        if m is None:
-            return
+def _row(name: str, seq: int, m: Raw, typed: bool) -> tuple:
+    value = decode(m)
+    head = (name, m.channel.topic, m.channel.type, m.channel.encoding, seq, m.log_time_ns, m.publish_time_ns)
+    return (*head, *parts_of(m, value).values()) if typed else (*head, as_json(value))
+
+
+def _rows(name: str, messages: Iterator[Raw], faults: Faults | None, typed: bool, first: int = 0) -> Iterator[tuple]:
+    """A message that can't be decoded raises without faults, and is counted there with."""
+    for seq, m in enumerate(messages, first):
         try:
-            yield (name, m.channel.topic, m.channel.type, m.channel.encoding, seq, m.log_time_ns, m.publish_time_ns, as_json(decode(m)))
+            yield _row(name, seq, m, typed)
         except (BadRecording, ValueError, KeyError, IndexError):
-            if strict:
+            if faults is None:
                 raise
-        seq += 1
+            faults.messages += 1
+
+
+def _fault_row(name: str, faults: Faults, typed: bool) -> tuple:
+    head = (name, FAULTS, "", "", -1, 0, 0)
+    return (*head, None, [float(faults.blocks), float(faults.messages)], "int64", *[None] * 5) if typed else (*head, json.dumps(vars(faults)))
+
 
+def rows_of(name: str, data: bytes, topics: set[str] | None = None, strict: bool = False, typed: bool = False, report: bool = False) -> Iterator[tuple]:
+    """Rows of one recording.
 
-def _batches(rows: Iterator[tuple], size: int = 2000) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
-    kinds = [pa.int64() if c.endswith("long") else pa.string() for c in SCHEMA.split(", ")]
+    A message or chunk that can't be read is passed over, and reading goes on behind it; strict raises instead. With
+    report, a last row of topic FAULTS tells how many blocks and messages were passed over.
+    """
+    extension = name.rsplit(".", 1)[-1].lower()
+    if extension == "rrd":
+        raise UnsupportedFormat("rrd recordings can't be read")
+    faults = None if strict else Faults()
+    try:
+        yield from _rows(name, READERS["bag" if extension == "bag" else "mcap"](data, topics, faults), faults, typed)
+    except (BadRecording, ValueError, KeyError):
+        if strict:
+            raise
+        faults.blocks += 1
+    if report and faults and (faults.blocks or faults.messages):
+        yield _fault_row(name, faults, typed)
+
+
+_NUMBERS = pa.list_(pa.float64())
+_ARROW_HEAD = [("source_file", pa.string()), ("topic", pa.string()), ("type", pa.string()), ("encoding", pa.string()), ("seq", pa.int64()), ("log_time_ns", pa.int64()), ("publish_time_ns", pa.int64())]
+#: SCHEMA and TYPED as Arrow knows them: workers have no session that could parse the text.
+ARROW = {
+    False: pa.schema([*_ARROW_HEAD, ("data", pa.string())]),
+    True: pa.schema([
+        *_ARROW_HEAD, ("keys", pa.list_(pa.string())), ("numbers", _NUMBERS), ("number_type", pa.string()), ("format", pa.string()), ("width", pa.int64()), ("height", pa.int64()),
+        ("bytes", pa.binary()), ("camera", pa.struct([("K", _NUMBERS), ("D", _NUMBERS), ("P", _NUMBERS)])),
+    ]),
+}
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
+    size = 0
     for row in rows:
         held.append(row)
-        if len(held) == size:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
-            held = []
+        size += sum(len(x) for x in row if isinstance(x, (str, bytes)))
+        if len(held) == most or size > most_bytes:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+            held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-def read_recordings(spark: SparkSession, path: str | list[str], topics: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """Messages of a recording, of several, or of all below a prefix, on any file system that Spark reads.
-
-    A file is a task's work. seq counts messages of a file, so (source_file, seq) is arrival order.
-    """
+def _read(spark: SparkSession, path: str | list[str], topics: list[str] | None, strict: bool, typed: bool, report: bool) -> DataFrame:
     ship(spark)
-    wanted = set(topics) if topics else None
+    wanted, schema = set(topics) if topics else None, TYPED if typed else SCHEMA
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.where(F.lower("path").rlike(r"\.(mcap|bag|rrd)$")).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = ARROW[typed]
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                yield from _batches(rows_of(name, data.as_py(), wanted, strict))
+                yield from _batches(rows_of(name, data.as_py(), wanted, strict, typed, report), kinds)
+
+    return files.mapInArrow(run, schema)
+
+
+def read_recordings(spark: SparkSession, path: str | list[str], topics: list[str] | None = None, strict: bool = False, report: bool = False) -> DataFrame:
+    """Messages of a recording, of several, or of all below a prefix, on any file system that Spark reads, as JSON text.
+
+    A file is a task's work. seq counts messages of a file, so (source_file, seq) is arrival order.
+    """
+    return _read(spark, path, topics, strict, False, report)
 
-    return files.mapInArrow(run, SCHEMA)
 
+def read_messages(spark: SparkSession, path: str | list[str], topics: list[str] | None = None, strict: bool = False, report: bool = False) -> DataFrame:
+    """The same with typed parts (TYPED) in place of JSON: numbers as doubles with their type, picture fields, calibration."""
+    return _read(spark, path, topics, strict, True, report)
 
-class _File(InputPartition):
-    def __init__(self, path: str):
+
+class _Part(InputPartition):
+    """Chunks of a file by offset, or all of it."""
+
+    def __init__(self, path: str, chunks: list[tuple[int, int]] | None):
         super().__init__(path)
-        self.path = path
+        self.path, self.chunks = path, chunks
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict, extension: str):
-        self.options, self.extension = options, extension
+def _open(path: str):
+    """(file system, path in it) of a URL or a local path."""
+    from pyarrow import fs
 
-    def partitions(self) -> list[_File]:
-        import glob
-        import os
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
-        path = self.options["path"].removeprefix("file://")
-        found = sorted(glob.glob(f"{path}/**/*.{self.extension}", recursive=True)) if os.path.isdir(path) else [path]
-        return [_File(p) for p in found]
 
-    def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        topics = self.options.get("topics")
-        with open(partition.path, "rb") as f:
-            data = f.read()
-        yield from _batches(rows_of(partition.path, data, set(topics.split(",")) if topics else None, self.options.get("mode", "").upper() == "FAILFAST"))
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict, extension: str):
+        self.extension, self.path = extension, options["path"]
+        topics = options.get("topics")
+        self.topics = set(topics.split(",")) if topics else None
+        self.start, self.end = (int(options[k]) if k in options else None for k in ("start_ns", "end_ns"))
+        self.strict, self.typed = options.get("mode", "").upper() == "FAILFAST", options.get("typed", "").lower() == "true"
+
+    def _files(self) -> list[tuple[str, int]]:
+        from pyarrow import fs
+
+        store, path = _open(self.path)
+        info = store.get_file_info(path)
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(self.path)
+        found = [info] if info.is_file else [f for f in store.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file and f.path.lower().endswith(f".{self.extension}")]
+        return sorted((f.path, f.size) for f in found)
+
+    def partitions(self) -> list[_Part]:
+        store, out = _open(self.path)[0], []
+        for path, size in self._files():
+            summary = None
+            if self.extension == "mcap":
+                with store.open_input_file(path) as f:
+                    summary = mcap_summary(f, size)
+            if summary is None:
+                out.append(_Part(path, None))
+                continue
+            chunks, reader = summary
+            wanted = {k for k, c in reader.channels.items() if self.topics is None or c.topic in self.topics}
+            held, total = [], 0
+            for n, c in enumerate(chunks):
+                late = self.end is not None and c.start_ns >= self.end
+                early = self.start is not None and c.end_ns < self.start
+                if late or early or (c.channels and not wanted & set(c.channels)):
+                    continue
+                if held and total + c.size > SPLIT_BYTES:
+                    out.append(_Part(path, held))
+                    held, total = [], 0
+                held.append((n, c.offset))
+                total += c.size
+            if held:
+                out.append(_Part(path, held))
+        return out or [_Part("", [])]
+
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
+        kinds = ARROW[self.typed]
+        if not partition.path:
+            return
+        store, faults = _open(self.path)[0], None if self.strict else Faults()
+        info = store.get_file_info(partition.path)
+        with store.open_input_file(partition.path) as f:
+            yield from _batches(self._messages(f, info.size, partition, faults), kinds)
+
+    def _messages(self, f, size: int, partition: _Part, faults: Faults | None) -> Iterator[tuple]:
+        if partition.chunks is None:
+            args = (f, self.topics, self.start, self.end, faults)
+            found = Mcap(*args).messages() if self.extension == "mcap" else bag_messages(*args)
+            yield from _rows(partition.path, found, faults, self.typed)
+            return
+        known = mcap_summary(f, size)[1].channels
+        reader = Mcap(f, self.topics, self.start, self.end, faults)
+        reader.channels = known
+        for n, offset in partition.chunks:  # messages of later chunks have higher numbers
+            yield from _rows(partition.path, reader.at(offset), faults, self.typed, n << 32)
 
 
 class McapSource(DataSource):
-    """spark.read.format("mcap"): files on disks that every executor mounts; read_recordings() reads other stores."""
+    """spark.read.format("mcap"), with options topics (by commas), start_ns, end_ns, typed and mode; seq is in arrival order."""
 
     @classmethod
     def name(cls) -> str:
         return "mcap"
 
     def schema(self) -> str:
-        return SCHEMA
+        return TYPED if dict(self.options).get("typed", "").lower() == "true" else SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options), self.name() if self.name() == "mcap" else "bag")

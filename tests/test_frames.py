@@ -59,9 +59,10 @@ def filled_by_hand(rows):
     out = []
     for s, a in rows:
         last_s, last_a = s or last_s, a or last_a
-        fit = lambda v: ([*(v or []), *[0.0] * dim])[:dim]
-        out.append((fit(last_s), fit(last_a)))
-    return out
+        out.append((last_s or [], last_a or [0.0] * dim))
+    wide = len(out[0][1]) or 14  # an action's own width, which the first one sets
+    fit = lambda v, n: ([*v, *[0.0] * n])[:n]
+    return [(fit(s, dim), fit(a, wide)) for s, a in out]
 
 
 vectors = st.one_of(st.none(), st.lists(st.integers(-5, 5).map(float), min_size=0, max_size=4))

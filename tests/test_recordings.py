@@ -1,12 +1,15 @@
 import bz2
+import io
 import json
 import struct
 
 import pytest
 from pyspark.errors import PythonException
 
-from framelake.sources.decoding import BadRecording, decode, read_bag, read_mcap
-from framelake.sources.recordings import UnsupportedFormat, kind_of, read_recordings, register_sources
+from framelake.plans.convert import messages_of
+from framelake.sources.decoding import BadRecording, decode, mcap_summary, read_bag, read_mcap
+from framelake.sources.generate import Out, mcap_bytes
+from framelake.sources.recordings import UnsupportedFormat, _Reader, kind_of, read_messages, read_recordings, register_sources
 
 JOINT = "std_msgs/Header header\nstring[] name\nfloat64[] position\nuint8[] blob\nfloat32[2] pair\nint8 K=3\n===\nMSG: std_msgs/Header\nuint32 seq\ntime stamp\nstring frame_id"
 JOINT2 = JOINT.replace("uint32 seq\n", "").replace("time stamp", "builtin_interfaces/Time stamp") + "\n===\nMSG: builtin_interfaces/Time\nint32 sec\nuint32 nanosec"
@@ -106,3 +109,46 @@ def test_kinds(spark, tmp_path):
     with pytest.raises(PythonException, match="rrd"):
         read_recordings(spark, f"file://{tmp_path}").count()
     assert issubclass(UnsupportedFormat, ValueError)
+
+
+def test_chunks_and_summaries(spark, tmp_path):
+    """A file with a summary is cut at its chunks; topics and times keep chunks from being read; without one it is read through."""
+    out = [Out("/a" if k < 50 else "/b", "json", k, json.dumps([k]).encode()) for k in range(100)]
+    whole = mcap_bytes(out, "zstd", 10)
+    (tmp_path / "s.mcap").write_bytes(whole)
+    (tmp_path / "n.mcap").write_bytes(mcap_bytes(out, "lz4", 10, summary=False))
+    register_sources(spark)
+    chunks, reader = mcap_summary(io.BytesIO(whole), len(whole))
+    assert len(chunks) == 10 and {c.topic for c in reader.channels.values()} == {"/a", "/b"}
+    parts = lambda **o: [p for p in _Reader({"path": str(tmp_path / "s.mcap"), **o}, "mcap").partitions()]
+    assert sum(len(p.chunks) for p in parts()) == 10
+    assert sum(len(p.chunks) for p in parts(topics="/b")) == 5 and sum(len(p.chunks) for p in parts(start_ns="25", end_ns="41")) == 3
+    for name in ("s", "n"):
+        got = spark.read.format("mcap").option("typed", "true").option("start_ns", 25).option("end_ns", 41).load(str(tmp_path / f"{name}.mcap"))
+        assert [r["numbers"] for r in got.orderBy("seq").collect()] == [[float(k)] for k in range(25, 41)]
+        assert spark.read.format("mcap").option("topics", "/b").load(f"file://{tmp_path}/{name}.mcap").count() == 50
+
+
+def test_reading_goes_on_behind_damage(spark, tmp_path):
+    out = [Out("/a", "json", k, b"{" if k == 33 else json.dumps([k]).encode()) for k in range(100)]
+    data = bytearray(mcap_bytes(out, "zstd", 10))
+    at = mcap_summary(io.BytesIO(bytes(data)), len(data))[0][4].offset
+    data[at + 60 : at + 90] = bytes(30)  # inside the fifth chunk
+    (tmp_path / "x.mcap").write_bytes(bytes(data))
+    rows = read_recordings(spark, f"file://{tmp_path}", report=True)
+    assert rows.where("seq >= 0").count() == 89
+    assert [json.loads(r["data"]) for r in rows.where("seq < 0").collect()] == [{"blocks": 1, "messages": 1}]
+    with pytest.raises(PythonException):
+        read_recordings(spark, f"file://{tmp_path}", strict=True).count()
+    register_sources(spark)
+    assert spark.read.format("mcap").load(str(tmp_path / "x.mcap")).count() == 89
+
+
+def test_numbers_that_count(spark, tmp_path):
+    """8-bit joint positions are dropped; a picture's bytes may be an array; what is neither contributes nothing."""
+    small = "int8[] position"
+    out = [Out("/s", "ros1", 1, struct.pack("<I", 2) + b"ab", "x/Joint", small), Out("/v", "json", 2, b"[1, 2.5]"), Out("/t", "json", 3, b'"text"'), Out("/p", "json", 4, b'{"width": 1, "height": 1, "data": [[], [1, 2, 3]]}')]
+    (tmp_path / "x.mcap").write_bytes(mcap_bytes(out))
+    rows, infos = messages_of(read_messages(spark, f"file://{tmp_path}"))
+    got = {r["topic"]: r for r in rows.collect()}
+    assert set(got) == {"/v", "/p"} and got["/v"]["data"] == [1.0, 2.5] and got["/p"]["image"]["kind"] == "rgb" and infos.count() == 0
