@@ -124,6 +124,25 @@ def upload_progress(uploaded: Column, failed: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise((uploaded + failed) * 100.0 / F.nullif(total, F.lit(0)))
 
 
+def upload_complete(uploaded: Column, failed: Column, total: Column) -> Column:
+    return uploaded + failed >= total
+
+
+def files_progress(completed: Column, failed: Column, total: Column) -> Column:
+    """Percent of files that are done, well or not; 0 of none."""
+    return progress(completed + failed, total)
+
+
+def batch_summaries(specs: DataFrame, statuses: DataFrame, key: str = "id") -> DataFrame:
+    """Batches that have both a specification and a status; others are passed over."""
+    return specs.join(statuses, key)
+
+
+def unit_sizes(units: DataFrame, by: list[str], size: str = "size") -> DataFrame:
+    """Bytes and files of each unit of work."""
+    return units.groupBy(*by).agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.count("*").alias("files"))
+
+
 def staged_frames(staged: DataFrame) -> DataFrame:
     """Frames of a batch's workers, each worker's last report once."""
     last = staged.groupBy("batch", "worker").agg(F.max_by("frames", "reported_at").alias("frames"))

@@ -49,6 +49,21 @@ def info(totals: dict, fps: int, features: dict, name: str = "dataset", robot_ty
     }
 
 
+def assembled(episodes: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(episode_index, length, tasks) of episodes(episode_index, length, tasks ARRAY<STRING>): registered indices, in order; unknown names go."""
+    named = episodes.select("episode_index", F.explode("tasks").alias("task")).join(tasks, "task")
+    found = named.groupBy("episode_index").agg(F.array_sort(F.collect_set("task_index")).alias("tasks"))
+    none = F.array().cast("array<bigint>")
+    return episodes.select("episode_index", "length").join(found, "episode_index", "left").select("episode_index", "length", F.coalesce("tasks", none).alias("tasks"))
+
+
+def feature_table(features: DataFrame) -> dict:
+    """Registered features(name, dtype, shape), a row a feature, as the features of info.json, with the index columns added."""
+    own = {r["name"]: {"dtype": r["dtype"], "shape": list(r["shape"]), "names": None} for r in features.orderBy("name").collect()}
+    more = {n: v for n, v in feature_specs({}, {}).items() if n in ("timestamp", "episode_index", "index", "task_index")}
+    return own | more
+
+
 def segment_rollup(episodes: DataFrame) -> DataFrame:
     """(segment, start, end, episodes): the time range and ordered ids of a segment's episodes."""
     return episodes.groupBy("segment").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.collect_set("episode_id")).alias("episodes"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,9 +36,38 @@ def passthrough(batch: pd.DataFrame) -> pd.DataFrame:
     return batch
 
 
-def transformed(frames: DataFrame, transform: Callable[[pd.Series], bytes], out: str = "bytes") -> DataFrame:
-    """frames with a binary column of what transform makes of each row; order and partitions stay."""
-    return processed(frames, lambda b: b.assign(**{out: [transform(r) for _, r in b.iterrows()]}), f"`{out}` binary").drop("should_write")
+def transformed(frames: DataFrame, transform: Callable[[pd.DataFrame], Iterable[bytes]], out: str = "bytes") -> DataFrame:
+    """frames with a binary column of what transform makes of each batch, an entry a row; order and partitions stay."""
+    return processed(frames, lambda b: b.assign(**{out: list(transform(b))}), f"`{out}` binary").drop("should_write")
+
+
+class Hooks:
+    """A processor with a life: start once an episode, process on its frames in order, end after the last."""
+
+    def start(self, episode) -> None: ...
+
+    def process(self, frames: pd.DataFrame) -> pd.DataFrame:
+        return frames
+
+    def end(self, episode) -> None: ...
+
+
+def per_episode(frames: DataFrame, make: Callable[[], Hooks], added: str = "", episode: str = "episode_index", order: str = "frame_index") -> DataFrame:
+    """frames through hooks of one's own, made anew for each episode; the episode's frames come as one pandas frame.
+
+    An episode has to fit a task's memory, as frames without pictures do.
+    """
+    extra = T.StructType.fromDDL(added) if added else T.StructType()
+    schema = T.StructType([*frames.schema.fields, *extra.fields])
+
+    def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        hooks = make()
+        hooks.start(key[0])
+        out = hooks.process(batch.sort_values(order))
+        hooks.end(key[0])
+        return out[[f.name for f in schema.fields]]
+
+    return frames.groupBy(episode).applyInPandas(run, schema)
 
 
 def processor_stats(out: DataFrame) -> DataFrame:

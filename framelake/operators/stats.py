@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def vector_stats(rows: DataFrame, by: list[str], vector: str, order: str) -> DataFrame:
@@ -13,14 +14,19 @@ def vector_stats(rows: DataFrame, by: list[str], vector: str, order: str) -> Dat
     Null vectors are no rows.
     """
     rows = rows.where(F.col(vector).isNotNull())
-    width = F.min_by(F.size(vector), order)
-    n = rows.groupBy(*by).agg(F.count("*").alias("n_rows"), width.alias("width"))
-    cells = rows.select(*by, F.posexplode(vector).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    sums = cells.groupBy(*by, "dim").agg(F.min("x").alias("min"), F.max("x").alias("max"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
-    out = sums.join(n, by) if by else sums.crossJoin(F.broadcast(n))  # without keys n is a single row
+    # one pass: place 0 of a row stands for the row itself, its numbers follow
+    numbers = F.concat(F.array(F.lit(0.0)), F.col(vector).cast("array<double>"))
+    cells = rows.select(*by, F.struct(F.col(order).alias("o"), F.size(vector).alias("w")).alias("__row"), F.posexplode(numbers).alias("dim", "x"))
+    x = F.col("x")
+    sums = cells.groupBy(*by, "dim").agg(
+        F.count("*").alias("__n"), F.min(F.when(F.col("dim") == 0, F.col("__row"))).alias("__first"), F.min("x").alias("min"), F.max("x").alias("max"), F.sum("x").alias("s"), F.sum(x * x).alias("ss")
+    )
+    whole = Window.partitionBy(*by)  # over sums, a row a dimension
+    out = sums.withColumn("n_rows", F.max(F.when(F.col("dim") == 0, F.col("__n"))).over(whole)).withColumn("width", F.max(F.when(F.col("dim") == 0, F.col("__first.w"))).over(whole))
+    out = out.where("dim > 0 AND dim <= width").withColumn("dim", F.col("dim") - 1)
     mean = F.col("s") / F.col("n_rows")
     std = F.sqrt(F.greatest(F.lit(0.0), F.col("ss") / F.col("n_rows") - mean * mean))
-    return out.where("dim < width").select(*by, "dim", "n_rows", "min", "max", mean.alias("mean"), std.alias("std"))
+    return out.select(*by, "dim", "n_rows", "min", "max", mean.alias("mean"), std.alias("std"))
 
 
 def episode_stats(rows: DataFrame, by: list[str], vectors: dict[str, str], order: str = "frame_index") -> DataFrame:
@@ -67,6 +73,17 @@ def writer_totals(parts: DataFrame) -> DataFrame:
     return out.withColumns({"fps": rate("frames", "seconds"), "mb_per_sec": rate(F.col("bytes") / 1048576, "seconds")})
 
 
+def share(part: Column, rest: Column) -> Column:
+    """part of part and rest, 0 of nothing: names found again among all, or hits of a cache."""
+    whole = part + rest
+    return F.when(whole > 0, part / F.nullif(whole, F.lit(0))).otherwise(F.lit(0.0))
+
+
+def average(amount: Column, n: Column) -> Column:
+    """amount by n; 0 for none."""
+    return F.when(n > 0, amount / F.nullif(n, F.lit(0))).otherwise(F.lit(0.0))
+
+
 def rate(amount, seconds):
     """amount a second; 0 for no time."""
     amount, seconds = (F.col(x) if isinstance(x, str) else x for x in (amount, seconds))

@@ -44,11 +44,20 @@ def duplicate_tasks(tasks: DataFrame) -> DataFrame:
 
 
 def summary(rows: DataFrame) -> DataFrame:
-    """Episodes, frames, features, tasks and videos of rows(episode_index, length, feature, task, is_video)."""
-    return rows.agg(
-        F.count_distinct("episode_index").alias("episodes"), F.count_distinct("feature").alias("features"), F.count_distinct("task").alias("tasks"),
+    """Episodes, frames, features, tasks and videos of rows(episode_index, length, feature, task, is_video), an episode's length in each of its rows."""
+    names = rows.agg(
+        F.count_distinct("feature").alias("features"), F.count_distinct("task").alias("tasks"),
         F.count_distinct(F.when(F.col("is_video"), F.struct("episode_index", "feature"))).alias("videos"),
     )
+    own = rows.groupBy("episode_index").agg(F.max("length").alias("length"))
+    sizes = own.agg(F.count("*").alias("episodes"), F.coalesce(F.sum("length"), F.lit(0)).alias("frames"))
+    return sizes.crossJoin(names)  # a row each
+
+
+def overview(episodes: DataFrame) -> DataFrame:
+    """Episodes, frames, whole frames an episode on the average, and the range of indices of episodes(episode_index, length)."""
+    found = episodes.agg(F.count("*").alias("episodes"), F.coalesce(F.sum("length"), F.lit(0)).alias("frames"), F.min("episode_index").alias("first"), F.max("episode_index").alias("last"))
+    return found.withColumn("average", F.when(F.col("episodes") > 0, F.expr("frames div nullif(episodes, 0)")).otherwise(F.lit(0)))
 
 
 def inspect(present: DataFrame) -> DataFrame:

@@ -33,6 +33,25 @@ def fragment_full(frames: Column, held_bytes: Column, most_frames: int, most_byt
     return (frames >= most_frames) | (held_bytes >= most_bytes) | (frames / F.lit(fps) >= seconds)
 
 
+def fragments_by_bytes(images: DataFrame, by: list[str], order: str, frames: int, most_bytes: int, seconds: float, fps: int, size: str = "size") -> DataFrame:
+    """(by, order, fragment): as fragments(), and full too once its frames hold most_bytes.
+
+    Where a fragment ends depends on where the one before did, so a fold runs over the sizes of an episode's frames.
+    """
+    rows = images.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("f"))
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("n"), zero.alias("b"), zero.alias("k"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n, b = acc["n"] + 1, acc["b"] + F.coalesce(x["s"], zero)
+        full = fragment_full(n, b, frames, most_bytes, seconds, fps)
+        return F.struct(F.when(full, zero).otherwise(n).alias("n"), F.when(full, zero).otherwise(b).alias("b"), (acc["k"] + full.cast("long")).alias("k"), F.concat(acc["out"], F.array(acc["k"])).alias("out"))
+
+    found = F.aggregate("f", start, step, lambda acc: acc["out"])
+    cells = rows.select(*by, F.explode(F.arrays_zip(F.col("f.o").alias("o"), found.alias("fragment"))).alias("x"))
+    return cells.select(*by, F.col("x.o").alias(order), F.col("x.fragment").alias("fragment"))
+
+
 def manifest(images: DataFrame, per_chunk: int = 500) -> DataFrame:
     """(path, episode_index, camera, frames, width, height) a video: what an encoder outside of Spark is given."""
     kept = images.where("fits").groupBy("episode_index", "camera").agg(

@@ -172,10 +172,12 @@ def frame_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("source", "timestamp_ns", F.get("state", F.lit(0)).alias("state"), F.get("action", F.lit(0)).alias("action"), "timestamp")
 
 
-@query(f"WITH {EV} SELECT source, count(*) AS n FROM (SELECT DISTINCT source, ns // {DAY} FROM ev QUALIFY row_number() OVER (PARTITION BY source ORDER BY ns // {DAY}) >= 1) GROUP BY source HAVING n > 0 ORDER BY 1".replace("count(*) AS n FROM", "least(count(*), 5) AS n FROM"))
+@query(f"WITH {EV}, g AS (SELECT *, CASE WHEN ns - lag(ns) OVER (PARTITION BY source ORDER BY seq) > {3 * DAY} THEN 1 ELSE 0 END AS j FROM ev), e AS (SELECT DISTINCT source, CAST(sum(j) OVER (PARTITION BY source ORDER BY seq) AS BIGINT) AS episode, ns // {DAY} * {DAY} AS timestamp_ns FROM g) SELECT source, episode, timestamp_ns FROM e QUALIFY row_number() OVER (PARTITION BY source ORDER BY episode, timestamp_ns) <= 5")
 def max_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = align.bucketed(mapping.with_role(_mapped(spark, sf_dir)), interval=DAY)
-    return mapping.first_frames(align.frames(messages, ["source"]), 5).groupBy("source").agg(F.count("*").alias("n"))
+    """The first five frames of each source, over all its episodes."""
+    messages = episodes.by_gap(_mapped(spark, sf_dir), 3 * DAY, ["source"], ["seq"])
+    out = align.frames(align.bucketed(mapping.with_role(messages), interval=DAY), ["source", "episode"])
+    return mapping.first_frames(out, 5, ["source"], ["episode", "frame_index"]).select("source", "episode", "timestamp_ns")
 
 
 # --- episodes
@@ -255,12 +257,14 @@ def forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frame of episodes that have a state, filled, a column a dimension."""
     out = frames.filled(line_frames(spark, sf_dir), ["episode_index"])
-    return frames.pivoted(out.drop("state_dim"), {"state": ("observation.state", 2), "action": ("action", 2)})
+    return frames.pivoted(out.drop("state_dim", "action_dim"), {"state": ("observation.state", 2), "action": ("action", 2)})
 
 
-@query(f"WITH {FR} SELECT episode_index, frame_index FROM fr WHERE state IS NOT NULL")
+@query(f"WITH {FR}, k AS (SELECT *, last_value(action IGNORE NULLS) OVER (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a FROM fr WHERE state IS NOT NULL) SELECT episode_index, frame_index, state[1] AS s0, coalesce(a[1], 0) AS a0, coalesce(a[2], 0) AS a1 FROM k")
 def stated_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.stated_only(line_frames(spark, sf_dir), ["episode_index"]).select("episode_index", "frame_index")
+    """The stricter writer's rows: frames with a state, and actions as seen on those."""
+    out = frames.stated_only(line_frames(spark, sf_dir), ["episode_index"])
+    return out.select("episode_index", "frame_index", F.get("state", F.lit(0)).alias("s0"), F.get("action", F.lit(0)).alias("a0"), F.get("action", F.lit(1)).alias("a1"))
 
 
 @query(f"WITH {FR} SELECT episode_index FROM fr GROUP BY 1 HAVING count(state) = 0")
@@ -360,10 +364,10 @@ def dataset_inspector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.inspect(_present(spark, sf_dir)).withColumn("share", F.round("share", 9))
 
 
-@query("WITH a AS (SELECT DISTINCT user_id AS episode_index, event_type AS feature FROM events), b AS (SELECT DISTINCT user_id AS episode_index, event_type AS feature FROM events WHERE value > 20) SELECT * FROM a ANTI JOIN b USING (episode_index, feature)")
+@query("WITH a AS (SELECT DISTINCT user_id AS episode_index, event_type AS feature FROM events), b AS (SELECT DISTINCT user_id AS episode_index, event_type AS feature FROM events WHERE event_id % 5 = 0) SELECT * FROM a ANTI JOIN b USING (episode_index, feature)")
 def missing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("episode_index"), F.col("event_type").alias("feature"), "value")
-    return validate.missing_stats(e, e.where("value > 20"))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("episode_index"), F.col("event_type").alias("feature"), "event_id")
+    return validate.missing_stats(e, e.where("event_id % 5 = 0"))
 
 
 @query("SELECT p_type AS task, array_to_string(list_sort(list(DISTINCT p_size)), ',') AS indices FROM part GROUP BY 1 HAVING count(DISTINCT p_size) > 1")
@@ -389,10 +393,10 @@ def feature_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.conflicting_features(_specs(spark, sf_dir))
 
 
-@query("SELECT count(DISTINCT user_id) AS episodes, count(DISTINCT event_type) AS features, count(DISTINCT props) AS tasks, count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS videos FROM events")
+@query("SELECT count(DISTINCT user_id) AS episodes, CAST((SELECT sum(u % 9) FROM (SELECT DISTINCT user_id AS u FROM events)) AS BIGINT) AS frames, count(DISTINCT event_type) AS features, count(DISTINCT props) AS tasks, count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS videos FROM events")
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return validate.summary(e.select(F.col("user_id").alias("episode_index"), F.col("event_type").alias("feature"), F.col("props").alias("task"), (F.col("event_type") == "view").alias("is_video")))
+    return validate.summary(e.select(F.col("user_id").alias("episode_index"), (F.col("user_id") % 9).alias("length"), F.col("event_type").alias("feature"), F.col("props").alias("task"), (F.col("event_type") == "view").alias("is_video")))
 
 
 @query("SELECT l_orderkey AS id, CAST(NULL AS BIGINT) AS c, l_quantity AS q FROM lineitem UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders")
@@ -437,11 +441,12 @@ def reclaim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.reclaimed(control.orphans(*_stale(spark, sf_dir)), 10).select("id", "status", "error")
 
 
-@query("SELECT o_orderkey AS id, o_orderstatus AS phase, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey")
+@query("SELECT o_orderkey AS id, o_orderstatus AS phase, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 3 <> 0")
 def spec_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches with both a status (orders) and a specification (customer)."""
     spec = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"))
-    return table(spark, sf_dir, "orders").join(spec, "o_custkey").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("phase"), "name")
+    statuses = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("order"), F.col("o_orderstatus").alias("phase"), "o_custkey")
+    return control.batch_summaries(spec, statuses, "o_custkey").select(F.col("order").alias("id"), "phase", "name")
 
 
 _CNT = "c AS (SELECT batch, count(*) FILTER (status = 'Complete') AS completed, count(*) FILTER (status IN ('Failed', 'Dead')) AS failed, count(*) FILTER (status = 'Processing') AS processing FROM un GROUP BY batch), n AS (SELECT *, completed + failed + processing AS total FROM c)"
@@ -452,10 +457,10 @@ def unit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.unit_counts(_units(spark, sf_dir), ["batch"])
 
 
-@query(f"WITH {UN} SELECT batch, count(*) AS n, min(id) AS first_id FROM un WHERE status IN ('Failed', 'Dead') GROUP BY batch")
+@query(f"WITH {UN} SELECT batch, count(*) AS n, min(id) AS first_id, CAST(sum(id * attempts) AS BIGINT) AS checked FROM un WHERE status IN ('Failed', 'Dead') GROUP BY batch")
 def failed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = control.failed_units(_units(spark, sf_dir), ["batch"], ["id", "size", "attempts"])
-    return out.select("batch", F.size("failed_units").cast("long").alias("n"), F.expr("failed_units[0].id").alias("first_id"))
+    return out.select("batch", F.size("failed_units").cast("long").alias("n"), F.expr("failed_units[0].id").alias("first_id"), F.expr("aggregate(failed_units, 0L, (a, x) -> a + x.id * x.attempts)").alias("checked"))
 
 
 @query(f"WITH {UN}, {_CNT}, l AS (SELECT *, (SELECT median(failed) FROM n) AS lim FROM n) SELECT batch, CASE WHEN failed > 250 THEN 'Failed' WHEN completed + failed >= total AND total > 0 THEN CASE WHEN failed > 0 THEN 'Failed' ELSE 'Merging' END ELSE 'Running' END AS phase FROM l")
@@ -509,9 +514,11 @@ def list_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.listed(rows, phase="P").select("id")
 
 
-@query(f"WITH {UN}, {_CNT} SELECT batch FROM n WHERE total > 0 AND completed + failed >= total")
+@query(f"WITH {UN}, u AS (SELECT id % 400 AS b, * FROM un) SELECT b FROM u GROUP BY b HAVING count(*) FILTER (status IN ('Complete', 'Failed', 'Dead')) > 0 AND count(*) FILTER (status = 'Processing') = 0 AND b % 4 <> 0")
 def ready_to_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.ready_to_finalize(unit_counts(spark, sf_dir).withColumn("phase", F.lit("Running"))).select("batch")
+    """Running batches with no unit at work; every fourth batch isn't running."""
+    counts = control.unit_counts(_units(spark, sf_dir).withColumn("b", F.col("id") % 400), ["b"])
+    return control.ready_to_finalize(counts.withColumn("phase", F.when(F.col("b") % 4 == 0, F.lit("Suspended")).otherwise(F.lit("Running")))).select("b")
 
 
 @query("SELECT l_suppkey % 20 AS batch, CAST(sum(frames) AS BIGINT) AS frames, count(*) AS workers FROM (SELECT l_suppkey, arg_max(l_linenumber, l_orderkey * 10 + l_linenumber) AS frames FROM lineitem GROUP BY l_suppkey) GROUP BY 1")
@@ -617,11 +624,4 @@ def video_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {UN} SELECT batch, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS files FROM un GROUP BY batch")
 def unit_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _units(spark, sf_dir).groupBy("batch").agg(F.sum("size").alias("bytes"), F.count("*").alias("files"))
-
-
-@query("SELECT conv_id AS episode_index, count(*) AS length, min(turn) AS first, CAST(count(*) - 1 - max(turn) AS BIGINT) AS hole FROM conversations GROUP BY 1")
-def conversation_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as episodes: length, first frame, and whether frame numbers have holes."""
-    out = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("episode_index")).agg(F.count("*").alias("length"), F.min("turn").alias("first"), F.max("turn").alias("last"))
-    return out.select("episode_index", "length", "first", (F.col("length") - 1 - F.col("last")).alias("hole"))
+    return control.unit_sizes(_units(spark, sf_dir), ["batch"])

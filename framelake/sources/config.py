@@ -42,6 +42,8 @@ class Config:
     part_bytes: int = 16 * MIB
     window_frames: int = 3
     required: tuple[str, ...] = field(default=())
+    flush_images: int = 1000
+    flush_bytes: int = 2 * GIB
 
     def __post_init__(self) -> None:
         faults = [
@@ -53,6 +55,8 @@ class Config:
             (len({m.topic for m in self.mappings}) != len(self.mappings), "a topic is mapped twice"),
             (any(m.type not in TYPES for m in self.mappings), f"mapping types are {', '.join(TYPES)}"),
             (self.profile is not None and self.profile not in PROFILES, f"profiles are {', '.join(PROFILES)}"),
+            (self.mode not in ("floor", "round"), "mode is floor or round"),
+            (self.emit not in ("per_bucket", "per_message"), "emit is per_bucket or per_message"),
             (self.gap_ns is not None and self.frames_per_episode is not None, "one way to cut episodes at a time"),
         ]
         for bad, what in faults:
@@ -62,16 +66,25 @@ class Config:
     def of_type(self, kind: str) -> list[Mapping]:
         return [m for m in self.mappings if m.type == kind]
 
+    def should_flush(self, images: int, held_bytes: int) -> bool:
+        return should_flush(images, held_bytes, self.flush_images, self.flush_bytes)
+
     def encoder(self) -> tuple[str, int]:
         return PROFILES[self.profile] if self.profile else ("medium", self.crf)
 
 
 def from_toml(text: str) -> Config:
-    """[dataset] name, fps, robot_type; [[mappings]] topic, feature, mapping_type; [video]; [streaming]; [flushing]."""
+    """[dataset] name, fps, robot_type; [[mappings]] topic, feature, mapping_type; [video]; [streaming] ring_buffer, part_bytes, mode,
+
+    emit, max_frames, gap_ns, frames_per_episode, window_frames, required; [flushing] max_images, max_bytes. Unknown keys are passed over.
+    """
     raw = tomllib.loads(text)
     data, video, more = raw.get("dataset", {}), raw.get("video", {}), raw.get("streaming", {})
     maps = tuple(Mapping(m["topic"], m["feature"], m.get("mapping_type", m.get("type", "state")).lower()) for m in raw.get("mappings", []))
-    known = {k: more[k] for k in ("ring_buffer", "part_bytes") if k in more}
+    names = ("ring_buffer", "part_bytes", "mode", "emit", "max_frames", "gap_ns", "frames_per_episode", "window_frames")
+    known = {k: more[k] for k in names if k in more}
+    known["required"] = tuple(more.get("required", ()))
+    known |= {own: raw["flushing"][k] for own, k in (("flush_images", "max_images"), ("flush_bytes", "max_bytes")) if k in raw.get("flushing", {})}
     return Config(data["name"], data.get("fps", 30), data.get("robot_type"), maps, video.get("codec", "libx264"), video.get("crf", 18), video.get("profile"), **known)
 
 

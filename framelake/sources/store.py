@@ -1,7 +1,7 @@
 """Catalogue tables by key: episodes, segments, upload states, configurations, statistics.
 
-A table is a log of Parquet files: puts and deletes are appended with a version, and the last entry of a key counts. One
-writer at a time; readers see whole appends.
+A table is a log of Parquet files: puts and deletes are appended with a version, and the last entry of a key counts. A
+version is taken by making its mark, which fails if another writer was first; readers see whole appends.
 """
 
 from __future__ import annotations
@@ -24,12 +24,28 @@ class KeyedTable:
     def _log(self) -> DataFrame:
         full = f"{self.schema}, __version long, __gone boolean"
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p) or not any(f.getPath().getName().startswith("part-") for f in fs.listStatus(p)):
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).parquet(self.path)
 
+    def _take(self) -> int:
+        """The next version, as this writer's own."""
+        marks = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
+        fs = marks.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(marks)
+        version = 1 + max((int(f.getPath().getName()) for f in fs.listStatus(marks)), default=0)
+        while True:
+            try:
+                fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(marks, f"{version:012d}"), False).close()
+                return version
+            except Exception as e:
+                if "Exists" not in str(e) and "exists" not in str(e):
+                    raise
+                version += 1
+
     def _append(self, rows: DataFrame, gone: bool) -> None:
-        version = (self._log().agg(F.max("__version")).head()[0] or 0) + 1
+        version = self._take()
         rows.withColumns({"__version": F.lit(version).cast("long"), "__gone": F.lit(gone)}).write.mode("append").parquet(self.path)
 
     def put(self, rows: DataFrame) -> None:
@@ -52,6 +68,8 @@ class KeyedTable:
 
 EPISODES = "episode_id string, segment string, start long, `end` long, path string"
 SEGMENTS = "segment string, config_hash string, start long, `end` long"
+CONFIGS = "hash string, content string"
+STATS = "batch string, frames long, bytes long, seconds double"
 UPLOADS = "episode_id string, total long, uploaded long, failed long"
 
 
@@ -63,3 +81,17 @@ def first_by_config(segments: DataFrame, config_hash: str) -> DataFrame:
 def config_hash(config: dict) -> str:
     """Name of a configuration by its content: key order doesn't matter."""
     return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def put_config(table: KeyedTable, config: dict) -> str:
+    """Store a configuration under its hash, once however often it is put; the hash."""
+    name = config_hash(config)
+    rows = table.spark.createDataFrame([(name, json.dumps(config, sort_keys=True))], CONFIGS)
+    if table.get(rows.select("hash")).isEmpty():
+        table.put(rows)
+    return name
+
+
+def get_config(table: KeyedTable, name: str) -> dict | None:
+    found = table.get(table.spark.createDataFrame([(name,)], "hash string")).head()
+    return json.loads(found["content"]) if found else None

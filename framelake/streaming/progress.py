@@ -27,3 +27,11 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         self._add("error" if event.exception else "completed", str(event.id), -1, 0, 0, 0)
+
+    def peak_state(self) -> int:
+        """The most rows of state that any batch left behind."""
+        return max((e[5] for e in self.events), default=0)
+
+    def late(self) -> int:
+        """Rows that were dropped behind the watermark."""
+        return sum(e[4] for e in self.events)
