@@ -14,19 +14,18 @@ from pyspark.sql import functions as F
 from framelake.llm.common import dropped, split_join, stored
 
 
-def _large_star(edges: DataFrame, n: int) -> tuple[DataFrame, str]:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low, path = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
     # larger neighbours only: of an edge, the row that begins at its lower end
-    up = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    near = split_join(up, low, ["u"], "n", 2 * n)
-    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), path
+    near = split_join(edges.select(F.col("v").alias("u"), F.col("u").alias("v")), low, ["u"], "n", 2 * n)
+    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame, n: int) -> tuple[DataFrame, str]:
-    low, path = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     near = split_join(edges, low, ["u"], "n", n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return near.union(low.select("u", F.col("m").alias("v"))).distinct(), path
+    return near.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -46,13 +45,9 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen[0]:
             break
-        large, large_low = _large_star(edges, seen[0])
-        large, large_path = stored(large, "links")
-        small, small_low = _small_star(large, seen[0])
-        new, new_path = stored(small, "links")
+        new, new_path = stored(_small_star(_large_star(edges, seen[0]), seen[0]), "links")
         now = _mark(new)
-        for gone in (path, large_low, large_path, small_low):
-            dropped(spark, gone)
+        dropped(spark, path)
         edges, path = new, new_path
         if now == seen:
             break
