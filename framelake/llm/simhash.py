@@ -156,31 +156,96 @@ def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray,
     return np.nonzero(near)
 
 
+#: Rows of a group up to which its pairs join those of other groups in one comparison.
+FEW = 24
+
+
+def few_pairs(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, sides: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs inside small groups that differ in at most radius bits; with sides, only pairs of a true and a false one.
+
+    Pairs of all groups are the lanes of one bit-sliced comparison: planes of their differing bits are added up.
+    """
+    size = np.repeat(ends - starts, ends - starts)
+    rows = np.concatenate([np.arange(s, e) for s, e in zip(starts, ends, strict=True)]) if len(starts) else np.zeros(0, np.int64)
+    left = size - (rows - np.repeat(starts, ends - starts))  # rows of the group from this one on
+    us, vs = [], []
+    for gap in range(1, int(size.max(initial=0))):
+        a = rows[left > gap]
+        b = a + gap
+        if sides is not None:
+            apart = sides[a] != sides[b]
+            a, b = a[apart], b[apart]
+        for k in range(0, len(a), 1 << 16):
+            x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+            near = ~_summed(prints[x] ^ prints[y], radius)
+            us.append(x[near])
+            vs.append(y[near])
+    none = np.zeros(0, np.int64)
+    return np.concatenate(us or [none]), np.concatenate(vs or [none])
+
+
+def _summed(differ: np.ndarray, radius: int) -> np.ndarray:
+    """Whether each of differ (n x words) has more than radius bits set: carry-save counters over bit planes, a lane a row."""
+    n = len(differ)
+    if not n:
+        return np.zeros(0, bool)
+    lanes = -(-n // 64)
+    padded = np.zeros((lanes * 64, differ.shape[1]), np.uint64)
+    padded[:n] = differ
+    out = np.full(lanes, ~np.uint64(0))
+    digits = [np.zeros(lanes, np.uint64) for _ in range(max(1, radius.bit_length()))]
+    full, alive = np.zeros(lanes, np.uint64), np.arange(lanes)
+    for w in range(differ.shape[1]):
+        own = np.ascontiguousarray(padded[:, w]).reshape(lanes, 64)[alive]
+        flags = np.unpackbits(own.view(np.uint8).reshape(len(alive), 64, 8), axis=2, bitorder="little")  # lanes x rows x bits
+        planes = np.ascontiguousarray(np.packbits(flags.transpose(2, 0, 1), axis=2, bitorder="little")).view("<u8")[..., 0]  # bits x lanes
+        for carry in planes:
+            for d in digits:
+                was = d & carry
+                d ^= carry
+                carry = was
+            full |= carry
+        passed = full | _above(digits, radius)
+        live = passed != ~np.uint64(0)
+        if w == differ.shape[1] - 1:
+            out[alive] = passed
+        elif not live.all():  # whole words of lanes are over the radius
+            alive, full, digits = alive[live], full[live], [d[live] for d in digits]
+            if not len(alive):
+                break
+    return np.unpackbits(out.view(np.uint8), bitorder="little")[:n].astype(bool)
+
+
+def _close(piece: pa.Table, prints: np.ndarray, keys: list[str], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Close pairs of rows of sorted tiles, as (a, b): those of all small tiles at once, then tile by tile."""
+    first, i, j = piece.column("first").to_numpy(), piece.column("i").to_numpy(), piece.column("j").to_numpy()
+    starts, ends = group_bounds(piece, keys)
+    own, size = i[starts] == j[starts], ends - starts
+    for same in (True, False):
+        few = (size > 1) & (size <= FEW) & (own == same)
+        yield few_pairs(prints, starts[few], ends[few], None if same else first, radius)
+    wide = size > FEW
+    for s, e in zip(starts[wide], ends[wide], strict=True):
+        if i[s] == j[s]:
+            a, b = close_pairs(prints[s:e], prints[s:e], radius)
+            yield s + a[a < b], s + b[a < b]
+        else:
+            left, right = s + np.flatnonzero(first[s:e]), s + np.flatnonzero(~first[s:e])
+            if len(left) and len(right):
+                a, b = close_pairs(prints[left], prints[right], radius)
+                yield left[a], right[b]
+
+
 def _tile_links(radius: int):
     keys = ["c", "key", "i", "j"]
 
     def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
         fps = piece.column("fp").to_numpy().view(np.uint64)
-        first, i, j = piece.column("first").to_numpy(), piece.column("i").to_numpy(), piece.column("j").to_numpy()
-        us, vs = [], []
-        starts, ends = group_bounds(piece, keys)
-        wide = ends - starts > 1
-        for s, e in zip(starts[wide], ends[wide], strict=True):
-            own = fps[s:e]
-            if i[s] == j[s]:
-                a, b = close_pairs(own, own, radius)
-                a, b = a[a < b], b[a < b]
-            else:
-                left, right = np.flatnonzero(first[s:e]), np.flatnonzero(~first[s:e])
-                if not len(left) or not len(right):
-                    continue
-                a, b = close_pairs(own[left], own[right], radius)
-                a, b = left[a], right[b]
-            x, y = spanning_links(len(own), a, b)
-            us.append(own[x])
-            vs.append(own[y])
-        if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).view(np.int64)) for z in (us, vs)], ["u", "v"])
+        for a, b in _close(piece, fps.reshape(-1, 1), keys, radius):
+            if len(a):
+                rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                x, y = spanning_links(len(rows), at[: len(a)], at[len(a) :])
+                yield pa.RecordBatch.from_arrays([pa.array(fps[rows[z]].view(np.int64)) for z in (x, y)], ["u", "v"])
 
     return lambda batches: key_runs(batches, keys, handle)
 
@@ -288,30 +353,19 @@ def nearest_forest(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.nd
 
 
 def _similar_tiles(radius: int):
-    """Sorted tiles -> links (u, v), u before v, of each tile's nearest-first forest."""
+    """Sorted tiles -> links (u, v) of each tile's nearest-first forest."""
     keys = ["c", "key", "i", "j"]
 
     def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
         prints = np.stack([piece.column(f"f{k}").to_numpy() for k in range(WIDE)], axis=1).view(np.uint64)
-        first, i, j = piece.column("first").to_numpy(), piece.column("i").to_numpy(), piece.column("j").to_numpy()
         us, vs = [], []
-        starts, ends = group_bounds(piece, keys)
-        wide = ends - starts > 1
-        for s, e in zip(starts[wide], ends[wide], strict=True):
-            own = prints[s:e]
-            if i[s] == j[s]:
-                a, b = close_pairs(own, own, radius)
-                a, b = a[a < b], b[a < b]
-            else:
-                left, right = np.flatnonzero(first[s:e]), np.flatnonzero(~first[s:e])
-                if not len(left) or not len(right):
-                    continue
-                a, b = close_pairs(own[left], own[right], radius)
-                a, b = left[a], right[b]
+        for a, b in _close(piece, prints, keys, radius):
             if len(a):
-                keep = nearest_forest(len(own), a, b, np.bitwise_count(own[a] ^ own[b]).sum(axis=1, dtype=np.int64))
-                us.append(s + a[keep])
-                vs.append(s + b[keep])
+                rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                distance = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
+                keep = nearest_forest(len(rows), at[: len(a)], at[len(a) :], distance)
+                us.append(a[keep])
+                vs.append(b[keep])
         if us:
             k = piece.column("k")
             u, v = (k.take(pa.array(np.concatenate(x))).combine_chunks() for x in (us, vs))
