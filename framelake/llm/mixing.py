@@ -14,6 +14,7 @@ sum inside each bucket, and a source's slots from sums per run of shards and a r
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +102,14 @@ def _hashed(df: DataFrame, seed: int) -> DataFrame:
     return df.withColumns({"__h": F.xxhash64(F.lit(seed), *every), "__h2": F.xxhash64(F.lit(seed + 1), *every)})
 
 
+def _stride(n: int) -> int:
+    """A factor that permutes 0..n-1 and takes neighbours far apart; no product with it overflows 63 bits."""
+    k = max(1, min(int(0.618 * n), (1 << 62) // max(n, 1)))
+    while math.gcd(k, n) > 1:
+        k -= 1
+    return k
+
+
 def _draw(listed: list, total: int, key: Column) -> Column:
     """Index of the source in whose part of 0..total-1 a hash falls."""
     ends, at = [], 0
@@ -115,7 +124,8 @@ def _slots(spark, sources: DataFrame, listed: list, shard_slots: int, seed: int)
         F.expr(f"id div {shard_slots}").alias("shard"), _draw(listed, total, F.xxhash64(F.lit(seed), F.lit("slot"), "id")).alias("__sid") if total else F.lit(0).alias("__sid")
     )
     counts, _ = stored(drawn.groupBy("shard", "__sid").agg(F.count("*").alias("n")), "counts")
-    # what a source drew beyond its quota, dealt in order to what others lack
+    # what a source drew beyond its quota, dealt in order to what others lack; slots are numbered by strides, so that what is
+    # dealt anew is spread over all shards and leaves each one's counts nearly as drawn
     got = {r["__sid"]: r["n"] for r in counts.groupBy("__sid").agg(F.sum("n").alias("n")).collect()}
     over, lack, a, b = {}, [], 0, 0
     for row in listed:
@@ -137,7 +147,11 @@ def _slots(spark, sources: DataFrame, listed: list, shard_slots: int, seed: int)
     # by number, so that the few rows before the explosion do not end up in one task
     based = based.repartition(max(1, -(-total // TASK_SLOTS)), "shard", "__sid")
     slots = based.select("shard", "__sid", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("t"))
+    strides = F.array(*[F.lit(_stride(got.get(r[0], 0))).cast("long") for r in listed])
+    drawn_of = F.array(*[F.lit(max(1, got.get(r[0], 0))).cast("long") for r in listed])
+    at = F.col("__sid") + 1
     if over:
+        slots = slots.withColumn("t", F.pmod(F.col("t") * F.element_at(strides, at), F.element_at(drawn_of, at)))
         quota = F.element_at(F.array(*[F.lit(r[5]).cast("long") for r in listed]), F.col("__sid") + 1)
         first = F.element_at(F.array(*[F.lit(over.get(r[0], 0)).cast("long") for r in listed]), F.col("__sid") + 1)
         place = first + F.col("t") - quota
