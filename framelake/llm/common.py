@@ -126,7 +126,8 @@ def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         finally:
             _MADE.reset(token)
             for path in made:
-                if spark._jvm.java.net.URI(path).getPath() in needed:
+                own = spark._jvm.java.net.URI(path).getPath()
+                if any(x == own or x.startswith(f"{own}/") for x in needed):
                     if before is not None:
                         before.append(path)
                 else:
