@@ -60,13 +60,14 @@ def item_windows(bench: DataFrame, width: int, item: str = "item_id", text: str
     return w.select("item", "n", F.explode_outer(win).alias("win")).distinct()
 
 
-def candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], text: str, width: int, k: int, carry: list[str]) -> DataFrame:
-    """Rows of own (carried columns as c0, c1, ..., n_words) and key, the MD5 of the text: one with null cand a document, and
+def candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], text: str, width: int, k: int, carry: list[str], every: bool = True) -> DataFrame:
+    """Rows of own (carried columns as c0, c1, ..., n_words) and key, the MD5 of the text: one with null cand a document, if
 
-    for each fingerprint that the document has in common with the benchmark one with cand, its windows (start, n, win).
+    every is set, and for each fingerprint that the document has in common with the benchmark one with cand, its windows
+    (start, n, win). A filter on cand would have Spark carry the words with each fingerprint: leave documents out here.
     """
     inner = {n: k if n == width else n for n in lengths}
-    prints = docs.sparkSession.createDataFrame([(OWN, OWN)], "h long, j int")
+    prints = docs.sparkSession.createDataFrame([(OWN, OWN)] if every else [], "h long, j int")
     for j, n in enumerate(lengths):
         own = windows.where(F.col("n") == n).select(F.split("win", " ").alias("w"))
         prints = prints.union(own.select(F.explode_outer(F.expr(fingerprints("w", n, inner[n]))).alias("h"), F.lit(j).alias("j")).distinct())
@@ -83,7 +84,8 @@ def candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], text: st
         narrow = seen.select(F.md5("text").alias("key"), F.explode_outer("hs").alias("h")).where(F.col("h") != OWN).distinct()
         shared = narrow.join(prints.where(f"j <> {OWN}").hint("merge"), "h").select("key", "h", "j")
         met = seen.join(shared.hint("merge"), F.md5("text") == F.col("key")).drop("key")
-        met = met.unionByName(seen.withColumns({"h": F.lit(OWN).cast("long"), "j": F.lit(OWN)}))
+        if every:
+            met = met.unionByName(seen.withColumns({"h": F.lit(OWN).cast("long"), "j": F.lit(OWN)}))
     size = F.element_at(F.array(*map(F.lit, lengths)), F.col("j") + 1)
     places = F.expr("filter(transform(l[j], (x, i) -> IF(x = h, i, NULL)), i -> i IS NOT NULL)")
     cut = F.transform(places, lambda i: F.struct(i.alias("start"), size.alias("n"), F.array_join(F.slice("w", i + 1, size), " ").alias("win")))
@@ -132,7 +134,7 @@ def clean(docs: DataFrame, bench: DataFrame, text: str = "text", width: int = 10
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())
     if not lengths:
         return docs
-    suspects = candidates(docs, windows, lengths, text, width, k, []).where("cand IS NOT NULL").select("key", "cand")
+    suspects = candidates(docs, windows, lengths, text, width, k, [], every=False).select("key", "cand")
     suspects, _ = stored(suspects, "candidates")
     gone, _ = stored(hits_of(suspects, windows).select(F.col("key").alias("__key")), "contaminated")
     return docs.join(checked_broadcast(gone, gone.count()), F.md5(F.col(f"`{text}`")) == F.col("__key"), "left_anti")
