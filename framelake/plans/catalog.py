@@ -514,10 +514,10 @@ def list_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.listed(rows, phase="P").select("id")
 
 
-@query(f"WITH {UN}, u AS (SELECT id % 400 AS b, * FROM un) SELECT b FROM u GROUP BY b HAVING count(*) FILTER (status IN ('Complete', 'Failed', 'Dead')) > 0 AND count(*) FILTER (status = 'Processing') = 0 AND b % 4 <> 0")
+@query(f"WITH {UN}, u AS (SELECT id // 6 AS b, * FROM un) SELECT b FROM u GROUP BY b HAVING count(*) FILTER (status IN ('Complete', 'Failed', 'Dead')) > 0 AND count(*) FILTER (status = 'Processing') = 0 AND b % 4 <> 0")
 def ready_to_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running batches with no unit at work; every fourth batch isn't running."""
-    counts = control.unit_counts(_units(spark, sf_dir).withColumn("b", F.col("id") % 400), ["b"])
+    counts = control.unit_counts(_units(spark, sf_dir).withColumn("b", F.floor(F.col("id") / 6)), ["b"])
     return control.ready_to_finalize(counts.withColumn("phase", F.when(F.col("b") % 4 == 0, F.lit("Suspended")).otherwise(F.lit("Running")))).select("b")
 
 
