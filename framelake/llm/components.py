@@ -45,9 +45,12 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen[0]:
             break
-        new, new_path = stored(_small_star(_large_star(edges, seen[0]), seen[0]), "links")
+        # a job a star: plans of both at once would have the driver plan each of their many exchanges over again
+        large, large_path = stored(_large_star(edges, seen[0]), "links")
+        new, new_path = stored(_small_star(large, seen[0]), "links")
         now = _mark(new)
         dropped(spark, path)
+        dropped(spark, large_path)
         edges, path = new, new_path
         if now == seen:
             break
