@@ -10,7 +10,10 @@ spanning set of its links, never all pairs.
 A radius of a few bits of 64 holds little but copies. `one_of_each`, for shingles of five words and a similarity of 0.8,
 takes 256 bits: texts of that similarity differ in 39 bits on the average, and texts that share nothing in 128. Keys
 are then bands of bits, in a number that leaves one pair of SPLIT_MISS unfound; tiles compare bit planes as above; and
-each link of a tile's nearest-first spanning forest is checked on the texts' shingles themselves.
+each link of a tile's nearest-first spanning forest is checked on the texts' shingles themselves. That brings large groups
+together in a few links. What bits miss is found exactly: sets of that similarity share one of their least shingles (a
+fifth of them and one), so texts of different groups that share such a shingle meet in tiles too. There, only pairs are
+left out whose sizes or parity bits, a bit for each class of hashes, prove that they differ in too many shingles.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from framelake.llm.common import checked_broadcast, group_bounds, key_runs, ready, sliced, spanning_links, split_join, stored
 from framelake.llm.components import connected_components
@@ -34,6 +38,8 @@ TILE = 1024
 MEAN_KEY_ROWS = 4096
 #: 64-bit words of a wide fingerprint, the share of pairs at the threshold that bands may miss, and rows of a band's key on the average.
 WIDE, SPLIT_MISS, BAND_ROWS = 4, 0.005, 512
+#: Parity bits that a text has at most.
+PARITY_BITS = 1 << 15
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -147,6 +153,10 @@ def _above(digits: list[np.ndarray], radius: int) -> np.ndarray:
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of two uint64 arrays (a value a row, or a row of words each) that differ in at most radius bits."""
     a, b = a.reshape(len(a), -1), b.reshape(len(b), -1)
+    if b.shape[1] > WIDE:  # so many planes cost more than counts of words
+        step = max(1, (1 << 18) // max(1, b.size))
+        parts = [np.bitwise_count(a[k : k + step, None] ^ b[None]).sum(axis=2, dtype=np.int32) <= radius for k in range(0, len(a), step)]
+        return np.nonzero(np.concatenate(parts))
     lanes, bits = -(-len(b) // 64), 64 * b.shape[1]
     flags = np.zeros((bits, lanes * 64), bool)
     flags[:, : len(b)] = ((b[:, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).reshape(len(b), bits).T
@@ -175,8 +185,9 @@ def few_pairs(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, sides: n
         if sides is not None:
             apart = sides[a] != sides[b]
             a, b = a[apart], b[apart]
-        for k in range(0, len(a), 1 << 16):
-            x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+        step = max(64, (1 << 18) // prints.shape[1])
+        for k in range(0, len(a), step):
+            x, y = a[k : k + step], b[k : k + step]
             near = ~_summed(prints[x] ^ prints[y], radius)
             us.append(x[near])
             vs.append(y[near])
@@ -185,10 +196,10 @@ def few_pairs(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, sides: n
 
 
 def _summed(differ: np.ndarray, radius: int) -> np.ndarray:
-    """Whether each of differ (n x words) has more than radius bits set: carry-save counters over bit planes, a lane a row."""
+    """Whether each of differ (n x words) has more than radius bits set: carry-save counters over bit planes, a lane a row; counts, if rows are long."""
     n = len(differ)
-    if not n:
-        return np.zeros(0, bool)
+    if not n or differ.shape[1] > WIDE:
+        return np.bitwise_count(differ).sum(axis=1, dtype=np.int32) > radius
     lanes = -(-n // 64)
     padded = np.zeros((lanes * 64, differ.shape[1]), np.uint64)
     padded[:n] = differ
@@ -269,8 +280,11 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     return dealt.mapInArrow(_tile_links(radius), "u long, v long")
 
 
-def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int) -> DataFrame:
-    """Rows of (c, key) dealt to tiles (i, j): blocks of a key that has more rows than a tile holds, each with itself and each other."""
+def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int, wide: DataFrame | None = None) -> DataFrame:
+    """Rows of (c, key) dealt to tiles (i, j): blocks of a key that has more rows than a tile holds, each with itself and each other.
+
+    wide has more columns for each ident, which rows meet when they are dealt.
+    """
     keys = ["c", "key", "i", "j"]
     hot = keyed.groupBy("c", "key").count().where(F.col("count") > tile)
     parts = F.ceil(F.coalesce("count", F.lit(1)) / F.lit(tile)).cast("int")
@@ -281,6 +295,8 @@ def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int) -> DataF
         .select("c", "key", *columns, "x", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("y"))
         .select("c", "key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (F.col("x") < F.col("y")).alias("first"), *columns)
     )
+    if wide is not None:
+        dealt = dealt.join(wide, ident)
     return dealt.repartition(*keys).sortWithinPartitions(*keys)
 
 
@@ -389,11 +405,89 @@ def _similar(similarity: float):
     return run
 
 
+def least_shingles(shingles: np.ndarray, similarity: float) -> np.ndarray:
+    """Of a sorted set, the least ones that it shares one of with every set of this Jaccard similarity."""
+    return shingles[: len(shingles) - math.ceil(similarity * len(shingles) - 1e-6) + 1]
+
+
+def size_class(n, similarity: float) -> np.ndarray:
+    """Classes of set sizes; sizes of sets of this similarity are in one or in two that follow each other."""
+    return np.floor(np.log(np.maximum(n, 1)) / math.log(1.01 / similarity)).astype(np.int64)
+
+
+def parity_bits(c: int, similarity: float) -> int:
+    """Parity bits in tiles of sizes of class c and the one before it: about as many as shingles."""
+    return min(PARITY_BITS, 1 << max(6, math.ceil(c * math.log2(1.01 / similarity))))
+
+
+def parities(shingles: np.ndarray, similarity: float) -> bytes:
+    """Of each class of hashes, whether the set has an odd number; two sets differ in as many shingles as bits at least."""
+    bits = parity_bits(int(size_class(len(shingles), similarity)) + 1, similarity)
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _folded(column: pa.Array, bits: int) -> np.ndarray:
+    """Parities of `bits` or of twice as many classes -> rows of words for `bits`."""
+    words, found = bits // 64, column.to_pylist()
+    out, wide = np.empty((len(found), words), np.uint64), np.fromiter((len(x) * 8 > bits for x in found), bool, len(found))
+    out[~wide] = np.frombuffer(b"".join(x for x, w in zip(found, wide, strict=True) if not w), "<u8").reshape(-1, words)
+    both = np.frombuffer(b"".join(x for x, w in zip(found, wide, strict=True) if w), "<u8").reshape(-1, 2 * words)
+    out[wide] = both[:, :words] ^ both[:, words:]
+    return out
+
+
+def _rest_tiles(similarity: float):
+    """Sorted tiles of texts (k, r, n, z, sk) -> pairs (u, v) of different r that may have the similarity."""
+    keys, least = ["c", "key", "i", "j"], (1 - similarity) / (1 + similarity)
+
+    def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        starts, ends = group_bounds(piece, ["c"])
+        for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+            part = piece.slice(s, e - s).combine_chunks()
+            c = part.column("c")[0].as_py()
+            r, n, k = part.column("r").to_numpy(), part.column("n").to_numpy().astype(np.int64), part.column("k").combine_chunks()
+            lower = part.column("z").to_numpy() < c
+            prints = _folded(part.column("sk").combine_chunks(), parity_bits(c, similarity))
+            radius = math.floor(least * 2 * math.ceil((1.01 / similarity) ** (c + 1)) + 1e-6)
+            for a, b in _close(part, prints, keys, radius):
+                if not len(a):
+                    continue
+                small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+                may = (r[a] != r[b]) & ~(lower[a] & lower[b]) & (small >= similarity * large - 1e-6)
+                a, b, sizes = a[may], b[may], (small + large)[may]
+                may = np.zeros(len(a), bool)
+                step = max(64, (1 << 20) // prints.shape[1])
+                for at in range(0, len(a), step):
+                    differ = np.bitwise_count(prints[a[at : at + step]] ^ prints[b[at : at + step]]).sum(axis=1, dtype=np.int64)
+                    may[at : at + step] = differ <= least * sizes[at : at + step] + 1e-6
+                if may.any():
+                    yield pa.RecordBatch.from_arrays([k.take(pa.array(x[may])) for x in (a, b)], ["u", "v"])
+
+    return lambda batches: key_runs(batches, keys, handle)
+
+
+def _rest(prints: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different groups that may have the similarity, whatever their fingerprints say."""
+    members, _ = stored(linked.withColumnRenamed("node", "k").join(prints.select("k", "u"), "k").select("u", "root"), "members")
+    roots = members.groupBy("root").agg(F.min("u").alias("r"), F.count("*").alias("n"))
+    groups, _ = stored(split_join(members, roots, ["root"], "n", members.count()).select("u", "r"), "groups")
+    # narrow rows: a shingle that one group alone has goes before anything else is met
+    least = prints.select("u", "z", "pre").join(groups, "u", "left").select("u", F.coalesce("r", "u").alias("r"), "z", F.explode("pre").alias("key"))
+    across, _ = stored(least.groupBy("key").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a < b").select("key"), "across")
+    keyed = least.join(across, "key").select(F.explode(F.array("z", F.col("z") + 1)).alias("c"), "key", "u", "r")
+    keyed, _ = stored(keyed, "keyed")
+    across = keyed.groupBy("c", "key").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a < b").select("c", "key")
+    tied, _ = stored(keyed.join(across, ["c", "key"]), "tied")
+    tiled = _dealt(tied, "u", ["u", "r"], TILE, prints.select("u", "k", "n", "z", "sk")).drop("u")
+    return tiled.mapInArrow(_rest_tiles(similarity), "u binary, v binary")
+
+
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """df -> rows(id, t, k), a row a row of df, and links(node, root) between the texts k of groups of similar texts.
 
     t is XXH64 of the text, k names its lower-cased words; texts with equal words have one k. Two texts are linked if
-    their sets of `width`-word shingles have this Jaccard similarity at least; the links that are found connect groups.
+    their sets of `width`-word shingles have this Jaccard similarity at least; groups are exactly those of all such links.
     """
     spark = df.sparkSession
     ready(spark)
@@ -401,42 +495,58 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     schema = texts.select("id", "t").schema.add("k", "binary")
     for n in range(WIDE):
         schema = schema.add(f"f{n}", "long")
+    schema = schema.add("n", "integer").add("z", "integer").add("pre", ArrayType(LongType())).add("sk", "binary")
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            names, prints = [], []
+            names, prints, sizes, least, odd = [], [], [], [], []
             for x in batch.column("text").cast(pa.binary()):
                 words = words_of(x.as_py())
                 names.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                prints.append(wide_fingerprint(shingle_set(words, width)))
+                shingles = shingle_set(words, width)
+                prints.append(wide_fingerprint(shingles))
+                sizes.append(len(shingles))
+                least.append(least_shingles(shingles, similarity).view(np.int64))
+                odd.append(parities(shingles, similarity))
             found = np.array(prints, np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("t"), pa.array(names, pa.binary()), *(pa.array(found[:, n]) for n in range(WIDE))], schema.names
-            )
+            classes = size_class(np.array(sizes, np.int64), similarity)
+            sets = [pa.array(sizes, pa.int32()), pa.array(classes, pa.int32()), pa.array(least, pa.list_(pa.int64())), pa.array(odd, pa.binary())]
+            columns = [batch.column("id"), batch.column("t"), pa.array(names, pa.binary()), *(pa.array(found[:, n]) for n in range(WIDE)), *sets]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     rows, _ = stored(texts.mapInArrow(printed, schema), "prints")
     ends = [f"f{n}" for n in range(WIDE)]
     of_each = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("first")
-    prints, _ = stored(rows.groupBy("k").agg(of_each, *[F.first(f).alias(f) for f in ends]), "distinct")
+    own = [F.first(c).alias(c) for c in (*ends, "n", "z", "pre", "sk")]
+    prints = rows.groupBy("k").agg(of_each, *own).withColumn("u", F.monotonically_increasing_id())
+    prints, _ = stored(prints, "distinct")
     bands, radius = bands_for(prints.count(), similarity)
     kinds = ", ".join(f"{f} long" for f in ends)
     keyed = prints.select("k", *ends).mapInArrow(_banded(bands), f"c int, key long, k binary, {kinds}")
     near = _dealt(keyed, "k", ["k", *ends], TILE).mapInArrow(_similar_tiles(radius), "u binary, v binary")
-    near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
-    met, _ = stored(near.select(F.col("u").alias("k")).union(near.select("v")).distinct().join(prints.select("k", "first"), "k").select("k", "first.id", "first.t"), "met")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             found = [shingle_set(words_of(x.as_py()), width).tobytes() for x in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.binary())], ["k", "s"])
 
-    met, n_met = met.withColumnRenamed("id", "own").withColumnRenamed("t", "hash"), met.count()
-    there = texts.join(checked_broadcast(met, n_met), F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("hash")))
-    sets = there.select("k", "text").mapInArrow(shingled, "k binary, s binary")
-    sets, _ = stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
-    pairs = near.join(sets.toDF("u", "a").hint("merge"), "u").join(sets.toDF("v", "b").hint("merge"), "v")
-    links, _ = stored(pairs.select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u binary, v binary"), "similar")
-    return rows.select("id", "t", "k"), connected_components(links)
+    def checked(near: DataFrame) -> DataFrame:
+        """Those of the pairs whose sets have the similarity."""
+        near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
+        ids = near.select(F.col("u").alias("k")).union(near.select("v")).distinct()
+        met, _ = stored(ids.join(prints.select("k", "first"), "k").select("k", F.col("first.id").alias("own"), F.col("first.t").alias("hash")), "met")
+        n_met = met.count()
+        there = texts.join(checked_broadcast(met, n_met), F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("hash")))
+        sets = there.select("k", "text").mapInArrow(shingled, "k binary, s binary")
+        sets, _ = stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
+        pairs = near.join(sets.toDF("u", "a").hint("merge"), "u").join(sets.toDF("v", "b").hint("merge"), "v")
+        return stored(pairs.select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u binary, v binary"), "similar")[0]
+
+    linked, _ = stored(connected_components(checked(near)), "linked")
+    more = checked(_rest(prints, linked, similarity))
+    if not more.isEmpty():
+        linked = connected_components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+    return rows.select("id", "t", "k"), linked
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -111,3 +111,34 @@ def test_nearest_forest():
     a, b, d = np.array([0, 0, 1, 3]), np.array([1, 2, 2, 4]), np.array([5, 1, 1, 9])
     kept = simhash.nearest_forest(6, a, b, d)
     assert sorted(zip(a[kept], b[kept], strict=True)) == [(0, 2), (1, 2), (3, 4)]
+
+
+def test_pairs_at_the_threshold(spark):
+    """Pairs of exactly the similarity among texts that are alike to 0.77, and small ones that share a line with all others."""
+    import random
+
+    r = random.Random(23)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    base, line, rows = words(208), words(5), []
+    for k in range(300):  # 208 of 260 shingles in both, or 8 of 10
+        body, n = (base + words(4), 26) if k < 40 else (line + words(7), 1)
+        rows += [(2 * k + x, " ".join(body + words(n))) for x in range(2)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    links = {(a, b) for a in range(600) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert links == {(2 * k + 1, 2 * k) for k in range(300)}
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"] for x in got} == set(range(0, 600, 2))
+
+
+def test_parities():
+    """Bits of two sets, folded to one width, differ in no more places than the sets in members."""
+    r = np.random.default_rng(3)
+    for n in (20, 60, 900, 20_000):
+        a = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: max(1, int(0.9 * n))], r.integers(0, 2**64, max(1, n // 20), dtype=np.uint64)]))
+        z = simhash.size_class(np.array([len(a), len(b)]), 0.8)
+        assert abs(z[0] - z[1]) <= 1
+        bits = simhash.parity_bits(int(z.max()), 0.8)
+        x, y = simhash._folded(simhash.pa.array([simhash.parities(s, 0.8) for s in (a, b)], "binary"), bits)
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        assert np.isin(simhash.least_shingles(a, 0.8), simhash.least_shingles(b, 0.8)).any() or len(np.intersect1d(a, b)) < 0.8 * len(np.union1d(a, b))
