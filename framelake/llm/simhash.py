@@ -437,6 +437,29 @@ def _folded(column: pa.Array, bits: int) -> np.ndarray:
     return out
 
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, u, r, z) sorted by key -> (c, key, u, r): each in tiles of two classes of sizes, where these have rows of another r."""
+
+    def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        starts, ends = group_bounds(piece, ["key"])
+        r = piece.column("r").to_numpy()
+        some = np.minimum.reduceat(r, starts) < np.maximum.reduceat(r, starts)
+        if not some.any():
+            return
+        rows = np.flatnonzero(np.repeat(some, ends - starts))
+        key, u, r, z = (piece.column(x).to_numpy()[rows] for x in ("key", "u", "r", "z"))
+        c, at = np.concatenate([z, z + 1]), np.tile(np.arange(len(rows)), 2)
+        order = np.lexsort((c, key[at]))
+        c, at = c[order], at[order]
+        new = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (key[at[1:]] != key[at[:-1]])))
+        some = np.minimum.reduceat(r[at], new) < np.maximum.reduceat(r[at], new)
+        keep = np.repeat(some, np.diff(np.append(new, len(at))))
+        at = at[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c[keep].astype(np.int32), key[at], u[at], r[at])], ["c", "key", "u", "r"])
+
+    return key_runs(batches, ["key"], handle)
+
+
 def _rest_tiles(similarity: float):
     """Sorted tiles of texts (k, r, n, z, sk) -> pairs (u, v) of different r that may have the similarity."""
     keys, least = ["c", "key", "i", "j"], (1 - similarity) / (1 + similarity)
@@ -472,13 +495,10 @@ def _rest(prints: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
     members, _ = stored(linked.withColumnRenamed("node", "k").join(prints.select("k", "u"), "k").select("u", "root"), "members")
     roots = members.groupBy("root").agg(F.min("u").alias("r"), F.count("*").alias("n"))
     groups, _ = stored(split_join(members, roots, ["root"], "n", members.count()).select("u", "r"), "groups")
-    # narrow rows: a shingle that one group alone has goes before anything else is met
     least = prints.select("u", "z", "pre").join(groups, "u", "left").select("u", F.coalesce("r", "u").alias("r"), "z", F.explode("pre").alias("key"))
-    across, _ = stored(least.groupBy("key").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a < b").select("key"), "across")
-    keyed = least.join(across, "key").select(F.explode(F.array("z", F.col("z") + 1)).alias("c"), "key", "u", "r")
-    keyed, _ = stored(keyed, "keyed")
-    across = keyed.groupBy("c", "key").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a < b").select("c", "key")
-    tied, _ = stored(keyed.join(across, ["c", "key"]), "tied")
+    # sorted, not aggregated: nearly every shingle is in one text alone, and a hash table of them all takes much memory
+    tied = least.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "c int, key long, u long, r long")
+    tied, _ = stored(tied, "tied")
     tiled = _dealt(tied, "u", ["u", "r"], TILE, prints.select("u", "k", "n", "z", "sk")).drop("u")
     return tiled.mapInArrow(_rest_tiles(similarity), "u binary, v binary")
 

@@ -40,3 +40,16 @@ def test_a_star_is_no_partition(spark):
     links = spark.range(1, n + 1).selectExpr("id AS u", "0L AS v").union(spark.range(1, n, 100).selectExpr("id AS u", "id + 1 AS v"))
     out = connected_components(links)
     assert out.count() == n + 1 and out.where("root <> 0").count() == 0
+
+
+def test_few_links_at_once(spark):
+    """One task and the rounds say the same; few links take no more than a few jobs."""
+    r = random.Random(5)
+    links = [(r.randrange(900), r.randrange(900)) for _ in range(600)] + [(7, 7), (None, 3), (8, None)]
+    df = spark.createDataFrame(links, "u long, v long")
+    assert sorted(map(tuple, connected_components(df, few=0).collect())) == plain(links)
+    spark.sparkContext.setJobGroup("few-links", "")
+    got = sorted(map(tuple, connected_components(df).collect()))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == plain(links)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) <= 8
