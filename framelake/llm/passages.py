@@ -8,9 +8,10 @@ seed its best predecessor, under a cost linear in the gaps. Chains are aligned o
 by word, and both ends outward until mismatches outweigh matches. Alignments of `min_words` words and `identity` are
 passages.
 
-A seed's first place may be in a text that shares little else: then what two later texts share is in no chain. So runs
-of shared seeds are looked at again: each of their windows of `min_words` words that no passage covers meets the first
-place of an equal window. Equal words of that many in a row are found whatever else their seeds stand in.
+A seed's first place may be in a text that shares little else: then what two later texts share is in no chain. So places
+of a seed that no passage ties to its first one meet all its other places, in tiles: the words around them are extended
+over edits, and of those that make a passage a tile returns a spanning set of links, never all pairs. Texts that share
+a seed in words like enough are linked so, whatever else their seeds stand in, equal or edited.
 
 Equal texts go under one hash of the text and are processed once after seeding; a copy's passage is the whole text.
 """
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.common import group_bounds, key_runs, sliced, stored
+from framelake.llm.simhash import FEW, TILE, tiled
 
 K, WINDOW = 6, 16
 GAP_COST = 0.05
@@ -34,6 +36,8 @@ LOOK = 8  # words that an extension may look at beyond its place
 EDITS = [s for n in range(1, 5) for s in ((n, n), (n, 0), (0, n))]
 #: Words beyond a chain's ends that an alignment looks at first; where it comes to the end of these, it is made anew on whole texts.
 REACH = 512
+#: Bits of the set of words around a place of a seed.
+BAG = 1024
 
 
 def tokens(text: str | bytes | None) -> list[bytes]:
@@ -42,7 +46,7 @@ def tokens(text: str | bytes | None) -> list[bytes]:
 
 
 def seeds(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the thinned k-word seeds of a text."""
+    """Positions and hashes of the thinned k-word seeds of a text; runs of up to k words over and over begin and end with one."""
     m = len(words) - k + 1
     if m < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -57,6 +61,10 @@ def seeds(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.ndar
         at = np.array([int(h.argmin())])
     else:
         at = np.unique(np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(m - window + 1))
+    for d in range(1, min(k + 1, m)):
+        like = np.flatnonzero(h[d:] == h[:-d])
+        if len(like):
+            at = np.union1d(at, np.concatenate([np.setdiff1d(like, like + d), np.setdiff1d(like + d, like)]))
     return at, h[at].view(np.int64)
 
 
@@ -86,6 +94,19 @@ def _keyed(at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.concatenate([at, at[more]]), np.concatenate([h, second]), np.concatenate([~more, np.ones(len(second), bool)])
 
 
+def inner(at: np.ndarray, h: np.ndarray, k: int = K) -> np.ndarray:
+    """Seeds between two like them at equal distances of k at most: inside a run of a few words over and over.
+
+    Runs of two texts that are shifted against each other have no more in common than with their first or last places
+    at one place.
+    """
+    order = np.lexsort((at, h))
+    gap = np.where(np.diff(h[order]) == 0, np.diff(at[order]), 0)
+    out = np.zeros(len(at), bool)
+    out[order[1:-1]] = (gap[1:] == gap[:-1]) & (gap[1:] > 0) & (gap[1:] <= k)
+    return out
+
+
 def chains(pb: np.ndarray, pa_: np.ndarray, k: int = K) -> list[list[int]]:
     """Index lists of collinear chains over anchors (pb not falling, pa_): each anchor in one chain, best chains first."""
     n = len(pb)
@@ -197,9 +218,14 @@ def _chains(tb: np.ndarray, ta: np.ndarray, sizes: np.ndarray, pb: np.ndarray, p
     return pa.RecordBatch.from_arrays([pa.array(tb), pa.array(ta), *lists, pa.array(weak)], ["tb", "ta", "pb", "pa", "weak"])
 
 
+def _side(k: int, min_words: int) -> int:
+    """Words beside a seed, as far as min_words may need with edits."""
+    return min_words - k + max(map(max, EDITS))
+
+
 def _around(k: int, min_words: int):
-    """Texts with places of seeds -> a byte for each of the words before and after each, as far as min_words may need with edits."""
-    side = min_words - k + max(map(max, EDITS))
+    """Texts with places of seeds -> a byte for each of the words before and after each."""
+    side = _side(k, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 100):
@@ -231,84 +257,100 @@ def _reaching(k: int, min_words: int):
     return run
 
 
-def _runs(k: int, window: int, min_words: int):
-    """Sorted shared seeds (t, p) -> word ranges that may hold min_words equal words: a seed is at most window after the one before it."""
-    reach = window - 1
-
-    def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
-        t, p = piece.column("t").to_numpy(), piece.column("p").to_numpy()
-        new = np.append(True, (t[1:] != t[:-1]) | (p[1:] - p[:-1] > window))
-        starts = np.flatnonzero(new)
-        lo, hi = p[starts] - reach, p[np.append(starts[1:], len(p)) - 1] + k + reach
-        wide = hi - lo >= min_words
-        if wide.any():
-            columns = [pa.array(t[starts][wide]), pa.array(np.maximum(lo[wide], 0).astype(np.int32)), pa.array(hi[wide].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["t", "lo", "hi"])
-
-    return lambda batches: key_runs(batches, ["t"], handle)
-
-
-def _window_hashes(words: list[bytes], n: int) -> np.ndarray:
-    """Hashes of all n words in a row."""
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    h = np.zeros(max(0, len(words) - n + 1), np.uint64)
-    for j in range(n if len(h) else 0):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + one[j : j + len(h)]
-    return (h ^ (h >> np.uint64(31))).view(np.int64)
-
-
-def _windows(min_words: int):
-    """Texts with ranges (kind 0) and passages (1: as other, 2: own, 3: own and equal) -> windows in ranges.
-
-    A window inside an own equal passage is also in the text with the smaller hash, and left to it. open: in no passage.
-    """
+def _contexts(k: int, side: int):
+    """Texts with places of seeds -> `side` words before each, last first, and after each: a character of 20 bits a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 100):
-            w, t, p, opens, fresh = [], [], [], [], []
-            for own, spans, text in zip(batch.column("t"), batch.column("spans"), batch.column("text").cast(pa.binary()), strict=True):
-                spans = spans.as_py()
-                h = _window_hashes(tokens(text.as_py()), min_words)
-                inside, covered, left = (np.zeros(len(h), bool) for _ in range(3))
-                for x in spans:
-                    to = max(0, x["hi"] - min_words + 1)
-                    (inside if x["kind"] == 0 else covered)[x["lo"] : to] = True
-                    if x["kind"] == 3:
-                        left[x["lo"] : to] = True
-                at = np.flatnonzero(inside & ~left)
-                if len(at):
-                    place, key, new = _keyed(at, h[at])
-                    w.append(key)
-                    t.append(np.full(len(place), own.as_py()))
-                    p.append(place.astype(np.int32))
-                    opens.append(~covered[place])
-                    fresh.append(new)
-            if w:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (w, t, p, opens, fresh)], ["h", "t", "p", "open", "fresh"])
+            t, places, before, after = [], [], [], []
+            for own, at, text in zip(batch.column("t"), batch.column("at"), batch.column("text").cast(pa.binary()), strict=True):
+                words = tokens(text.as_py())
+                marks = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                marks = (marks & np.uint64(0xFFFFF)).astype("<u4") + np.uint32(0x10000)
+                for p in at.as_py():
+                    t.append(own.as_py())
+                    places.append(p)
+                    before.append(marks[max(0, p - side) : p][::-1].tobytes())
+                    after.append(marks[p + k : p + k + side].tobytes())
+            columns = [pa.array(t, pa.int64()), pa.array(places, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "p", "before", "after"])
 
     return run
 
 
-def _window_chains(k: int, min_words: int):
-    """Equal windows sorted by (tb, ta, diagonal, pb) -> chains of their first and last seed.
+def _bags(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of (side, word, n-th such word) of each row, hashed to BAG bits, and how many of their members share a bit with others."""
+    sizes = np.array([len(x) // 4 for x in (*before, *after)])
+    side = np.repeat(np.arange(len(sizes)), sizes)
+    mark = np.frombuffer(b"".join([*before, *after]), "<u4").astype(np.int64)
+    nth = occurrences((side << 21) | mark)
+    row = side % max(1, len(before))
+    x = (mark.astype(np.uint64) << np.uint64(12)) + (nth.astype(np.uint64) << np.uint64(1)) + (side >= len(before)).astype(np.uint64)
+    x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    flags = np.zeros((len(before), BAG), bool)
+    flags[row, (x >> np.uint64(40)).astype(np.int64) % BAG] = True
+    bits = np.packbits(flags, axis=1, bitorder="little").view("<u8")
+    return bits, np.bincount(row, minlength=len(before)) - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
+def _ties(k: int, min_words: int, identity: float):
+    """Sorted tiles of a seed's places (t, p, own, words around) -> links (tb, ta, pb, pa) that make passages, as connected as all.
 
-    Windows in a row are one chain; a chain inside another of the two texts is left out, as in runs of like words.
+    Places that are not own are tied to the seed's first place already. Extensions to min_words, whose words match
+    twice for each word of an edit, have two thirds of the words beyond the seed in common: so few are looked at.
     """
-    keys = ["tb", "ta"]
+    keys, common = ["c", "key", "i", "j"], -(-2 * (min_words - k) // 3)
 
     def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
-        tb, ta, pb, pa_ = (piece.column(c).to_numpy() for c in ("tb", "ta", "pb", "pa"))
-        new = np.append(True, (tb[1:] != tb[:-1]) | (ta[1:] != ta[:-1]) | (pb[1:] - pa_[1:] != pb[:-1] - pa_[:-1]) | (pb[1:] - pb[:-1] > min_words))
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(tb)) - 1
-        group = np.cumsum(np.append(True, (tb[1:] != tb[:-1]) | (ta[1:] != ta[:-1])))[starts] << 32
-        order = np.lexsort((-pb[ends], pb[starts], group))
-        to = (group + pb[ends])[order]
-        inside = np.append(False, to[1:] <= np.maximum.accumulate(to)[:-1])
-        starts, ends = starts[order[~inside]], ends[order[~inside]]
-        pairs = [np.stack([x[starts], x[ends] + min_words - k], axis=1).tolist() for x in (pb, pa_)]
-        kinds = pa.list_(pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(tb[starts]), pa.array(ta[starts]), pa.array(pairs[0], kinds), pa.array(pairs[1], kinds)], ["tb", "ta", "pb", "pa"])
+        starts, ends = group_bounds(piece, keys)
+        t, p, own, first, i, j = (piece.column(c).to_numpy() for c in ("t", "p", "own", "first", "i", "j"))
+        before, after = (piece.column(c).to_pylist() for c in ("before", "after"))
+        bits, clash = _bags(before, after)
+        across = i != j
+        tile = np.repeat(np.arange(len(starts)), ends - starts)
+        label = np.where(own, np.arange(len(t)), -1 - tile)  # all that are not own are one
+        links: list[tuple[int, int]] = []
+        read: dict[int, tuple[str, str]] = {}
+
+        def apart(a, b) -> np.ndarray:
+            """Pairs that may make a passage and are not connected yet."""
+            some = (label[a] != label[b]) & (t[a] != t[b]) & (~across[a] | (first[a] != first[b]))
+            some[some] = np.bitwise_count(bits[a[some]] & bits[b[some]]).sum(axis=1, dtype=np.int64) >= common - np.minimum(clash[a[some]], clash[b[some]])
+            return some
+
+        def words(x: int) -> tuple[str, str]:
+            if x not in read:
+                read[x] = before[x].decode("utf-32-le"), after[x].decode("utf-32-le")
+            return read[x]
+
+        def tie(x: int, y: int, s: int, e: int) -> None:
+            if label[x] == label[y]:
+                return
+            if t[x] < t[y]:
+                x, y = y, x
+            down, up = (_outward(v, w) for v, w in zip(words(x), words(y), strict=True))
+            b, a = (down[n] + up[n] + k for n in (0, 1))
+            if min(b, a) >= min_words and down[2] + up[2] + k >= identity * max(b, a):
+                links.append((x, y))
+                own_labels = label[s:e]
+                own_labels[own_labels == label[x]] = label[y]
+
+        rows = np.arange(len(t))
+        left = np.where((ends - starts)[tile] <= FEW, ends[tile] - rows, 0)  # rows of a small group from this one on
+        for gap in range(1, int(left.max(initial=0))):
+            a = rows[left > gap]
+            a = a[apart(a, a + gap)]
+            for x in a.tolist():
+                tie(x, x + gap, int(starts[tile[x]]), int(ends[tile[x]]))
+        for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+            if e - s > FEW:
+                for x in range(s, e - 1):
+                    y = rows[x + 1 : e][label[x + 1 : e] != label[x]]
+                    for z in y[apart(np.full(len(y), x), y)].tolist():
+                        tie(x, z, s, e)
+        if links:
+            x, y = np.array(links).T
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (t[x], t[y], p[x], p[y])], ["tb", "ta", "pb", "pa"])
 
     return lambda batches: key_runs(batches, keys, handle)
 
@@ -348,10 +390,11 @@ def pair_passages(b: list, a: list, chains_: list[tuple[list[int], list[int]]],
     """Passages (b0, b1, a0, a1, share) of two texts around chains, and the chains whose search came to an end of b that is cut.
 
     Chains go longest first, and one that lies inside a passage in both texts is part of it, or a repeat of its words a
-    few places on: runs of like lines are aligned once, not on each of their diagonals.
+    few places on: runs of like lines are aligned once, not on each of their diagonals. Where an alignment as a whole is
+    no passage, the words near each of its seeds may be one.
     """
     found: list[tuple[int, int, int, int, float]] = []
-    again = []
+    again, side = [], _side(k, min_words)
     for pb, pa_ in sorted(chains_, key=lambda c: (c[0][0] - c[0][-1], c[0], c[1])):
         if any(x[0] <= pb[0] and pb[-1] + k <= x[1] and x[2] <= min(pa_) and max(pa_) + k <= x[3] for x in found):
             continue
@@ -361,6 +404,15 @@ def pair_passages(b: list, a: list, chains_: list[tuple[list[int], list[int]]],
             again.append((pb, pa_))
         if min(b1 - b0, a1 - a0) >= min_words and share >= identity:
             found.append((b0, b1, a0, a1, min(1.0, share)))
+            continue
+        for x, y in zip(pb, pa_, strict=True):
+            if any(f[0] <= x and x + k <= f[1] and f[2] <= y and y + k <= f[3] for f in found):
+                continue
+            lo, lo_a = max(0, x - side), max(0, y - side)
+            b0, b1, a0, a1, same, _, _ = align(b[lo : x + k + side], a[lo_a : y + k + side], [x - lo], [y - lo_a], k)
+            share = same / max(b1 - b0, a1 - a0)
+            if min(b1 - b0, a1 - a0) >= min_words and share >= identity:
+                found.append((lo + b0, lo + b1, lo_a + a0, lo_a + a1, min(1.0, share)))
     return found, again
 
 
@@ -405,31 +457,32 @@ def repeated_passages(
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            where, hashes, fresh, sizes = [], [], [], []
+            where, hashes, fresh, outer, sizes = [], [], [], [], []
             for x in batch.column("text").cast(pa.binary()):
                 words = tokens(x.as_py())
-                at, h, new = seed_keys(words, k, window)
+                at, h = seeds(words, k, window)
+                ends = ~inner(at, h, k)
+                at, h, new = _keyed(at, h)
                 where += [[-1], at]  # place -1 carries the number of words
                 hashes += [[len(words)], h]
                 fresh += [[False], new]
+                outer += [[False], ends, np.zeros(len(at) - len(ends), bool)]
                 sizes.append(len(at) + 1)
             owner = np.repeat(batch.column("t").to_numpy(), sizes)
-            columns = [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(owner), pa.array(np.concatenate(where).astype(np.int32)), pa.array(np.concatenate(fresh).astype(bool))]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "t", "p", "fresh"])
+            columns = [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(owner), pa.array(np.concatenate(where).astype(np.int32)), *(pa.array(np.concatenate(x).astype(bool)) for x in (fresh, outer))]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "t", "p", "fresh", "outer"])
 
-    everything, _ = stored(texts.mapInArrow(seeded, "h long, t long, p int, fresh boolean"), "seeds")
+    everything, _ = stored(texts.mapInArrow(seeded, "h long, t long, p int, fresh boolean, outer boolean"), "seeds")
     sizes = everything.where("p = -1").groupBy("t").agg(F.max("h").alias("n"))
     found = everything.where("p >= 0")
     # fixed-width aggregates keep to hash aggregation; a text's first place with a hash stands for it
-    first = found.groupBy("h").agg(F.min("t").alias("ta"), F.min_by("p", F.when(F.col("fresh"), F.col("t"))).alias("pa"), F.max("t").alias("most"))
+    first = found.groupBy("h").agg(F.min("t").alias("ta"), F.min_by("p", F.when(F.col("fresh"), F.col("t"))).alias("pa"), F.max("t").alias("most"), F.count_if("outer").alias("n"))
     first, _ = stored(first.where("ta < most").drop("most"), "first")
     met = found.join(first, "h").where("t <> ta").select(F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa").distinct()
     met = met.repartition("tb", "ta").sortWithinPartitions("tb", "ta", "pb", "pa")
     chain = "tb long, ta long, pb array<int>, pa array<int>"
     linked, _ = stored(met.mapInArrow(_chain_rows(k, window, min_words), f"{chain}, weak boolean"), "chains")
-    shared = found.join(first.select("h"), "h").select("t", "p").repartition("t").sortWithinPartitions("t", "p")
-    ranges, _ = stored(shared.mapInArrow(_runs(k, window, min_words), "t long, lo int, hi int"), "ranges")
-    used, _ = stored(linked.select(F.col("tb").alias("t")).union(linked.select("ta")).union(ranges.select("t")).distinct(), "used")
+    used, _ = stored(linked.select(F.col("tb").alias("t")).union(linked.select("ta")).distinct(), "used")
     # these tables grow with the corpus, so that no small size shall tempt Spark to broadcast them
     whole = texts.join(used.hint("merge"), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     whole, _ = stored(whole, "texts")
@@ -457,22 +510,21 @@ def repeated_passages(
     weak = weak.join(around.toDF("ta", "p_a", "before_a", "after_a").hint("merge"), ["ta", "p_a"])
     reaching, _ = stored(weak.mapInArrow(_reaching(k, min_words), chain), "reaching")
     passages = aligned(linked.where("NOT weak").drop("weak").union(reaching))
-    # at most a row a word of a text, however many others its passages stand in
-    own = passages.groupBy(F.col("tb").alias("t"), F.col("b0").alias("lo"), F.expr("IF(identity = 1 AND ta < tb, 3, 2)").alias("kind")).agg(F.max("b1").alias("hi"))
-    others = passages.groupBy(F.col("ta").alias("t"), F.col("a0").alias("lo"), F.lit(1).alias("kind")).agg(F.max("a1").alias("hi"))
-    spans = ranges.withColumn("kind", F.lit(0)).unionByName(own).unionByName(others)
-    spans = spans.groupBy("t").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans"))
-    spans = spans.where(F.exists("spans", lambda x: x["kind"] == 0))
-    windows = spans.hint("merge").join(whole, "t").mapInArrow(_windows(min_words), "h long, t long, p int, open boolean, fresh boolean")
-    windows, _ = stored(windows, "windows")
-    start = windows.groupBy("h").agg(
-        F.min("t").alias("ta"), F.min_by("p", F.when(F.col("fresh"), F.col("t"))).alias("pa"), F.max("t").alias("most"),
-        F.min_by("open", "t").alias("open_a"), F.max("open").alias("any"),
-    )
-    start, _ = stored(start.where("ta < most AND any").drop("most", "any"), "starts")
-    equal = windows.join(start, "h").where("t <> ta AND (open OR open_a)").select(F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa")
-    equal = equal.repartition("tb", "ta").sortWithinPartitions("tb", "ta", F.col("pb") - F.col("pa"), "pb")
-    more, _ = stored(equal.mapInArrow(_window_chains(k, min_words), "tb long, ta long, pb array<int>, pa array<int>"), "equal")
+    # a seed's places, if they are more than two; own: in no passage that ties them to its first place
+    spans = passages.groupBy("tb", "ta").agg(F.collect_set(F.struct("b0", "b1", "a0", "a1")).alias("spans"))
+    places = found.where("outer").join(first.where("n > 2"), "h").select("h", F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa")
+    tied = F.exists("spans", lambda x: (x["b0"] <= F.col("pb")) & (x["b1"] >= F.col("pb") + k) & (x["a0"] <= F.col("pa")) & (x["a1"] >= F.col("pa") + k))
+    places = places.join(spans.hint("merge"), ["tb", "ta"], "left")
+    places = places.select("h", F.col("tb").alias("t"), F.col("pb").alias("p"), (~F.when(F.col("tb") == F.col("ta"), F.col("pb") == F.col("pa")).otherwise(F.coalesce(tied, F.lit(False)))).alias("own"))
+    places, _ = stored(places, "places")
+    open_seeds = places.groupBy("h").agg(F.max("own").alias("any"), F.min("t").alias("least"), F.max("t").alias("most")).where("any AND least < most")
+    places, _ = stored(places.join(open_seeds.select("h"), "h", "left_semi"), "places")
+    at = places.select("t", "p").distinct().groupBy("t").agg(F.collect_list("p").alias("at"))
+    contexts = at.hint("merge").join(whole, "t").mapInArrow(_contexts(k, _side(k, min_words)), "t long, p int, before binary, after binary")
+    contexts, _ = stored(contexts, "contexts")
+    keyed = places.select(F.lit(0).alias("c"), F.col("h").alias("key"), "t", "p", "own")
+    ties = tiled(keyed, ["t", "p"], ["t", "p", "own"], TILE, contexts).mapInArrow(_ties(k, min_words, identity), "tb long, ta long, pb int, pa int")
+    more, _ = stored(ties.distinct().select("tb", "ta", F.array("pb").alias("pb"), F.array("pa").alias("pa")), "ties")
     # what lies inside another passage of the same two texts, in both, says nothing new
     before = Window.partitionBy("tb", "ta").orderBy("b0", F.desc("b1"), "a0", F.desc("a1")).rowsBetween(Window.unboundedPreceding, -1)
     passages = passages.union(aligned(more)).distinct().withColumn("outer", F.max(F.struct("b1", "a1", "a0")).over(before))

@@ -276,11 +276,11 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     masks = [sum(((1 << cuts[k + 1]) - (1 << cuts[k])) for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("c", "key"))
-    dealt = _dealt(keyed, "fp", ["fp"], tile)
+    dealt = tiled(keyed, ["fp"], ["fp"], tile)
     return dealt.mapInArrow(_tile_links(radius), "u long, v long")
 
 
-def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int, wide: DataFrame | None = None) -> DataFrame:
+def tiled(keyed: DataFrame, ident: list[str], columns: list[str], tile: int, wide: DataFrame | None = None) -> DataFrame:
     """Rows of (c, key) dealt to tiles (i, j): blocks of a key that has more rows than a tile holds, each with itself and each other.
 
     wide has more columns for each ident, which rows meet when they are dealt.
@@ -291,7 +291,7 @@ def _dealt(keyed: DataFrame, ident: str, columns: list[str], tile: int, wide: Da
     dealt = (
         keyed.join(hot, ["c", "key"], "left")
         .select("c", "key", *columns, parts.alias("m"))
-        .withColumn("x", F.pmod(F.xxhash64(ident), F.col("m")).cast("int"))
+        .withColumn("x", F.pmod(F.xxhash64(*ident), F.col("m")).cast("int"))
         .select("c", "key", *columns, "x", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("y"))
         .select("c", "key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (F.col("x") < F.col("y")).alias("first"), *columns)
     )
@@ -499,8 +499,8 @@ def _rest(prints: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
     # sorted, not aggregated: nearly every shingle is in one text alone, and a hash table of them all takes much memory
     tied = least.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "c int, key long, u long, r long")
     tied, _ = stored(tied, "tied")
-    tiled = _dealt(tied, "u", ["u", "r"], TILE, prints.select("u", "k", "n", "z", "sk")).drop("u")
-    return tiled.mapInArrow(_rest_tiles(similarity), "u binary, v binary")
+    tiles = tiled(tied, ["u"], ["u", "r"], TILE, prints.select("u", "k", "n", "z", "sk")).drop("u")
+    return tiles.mapInArrow(_rest_tiles(similarity), "u binary, v binary")
 
 
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -543,7 +543,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     bands, radius = bands_for(prints.count(), similarity)
     kinds = ", ".join(f"{f} long" for f in ends)
     keyed = prints.select("k", *ends).mapInArrow(_banded(bands), f"c int, key long, k binary, {kinds}")
-    near = _dealt(keyed, "k", ["k", *ends], TILE).mapInArrow(_similar_tiles(radius), "u binary, v binary")
+    near = tiled(keyed, ["k"], ["k", *ends], TILE).mapInArrow(_similar_tiles(radius), "u binary, v binary")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):

@@ -153,3 +153,53 @@ def test_long_repeat_with_decoys(spark):
     got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     best = max((g for g in got if {g["doc_id"], g["other"]} == {1, 2}), key=lambda g: g["end_word"] - g["start_word"])
     assert best["end_word"] - best["start_word"] >= 2995
+
+
+def test_edited_passage_of_common_lines(spark):
+    """Two texts share lines of which each has a word of its own; the lines also stand, each alone, in other texts."""
+    r = random.Random(17)
+    rows, pairs = [], set()
+    for k in range(12):
+        lines = [words(r, 13) for _ in range(5)]
+        for line in lines:
+            rows += [(1000 * k + 100 + n, " ".join(words(r, 30) + line + words(r, 30))) for n in range(len(rows), len(rows) + 15)]
+        pair = (10_000_000 + 2 * k, 10_000_001 + 2 * k)
+        rows += [(x, " ".join(words(r, 40) + sum((line + words(r, 1) for line in lines), []) + words(r, 40))) for x in pair]
+        pairs.add(pair)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(sorted((g["doc_id"], g["other"]))) for g in got} == pairs
+    assert all((g["start_word"], g["end_word"], g["other_start"], g["other_end"]) == (40, 109, 40, 109) and g["identity"] == 65 / 69 for g in got)
+
+
+def test_ties_of_a_seed_as_all_pairs():
+    """Places of one seed, in small and large tiles: links are as connected as all pairs that make a passage."""
+    import pyarrow as pa
+
+    r = random.Random(4)
+    k, side = passages.K, passages._side(passages.K, 50)
+    for n in (9, 150):
+        bodies = [words(r, 2 * side) for _ in range(4)]
+        rows = []
+        for t in range(n):
+            body = [w if r.random() > 0.1 else r.choice(bodies[0]) for w in r.choice(bodies)]
+            rows.append((t, body[:side], body[side:], t % 5 > 0))
+        texts = {t: [*before, *(f"seed{x}" for x in range(k)), *after] for t, before, after, _ in rows}
+        at = pa.RecordBatch.from_pylist([{"t": t, "text": " ".join(x), "at": [side]} for t, x in texts.items()])
+        around = pa.Table.from_batches(passages._contexts(k, side)(iter([at])))
+        tile = around.append_column("own", pa.array([own for *_, own in rows]))
+        for name, kind, value in (("c", pa.int32(), 0), ("key", pa.int64(), 1), ("i", pa.int32(), 0), ("j", pa.int32(), 0), ("first", pa.bool_(), False)):
+            tile = tile.append_column(name, pa.array([value] * n, kind))
+        links = [x for b in passages._ties(k, 50, 0.8)(iter(tile.to_batches())) for x in b.to_pylist()]
+        want = [
+            (y, x) for x in range(n) for y in range(x + 1, n) if passages.pair_passages(texts[y], texts[x], [([side], [side])], k, 50, 0.8)[0]
+        ]
+        tied = [(t, 0) for t, *_, own in rows if not own]
+
+        def groups(pairs, n=n):
+            low = list(range(n))
+            for a, b in pairs:
+                low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+            return low
+
+        assert {(x["tb"], x["ta"]) for x in links} <= set(want) and len(links) < n
+        assert groups([*((x["tb"], x["ta"]) for x in links), *tied]) == groups([*want, *tied])
