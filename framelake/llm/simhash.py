@@ -13,13 +13,15 @@ are then bands of bits, in a number that leaves one pair of SPLIT_MISS unfound;
 each link of a tile's nearest-first spanning forest is checked on the texts' shingles themselves. That brings large groups
 together in a few links. What bits miss is found exactly: sets of that similarity share one of their least shingles (a
 fifth of them and one), so texts of different groups that share such a shingle meet in tiles too. There, only pairs are
-left out whose sizes or parity bits, a bit for each class of hashes, prove that they differ in too many shingles.
+left out whose sizes or parity bits, a bit for each class of hashes, prove that they differ in too many shingles. A tile
+returns links that connect what is left, never all pairs; of each group that these make, the texts' shingles are
+compared, all with all, in tiles once more, which return spanning links of the similarity.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +42,8 @@ MEAN_KEY_ROWS = 4096
 WIDE, SPLIT_MISS, BAND_ROWS = 4, 0.005, 512
 #: Parity bits that a text has at most.
 PARITY_BITS = 1 << 15
+#: Shingles of a row of a tile of sets; a text of more counts as several.
+SET_SHINGLES = 1024
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -280,13 +284,13 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     return dealt.mapInArrow(_tile_links(radius), "u long, v long")
 
 
-def tiled(keyed: DataFrame, ident: list[str], columns: list[str], tile: int, wide: DataFrame | None = None) -> DataFrame:
+def tiled(keyed: DataFrame, ident: list[str], columns: list[str], tile: int, wide: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """Rows of (c, key) dealt to tiles (i, j): blocks of a key that has more rows than a tile holds, each with itself and each other.
 
-    wide has more columns for each ident, which rows meet when they are dealt.
+    wide has more columns for each ident, which rows meet when they are dealt. weight: how many rows a row counts as.
     """
     keys = ["c", "key", "i", "j"]
-    hot = keyed.groupBy("c", "key").count().where(F.col("count") > tile)
+    hot = keyed.groupBy("c", "key").agg((F.sum(weight) if weight else F.count("*")).alias("count")).where(F.col("count") > tile)
     parts = F.ceil(F.coalesce("count", F.lit(1)) / F.lit(tile)).cast("int")
     dealt = (
         keyed.join(hot, ["c", "key"], "left")
@@ -461,7 +465,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rest_tiles(similarity: float):
-    """Sorted tiles of texts (k, r, n, z, sk) -> pairs (u, v) of different r that may have the similarity."""
+    """Sorted tiles of texts (u, r, n, z, sk) -> links (u, v): as connected as all pairs of different r that may have the similarity."""
     keys, least = ["c", "key", "i", "j"], (1 - similarity) / (1 + similarity)
 
     def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -469,7 +473,7 @@ def _rest_tiles(similarity: float):
         for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
             part = piece.slice(s, e - s).combine_chunks()
             c = part.column("c")[0].as_py()
-            r, n, k = part.column("r").to_numpy(), part.column("n").to_numpy().astype(np.int64), part.column("k").combine_chunks()
+            u, r, n = part.column("u").to_numpy(), part.column("r").to_numpy(), part.column("n").to_numpy().astype(np.int64)
             lower = part.column("z").to_numpy() < c
             prints = _folded(part.column("sk").combine_chunks(), parity_bits(c, similarity))
             radius = math.floor(least * 2 * math.ceil((1.01 / similarity) ** (c + 1)) + 1e-6)
@@ -485,13 +489,57 @@ def _rest_tiles(similarity: float):
                     differ = np.bitwise_count(prints[a[at : at + step]] ^ prints[b[at : at + step]]).sum(axis=1, dtype=np.int64)
                     may[at : at + step] = differ <= least * sizes[at : at + step] + 1e-6
                 if may.any():
-                    yield pa.RecordBatch.from_arrays([k.take(pa.array(x[may])) for x in (a, b)], ["u", "v"])
+                    own, at = np.unique(np.concatenate([u[a[may]], u[b[may]]]), return_inverse=True)
+                    x, y = spanning_links(len(own), at[: len(at) // 2], at[len(at) // 2 :])
+                    yield pa.RecordBatch.from_arrays([pa.array(own[x]), pa.array(own[y])], ["u", "v"])
 
     return lambda batches: key_runs(batches, keys, handle)
 
 
-def _rest(prints: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of texts of different groups that may have the similarity, whatever their fingerprints say."""
+def _shared(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set, how many members it shares with each of them."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    ends = np.cumsum(np.bincount(at))
+    starts, holders, to = np.append(0, ends[:-1]), owner[order], np.cumsum([0, *map(len, sets)])
+    for k in range(len(sets)):
+        members = at[to[k] : to[k + 1]]
+        sizes = ends[members] - starts[members]
+        places = np.arange(sizes.sum()) + np.repeat(starts[members] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
+        yield np.bincount(holders[places], minlength=len(sets))
+
+
+def _similar_sets(similarity: float):
+    """Sorted tiles of texts (k, r, s) -> links (u, v) of the similarity between different r, as connected as all of them."""
+    keys = ["c", "key", "i", "j"]
+
+    def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        k, r, first = piece.column("k").to_pylist(), piece.column("r").to_numpy(), piece.column("first").to_numpy()
+        across = piece.column("i").to_numpy() != piece.column("j").to_numpy()
+        us, vs = [], []
+        for s, e in zip(*(x.tolist() for x in group_bounds(piece, keys)), strict=True):
+            sets = [np.frombuffer(x, np.uint64) for x in piece.column("s").slice(s, e - s).to_pylist()]
+            sizes, label = np.array([len(x) for x in sets]), r[s:e].copy()
+            if (label == label[0]).all():
+                continue
+            for x, both in enumerate(_shared(sets)):
+                near = (label != label[x]) & (both >= similarity * (sizes + sizes[x] - both))
+                if across[s]:
+                    near &= first[s:e] != first[s + x]
+                for y in np.flatnonzero(near).tolist():
+                    if label[x] != label[y]:
+                        us.append(k[s + x])
+                        vs.append(k[s + y])
+                        label[label == label[y]] = label[x]
+        if us:
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+
+    return lambda batches: key_runs(batches, keys, handle)
+
+
+def _rest(prints: DataFrame, linked: DataFrame, similarity: float, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links between texts of different groups that have the similarity, whatever their fingerprints say; as connected as all."""
     members, _ = stored(linked.withColumnRenamed("node", "k").join(prints.select("k", "u"), "k").select("u", "root"), "members")
     roots = members.groupBy("root").agg(F.min("u").alias("r"), F.count("*").alias("n"))
     groups, _ = stored(split_join(members, roots, ["root"], "n", members.count()).select("u", "r"), "groups")
@@ -499,8 +547,13 @@ def _rest(prints: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
     # sorted, not aggregated: nearly every shingle is in one text alone, and a hash table of them all takes much memory
     tied = least.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "c int, key long, u long, r long")
     tied, _ = stored(tied, "tied")
-    tiles = tiled(tied, ["u"], ["u", "r"], TILE, prints.select("u", "k", "n", "z", "sk")).drop("u")
-    return tiles.mapInArrow(_rest_tiles(similarity), "u binary, v binary")
+    tiles = tiled(tied, ["u"], ["u", "r"], TILE, prints.select("u", "n", "z", "sk"))
+    may, _ = stored(connected_components(tiles.mapInArrow(_rest_tiles(similarity), "u long, v long")).toDF("u", "key"), "may")
+    size = F.ceil(F.col("n") / F.lit(SET_SHINGLES)).alias("w")
+    texts = may.join(prints.select("u", "k", "n"), "u").join(groups, "u", "left")
+    texts, _ = stored(texts.select(F.lit(0).alias("c"), "key", "k", F.coalesce("r", "u").alias("r"), F.greatest(size, F.lit(1)).alias("w")), "texts")
+    tiles = tiled(texts, ["k"], ["k", "r"], TILE, sets_of(texts.select("k")), "w")
+    return stored(tiles.mapInArrow(_similar_sets(similarity), "u binary, v binary"), "similar")[0]
 
 
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -550,20 +603,23 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
             found = [shingle_set(words_of(x.as_py()), width).tobytes() for x in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.binary())], ["k", "s"])
 
-    def checked(near: DataFrame) -> DataFrame:
-        """Those of the pairs whose sets have the similarity."""
-        near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
-        ids = near.select(F.col("u").alias("k")).union(near.select("v")).distinct()
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The shingles s of texts k."""
         met, _ = stored(ids.join(prints.select("k", "first"), "k").select("k", F.col("first.id").alias("own"), F.col("first.t").alias("hash")), "met")
         n_met = met.count()
         there = texts.join(checked_broadcast(met, n_met), F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("hash")))
         sets = there.select("k", "text").mapInArrow(shingled, "k binary, s binary")
-        sets, _ = stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
+        return stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")[0]
+
+    def checked(near: DataFrame) -> DataFrame:
+        """Those of the pairs whose sets have the similarity."""
+        near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
+        sets = sets_of(near.select(F.col("u").alias("k")).union(near.select("v")).distinct())
         pairs = near.join(sets.toDF("u", "a").hint("merge"), "u").join(sets.toDF("v", "b").hint("merge"), "v")
         return stored(pairs.select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u binary, v binary"), "similar")[0]
 
     linked, _ = stored(connected_components(checked(near)), "linked")
-    more = checked(_rest(prints, linked, similarity))
+    more = _rest(prints, linked, similarity, sets_of)
     if not more.isEmpty():
         linked = connected_components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     return rows.select("id", "t", "k"), linked

@@ -142,3 +142,34 @@ def test_parities():
         x, y = simhash._folded(simhash.pa.array([simhash.parities(s, 0.8) for s in (a, b)], "binary"), bits)
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
         assert np.isin(simhash.least_shingles(a, 0.8), simhash.least_shingles(b, 0.8)).any() or len(np.intersect1d(a, b)) < 0.8 * len(np.union1d(a, b))
+
+
+def test_rest_tiles_return_links_not_pairs():
+    """Texts of one tile that may all be alike: a link a text at most, that connect them; then exactly the links of the similarity."""
+    import pyarrow as pa
+
+    r, n = np.random.default_rng(3), 90
+    core = r.integers(0, 1 << 63, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(core, 92, replace=False), r.integers(0, 1 << 63, 4).astype(np.uint64)])) for _ in range(n)]
+    same = {"c": 0, "key": 1, "i": 0, "j": 0, "first": False}
+    kinds = [("c", pa.int32()), ("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("first", pa.bool_())]
+    sizes = [len(x) for x in sets]
+    z = simhash.size_class(np.array(sizes), 0.8)
+    rows = [{**same, "c": int(z[0]), "u": k, "k": bytes([k]), "r": k, "n": sizes[k], "z": int(z[k]), "sk": simhash.parities(x, 0.8)} for k, x in enumerate(sets)]
+    schema = pa.schema([*kinds, ("u", pa.int64()), ("k", pa.binary()), ("r", pa.int64()), ("n", pa.int32()), ("z", pa.int32()), ("sk", pa.binary())])
+    got = [x for b in simhash._rest_tiles(0.8)(iter([pa.RecordBatch.from_pylist(rows, schema)])) for x in b.to_pylist()]
+
+    def groups(pairs):
+        low = list(range(n))
+        for a, b in pairs:
+            low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+        return low
+
+    want = [(a, b) for b in range(n) for a in range(b) if (m := len(np.intersect1d(sets[a], sets[b]))) >= 0.8 * (sizes[a] + sizes[b] - m)]
+    assert 0 < len(got) < n < len(want)
+    may = groups([(x["u"], x["v"]) for x in got])
+    assert all(may[a] == may[b] for a, b in want)
+    rows = [{**same, "k": bytes([k]), "r": k, "s": x.tobytes()} for k, x in enumerate(sets)]
+    schema = pa.schema([*kinds, ("k", pa.binary()), ("r", pa.int64()), ("s", pa.binary())])
+    got = [(x["u"][0], x["v"][0]) for b in simhash._similar_sets(0.8)(iter([pa.RecordBatch.from_pylist(rows, schema)])) for x in b.to_pylist()]
+    assert len(got) < n and {tuple(sorted(x)) for x in got} <= set(want) and groups(got) == groups(want)
