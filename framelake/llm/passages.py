@@ -18,6 +18,7 @@ Equal texts go under one hash of the text and are processed once after seeding;
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -27,13 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.llm.common import group_bounds, key_runs, sliced, stored
+from framelake.llm.common import BROADCAST_ROWS, checked_broadcast, group_bounds, key_runs, sliced, stored
 from framelake.llm.simhash import FEW, TILE, tiled
 
 K, WINDOW = 6, 16
 GAP_COST = 0.05
 LOOK = 8  # words that an extension may look at beyond its place
-EDITS = [s for n in range(1, 5) for s in ((n, n), (n, 0), (0, n))]
+EDIT = 4  # words that an edit steps over at most
 #: Words beyond a chain's ends that an alignment looks at first; where it comes to the end of these, it is made anew on whole texts.
 REACH = 512
 #: Bits of the set of words around a place of a seed.
@@ -45,22 +46,39 @@ def tokens(text: str | bytes | None) -> list[bytes]:
     return raw.lower().split()
 
 
-def seeds(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the thinned k-word seeds of a text; runs of up to k words over and over begin and end with one."""
-    m = len(words) - k + 1
-    if m < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _hashes(one: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of k consecutive words, of the words' hashes."""
+    m = max(0, len(one) - k + 1)
     h = np.zeros(m, np.uint64)
     for j in range(k):
         h = h * np.uint64(0x9E3779B97F4A7C15) + one[j : j + m]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
+    return h
+
+
+def _least_places(h: np.ndarray, window: int) -> np.ndarray:
+    """Place of the least value, the first of equal ones, of each `window` values."""
+    at, width = np.arange(len(h)), 1
+    while width < window:
+        step = min(width, window - width)
+        less = h[step:] < h[:-step]
+        at = np.where(less, at[step:], at[:-step])
+        h, width = np.where(less, h[step:], h[:-step]), width + step
+    return at
+
+
+def seeds(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the thinned k-word seeds of a text; runs of up to k words over and over begin and end with one."""
+    m = len(words) - k + 1
+    if m < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = _hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), k)
     if m <= window:
         at = np.array([int(h.argmin())])
     else:
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(m - window + 1))
+        at = np.unique(_least_places(h, window))
     for d in range(1, min(k + 1, m)):
         like = np.flatnonzero(h[d:] == h[:-d])
         if len(like):
@@ -68,10 +86,38 @@ def seeds(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.ndar
     return at, h[at].view(np.int64)
 
 
-def occurrences(h: np.ndarray) -> np.ndarray:
-    """How many equal values stand before each."""
-    order = np.argsort(h, kind="stable")
-    first = np.append(True, h[order][1:] != h[order][:-1]) if len(h) else np.zeros(0, bool)
+def seeds_of(texts: list[list[bytes]], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, place, hash) of the seeds of many texts, as `seeds` has them of each."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begin, total = np.cumsum(sizes) - sizes, int(sizes.sum())
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, (w for words in texts for w in words)), np.uint64, total)
+    h = _hashes(one, k)
+    m = np.maximum(sizes - k + 1, 0)  # seeds that a text may have
+    owner = np.repeat(np.arange(len(texts)), sizes)[: len(h)]
+    left = (begin + m)[owner] - np.arange(len(h))  # those of a place's text from it on
+    mark = np.zeros(len(h), bool)
+    if len(h) >= window:
+        least = _least_places(h, window)
+        mark[least[left[: len(least)] >= window]] = True
+    for s, n in zip(begin[(m > 0) & (m < window)].tolist(), m[(m > 0) & (m < window)].tolist(), strict=True):
+        mark[s + int(h[s : s + n].argmin())] = True
+    for d in range(1, min(k + 1, len(h))):
+        like = np.zeros(len(h) + d, bool)  # d places on
+        like[d:-d] = (h[d:] == h[:-d]) & (left[:-d] > d)
+        here, before = like[d:], like[:-d]
+        mark |= here != before
+    at = np.flatnonzero(mark)
+    return owner[at], at - begin[owner[at]], h[at].view(np.int64)
+
+
+def occurrences(h: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
+    """How many equal values (of the same owner) stand before each."""
+    if owner is None:
+        order = np.argsort(h, kind="stable")
+        first = np.append(True, h[order][1:] != h[order][:-1])[: len(h)]
+    else:
+        order = np.lexsort((h, owner))
+        first = np.append(True, (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1]))[: len(h)]
     place = np.arange(len(h))
     out = np.empty(len(h), np.int64)
     out[order] = place - np.maximum.accumulate(np.where(first, place, 0))
@@ -87,21 +133,21 @@ def seed_keys(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.
     return _keyed(*seeds(words, k, window))
 
 
-def _keyed(at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = occurrences(h)
+def _keyed(at: np.ndarray, h: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = occurrences(h) if n is None else n
     more = n > 0
     second = (h[more].view(np.uint64) ^ n[more].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
     return np.concatenate([at, at[more]]), np.concatenate([h, second]), np.concatenate([~more, np.ones(len(second), bool)])
 
 
-def inner(at: np.ndarray, h: np.ndarray, k: int = K) -> np.ndarray:
+def inner(at: np.ndarray, h: np.ndarray, k: int, owner: np.ndarray) -> np.ndarray:
     """Seeds between two like them at equal distances of k at most: inside a run of a few words over and over.
 
     Runs of two texts that are shifted against each other have no more in common than with their first or last places
     at one place.
     """
-    order = np.lexsort((at, h))
-    gap = np.where(np.diff(h[order]) == 0, np.diff(at[order]), 0)
+    order = np.lexsort((at, h, owner))
+    gap = np.where((np.diff(h[order]) == 0) & (np.diff(owner[order]) == 0), np.diff(at[order]), 0)
     out = np.zeros(len(at), bool)
     out[order[1:-1]] = (gap[1:] == gap[:-1]) & (gap[1:] > 0) & (gap[1:] <= k)
     return out
@@ -148,20 +194,40 @@ def chains(pb: np.ndarray, pa_: np.ndarray, k: int = K) -> list[list[int]]:
     return found
 
 
+def _edit(b, a, i: int, j: int) -> tuple[int, int]:
+    """Fewest words of b and a, of both or of one, after which three are equal; one of both if there are none."""
+    u, v, n_b, n_a = b[i], a[j], len(b), len(a)
+    for n in range(1, EDIT + 1):
+        x, y = i + n, j + n
+        if x < n_b:
+            if y < n_a and b[x] == a[y] and b[x : x + 3] == a[y : y + 3]:
+                return n, n
+            if b[x] == v and b[x : x + 3] == a[j : j + 3]:
+                return n, 0
+        if y < n_a and a[y] == u and b[i : i + 3] == a[y : y + 3]:
+            return 0, n
+    return 1, 1
+
+
 def _outward(b, a) -> tuple[int, int, int, int]:
     """Longest worthwhile extension: (length in b, in a, matches, words of b seen); a match is worth 1, each word of an edit costs 2.
 
     An edit is stepped over by the fewest words, of both or of one, after which three are equal.
     """
     i = j = best = score = matches = 0
-    out = (0, 0, 0)
-    while i < len(b) and j < len(a):
+    out, n_b, n_a = (0, 0, 0), len(b), len(a)
+    while i < n_b and j < n_a:
         if b[i] == a[j]:
-            i, j, score, matches = i + 1, j + 1, score + 1, matches + 1
+            n, most = 1, min(n_b - i, n_a - j)
+            while n + 8 <= most and b[i + n : i + n + 8] == a[j + n : j + n + 8]:
+                n += 8
+            while n < most and b[i + n] == a[j + n]:
+                n += 1
+            i, j, score, matches = i + n, j + n, score + n, matches + n
             if score > best:
                 best, out = score, (i, j, matches)
             continue
-        x, y = next((s for s in EDITS if i + s[0] < len(b) and j + s[1] < len(a) and b[i + s[0] : i + s[0] + 3] == a[j + s[1] : j + s[1] + 3]), (1, 1))
+        x, y = _edit(b, a, i, j)
         i, j, score = i + x, j + y, score - 2 * max(x, y)
         if score < best - 8:
             break
@@ -220,7 +286,7 @@ def _chains(tb: np.ndarray, ta: np.ndarray, sizes: np.ndarray, pb: np.ndarray, p
 
 def _side(k: int, min_words: int) -> int:
     """Words beside a seed, as far as min_words may need with edits."""
-    return min_words - k + max(map(max, EDITS))
+    return min_words - k + EDIT
 
 
 def _around(k: int, min_words: int):
@@ -231,7 +297,8 @@ def _around(k: int, min_words: int):
         for batch in sliced(batches, 100):
             t, places, before, after = [], [], [], []
             for own, at, text in zip(batch.column("t"), batch.column("at"), batch.column("text").cast(pa.binary()), strict=True):
-                marks = bytes(xxhash.xxh3_64_intdigest(w) & 255 for w in tokens(text.as_py()))
+                words = tokens(text.as_py())
+                marks = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).astype(np.uint8).tobytes()
                 for p in at.as_py():
                     t.append(own.as_py())
                     places.append(p)
@@ -243,16 +310,41 @@ def _around(k: int, min_words: int):
     return run
 
 
+def _rows_of(around: list[bytes], width: int, kind: type = np.uint32) -> np.ndarray:
+    """Words around places, a number of this kind each, as rows of numbers from 1 on that end with zeros."""
+    sizes = np.fromiter(map(len, around), np.int64, len(around)) // np.dtype(kind).itemsize
+    out = np.zeros((len(around), width), np.uint32)
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(around), kind).astype(np.uint32) + np.uint32(1)
+    return out
+
+
+def _straight(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal words that rows begin with, and whether `_outward` ends with these: no edit, nor words left out, has it go on."""
+    unlike = (x != y) | (x == 0)
+    n = unlike.argmax(axis=1)
+    at = np.minimum(n[:, None] + np.arange(EDIT + 3), x.shape[1] - 1)
+    b, a = np.take_along_axis(x, at, 1), np.take_along_axis(y, at, 1)
+    on = (b[:, 1 : EDIT + 1] == a[:, 1 : EDIT + 1]).any(axis=1)  # 8 points are lost with EDIT words
+    for step in range(1, EDIT + 1):
+        for v, w in ((b, a), (a, b)):
+            like = v[:, step:] == w[:, :-step]
+            on |= (like[:, :-2] & like[:, 1:-1] & like[:, 2:]).any(axis=1)
+    return n, ~on | (b[:, 0] == 0) | (a[:, 0] == 0)
+
+
 def _reaching(k: int, min_words: int):
     """Weak chains whose first seed extends to min_words in both texts."""
+    width = _side(k, min_words) + EDIT + 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 5000):
-            keep = []
-            for b0, b1, a0, a1 in zip(*(batch.column(c).to_pylist() for c in ("before", "after", "before_a", "after_a")), strict=True):
-                down, up = _outward(b0, a0), _outward(b1, a1)
-                keep.append(min(down[0] + up[0], down[1] + up[1]) + k >= min_words)
-            yield batch.select(["tb", "ta", "pb", "pa"]).filter(pa.array(keep, pa.bool_()))
+            b0, b1, a0, a1 = (batch.column(c).to_pylist() for c in ("before", "after", "before_a", "after_a"))
+            (down, no_edit), (up, nor_here) = (_straight(*(_rows_of(v, width, np.uint8) for v in x)) for x in ((b0, a0), (b1, a1)))
+            keep = down + up + k >= min_words
+            for x in np.flatnonzero(~(keep | (no_edit & nor_here))).tolist():
+                lower, upper = _outward(b0[x], a0[x]), _outward(b1[x], a1[x])
+                keep[x] = min(lower[0] + upper[0], lower[1] + upper[1]) + k >= min_words
+            yield batch.select(["tb", "ta", "pb", "pa"]).filter(pa.array(keep))
 
     return run
 
@@ -278,12 +370,15 @@ def _contexts(k: int, side: int):
     return run
 
 
-def _bags(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sets of (side, word, n-th such word) of each row, hashed to BAG bits, and how many of their members share a bit with others."""
+def _bags(before: list[bytes], after: list[bytes], run: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of (side, words, n-th such words) of each row, for each `run` words in a row, hashed to BAG bits, and how many of their members share a bit with others."""
     sizes = np.array([len(x) // 4 for x in (*before, *after)])
     side = np.repeat(np.arange(len(sizes)), sizes)
     mark = np.frombuffer(b"".join([*before, *after]), "<u4").astype(np.int64)
-    nth = occurrences((side << 21) | mark)
+    if run == 2:
+        mark, side = (mark[:-1] << 21 | mark[1:])[side[1:] == side[:-1]], side[1:][side[1:] == side[:-1]]
+        mark = (mark.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)).astype(np.int64)  # 40 bits
+    nth = occurrences((side << 40) ^ mark)
     row = side % max(1, len(before))
     x = (mark.astype(np.uint64) << np.uint64(12)) + (nth.astype(np.uint64) << np.uint64(1)) + (side >= len(before)).astype(np.uint64)
     x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -297,15 +392,21 @@ def _ties(k: int, min_words: int, identity: float):
     """Sorted tiles of a seed's places (t, p, own, words around) -> links (tb, ta, pb, pa) that make passages, as connected as all.
 
     Places that are not own are tied to the seed's first place already. Extensions to min_words, whose words match
-    twice for each word of an edit, have two thirds of the words beyond the seed in common: so few are looked at.
+    twice for each word of an edit, have two thirds of the words beyond the seed in common, and as many as identity
+    asks. On a side with m equal words, edits are (m - 1) / 2 at most, and runs of equal words one more: so at least
+    (m - 1) / 2 pairs of neighbours are in common as well. Where no edit goes on, as between runs of like words, the
+    equal words beside the seed tell the passage. So few pairs are extended word by word.
     """
-    keys, common = ["c", "key", "i", "j"], -(-2 * (min_words - k) // 3)
+    keys = ["c", "key", "i", "j"]
+    common = max(-(-2 * (min_words - k) // 3), math.ceil(identity * min_words - k - 1e-6))
+    least = (common, -(-(common - 2) // 2))
 
     def handle(piece: pa.Table) -> Iterator[pa.RecordBatch]:
         starts, ends = group_bounds(piece, keys)
         t, p, own, first, i, j = (piece.column(c).to_numpy() for c in ("t", "p", "own", "first", "i", "j"))
         before, after = (piece.column(c).to_pylist() for c in ("before", "after"))
-        bits, clash = _bags(before, after)
+        around = [_rows_of(x, _side(k, min_words) + EDIT + 3) for x in (before, after)]
+        bags = [(_bags(before, after, run), n) for run, n in zip((1, 2), least, strict=True)]
         across = i != j
         tile = np.repeat(np.arange(len(starts)), ends - starts)
         label = np.where(own, np.arange(len(t)), -1 - tile)  # all that are not own are one
@@ -315,7 +416,12 @@ def _ties(k: int, min_words: int, identity: float):
         def apart(a, b) -> np.ndarray:
             """Pairs that may make a passage and are not connected yet."""
             some = (label[a] != label[b]) & (t[a] != t[b]) & (~across[a] | (first[a] != first[b]))
-            some[some] = np.bitwise_count(bits[a[some]] & bits[b[some]]).sum(axis=1, dtype=np.int64) >= common - np.minimum(clash[a[some]], clash[b[some]])
+            for (bits, clash), n in bags:
+                x, y = a[some], b[some]
+                some[some] = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64) >= n - np.minimum(clash[x], clash[y])
+            x, y = a[some], b[some]
+            (down, no_edit), (up, nor_here) = (_straight(w[x], w[y]) for w in around)
+            some[some] = ~(no_edit & nor_here) | (down + up + k >= min_words)
             return some
 
         def words(x: int) -> tuple[str, str]:
@@ -344,10 +450,13 @@ def _ties(k: int, min_words: int, identity: float):
                 tie(x, x + gap, int(starts[tile[x]]), int(ends[tile[x]]))
         for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
             if e - s > FEW:
-                for x in range(s, e - 1):
-                    y = rows[x + 1 : e][label[x + 1 : e] != label[x]]
-                    for z in y[apart(np.full(len(y), x), y)].tolist():
-                        tie(x, z, s, e)
+                many = max(1, 8192 // (e - s))  # rows at once: what they tie is known to the next ones
+                for x in range(s, e - 1, many):
+                    a, b = np.nonzero(label[x : x + many, None] != label[x:e])
+                    a, b = a[a < b] + x, b[a < b] + x
+                    some = apart(a, b)
+                    for v, w in zip(a[some].tolist(), b[some].tolist(), strict=True):
+                        tie(v, w, s, e)
         if links:
             x, y = np.array(links).T
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (t[x], t[y], p[x], p[y])], ["tb", "ta", "pb", "pa"])
@@ -373,8 +482,11 @@ def _cut(reach: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 100):
             parts, froms, cuts = [], [], []
-            for text, lo, hi in zip(batch.column("text").cast(pa.binary()), batch.column("first").to_pylist(), batch.column("last").to_pylist(), strict=True):
-                words = tokens(text.as_py())
+            of, words = None, []
+            cols = (batch.column("tb").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("first").to_pylist(), batch.column("last").to_pylist())
+            for tb, text, lo, hi in zip(*cols, strict=True):
+                if tb != of:  # rows come by text
+                    of, words = tb, tokens(text.as_py())
                 lo, hi = (0, len(words)) if reach is None else (max(0, lo - reach), hi + K + reach)
                 parts.append(b" ".join(words[lo:hi]))
                 froms.append(lo)
@@ -421,12 +533,14 @@ def _aligned(k: int, min_words: int, identity: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 100):
-            rows = []
+            rows, of, words = [], None, []
             cols = (batch.column(c) for c in ("tb", "ta", "c", "part", "lo", "cut"))
             for tb, ta, c, part, lo, cut, text in zip(*cols, batch.column("text").cast(pa.binary()), strict=True):
                 lo, own = lo.as_py(), c.as_py()
                 own_chains = [([p - lo for p in x["pb"]], x["pa"]) for x in own]
-                found, again = pair_passages(part.as_py().split(), tokens(text.as_py()), own_chains, k, min_words, identity, (lo > 0, cut.as_py()))
+                if ta.as_py() != of:
+                    of, words = ta.as_py(), tokens(text.as_py())
+                found, again = pair_passages(part.as_py().split(), words, own_chains, k, min_words, identity, (lo > 0, cut.as_py()))
                 if again:
                     rows.append((tb.as_py(), ta.as_py(), 0, 0, 0, 0, 0.0, own))
                 else:
@@ -457,20 +571,26 @@ def repeated_passages(
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            where, hashes, fresh, outer, sizes = [], [], [], [], []
+            some: list[list[bytes]] = []
+            begin, n = 0, 0
             for x in batch.column("text").cast(pa.binary()):
-                words = tokens(x.as_py())
-                at, h = seeds(words, k, window)
-                ends = ~inner(at, h, k)
-                at, h, new = _keyed(at, h)
-                where += [[-1], at]  # place -1 carries the number of words
-                hashes += [[len(words)], h]
-                fresh += [[False], new]
-                outer += [[False], ends, np.zeros(len(at) - len(ends), bool)]
-                sizes.append(len(at) + 1)
-            owner = np.repeat(batch.column("t").to_numpy(), sizes)
-            columns = [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(owner), pa.array(np.concatenate(where).astype(np.int32)), *(pa.array(np.concatenate(x).astype(bool)) for x in (fresh, outer))]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "t", "p", "fresh", "outer"])
+                some.append(tokens(x.as_py()))
+                n += len(some[-1])
+                if n > 50_000:
+                    yield keyed(batch.column("t").to_numpy()[begin : begin + len(some)], some)
+                    begin, n, some = begin + len(some), 0, []
+            if some:
+                yield keyed(batch.column("t").to_numpy()[begin:], some)
+
+    def keyed(t: np.ndarray, some: list[list[bytes]]) -> pa.RecordBatch:
+        owner, at, h = seeds_of(some, k, window)
+        ends, n = ~inner(at, h, k, owner), occurrences(h, owner)
+        at, h, fresh = _keyed(at, h, n)
+        sizes = np.fromiter(map(len, some), np.int64, len(some))  # place -1 carries the number of words
+        more = len(at) - len(ends)
+        columns = [np.append(sizes, h), np.concatenate([t, t[owner], t[owner[n > 0]]]), np.append(np.full(len(some), -1), at).astype(np.int32)]
+        columns += [np.append(np.zeros(len(some), bool), fresh), np.concatenate([np.zeros(len(some), bool), ends, np.zeros(more, bool)])]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "t", "p", "fresh", "outer"])
 
     everything, _ = stored(texts.mapInArrow(seeded, "h long, t long, p int, fresh boolean, outer boolean"), "seeds")
     sizes = everything.where("p = -1").groupBy("t").agg(F.max("h").alias("n"))
@@ -478,44 +598,62 @@ def repeated_passages(
     # fixed-width aggregates keep to hash aggregation; a text's first place with a hash stands for it
     first = found.groupBy("h").agg(F.min("t").alias("ta"), F.min_by("p", F.when(F.col("fresh"), F.col("t"))).alias("pa"), F.max("t").alias("most"), F.count_if("outer").alias("n"))
     first, _ = stored(first.where("ta < most").drop("most"), "first")
-    met = found.join(first, "h").where("t <> ta").select(F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa").distinct()
-    met = met.repartition("tb", "ta").sortWithinPartitions("tb", "ta", "pb", "pa")
+    met = found.join(first, "h").where("t <> ta").select(F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa").repartition("tb", "ta").distinct()
+    met = met.sortWithinPartitions("tb", "ta", "pb", "pa")
     chain = "tb long, ta long, pb array<int>, pa array<int>"
     linked, _ = stored(met.mapInArrow(_chain_rows(k, window, min_words), f"{chain}, weak boolean"), "chains")
     used, _ = stored(linked.select(F.col("tb").alias("t")).union(linked.select("ta")).distinct(), "used")
     # these tables grow with the corpus, so that no small size shall tempt Spark to broadcast them
-    whole = texts.join(used.hint("merge"), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
+    whole = texts.join(checked_broadcast(used, used.count()), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     whole, _ = stored(whole, "texts")
 
+    def texts_of(ids: DataFrame, name: str) -> DataFrame:
+        """Texts by `name`; if few are asked for, only these are shuffled."""
+        ids = ids.select(F.col(name).alias("t")).distinct()
+        few = ids.count() <= BROADCAST_ROWS
+        return (whole.join(F.broadcast(ids), "t", "left_semi") if few else whole).withColumnRenamed("t", name)
+
     def aligned(linked: DataFrame) -> DataFrame:
         ends = [F.min(F.col("pb")[0]).alias("first"), F.max(F.element_at("pb", -1)).alias("last")]
+        ids = linked.select("tb", "ta")
         pairs = linked.groupBy("tb", "ta").agg(F.collect_list(F.struct("pb", "pa")).alias("c"), *ends)
         kind = "array<struct<pb:array<int>,pa:array<int>>>"
 
-        def step(some: DataFrame, reach: int | None) -> DataFrame:
-            parts = some.join(whole.withColumnRenamed("t", "tb").hint("merge"), "tb").mapInArrow(_cut(reach), f"tb long, ta long, c {kind}, part binary, lo int, cut boolean")
-            both = parts.join(whole.withColumnRenamed("t", "ta").hint("merge"), "ta")
+        def step(some: DataFrame, ids: DataFrame, reach: int | None) -> DataFrame:
+            parts = some.join(texts_of(ids, "tb").hint("merge"), "tb").mapInArrow(_cut(reach), f"tb long, ta long, c {kind}, part binary, lo int, cut boolean")
+            both = parts.join(texts_of(ids, "ta").hint("merge"), "ta")
             columns = f"tb long, ta long, b0 int, b1 int, a0 int, a1 int, identity double, c {kind}"
             return stored(both.mapInArrow(_aligned(k, min_words, identity), columns), "passages")[0]
 
-        near = step(pairs, REACH)
-        far = step(near.where("c IS NOT NULL").select("tb", "ta", "c", F.lit(0).alias("first"), F.lit(0).alias("last")), None)
+        near = step(pairs, ids, REACH)
+        again = near.where("c IS NOT NULL").select("tb", "ta", "c", F.lit(0).alias("first"), F.lit(0).alias("last"))
+        far = step(again, again, None)
         return near.where("c IS NULL").union(far).drop("c")
 
-    # words around weak chains go as bytes: few of these chains need the texts
-    weak = linked.where("weak").select("tb", "ta", "pb", "pa", F.col("pb")[0].alias("p"), F.col("pa")[0].alias("p_a"))
+    def spans_of(passages: DataFrame) -> DataFrame:
+        return passages.groupBy("tb", "ta").agg(F.collect_set(F.struct("b0", "b1", "a0", "a1")).alias("spans")).hint("merge")
+
+    def inside_one(b0, b1, a0, a1):
+        """Whether these words lie inside one of the passages of their texts, in both."""
+        return F.coalesce(F.exists("spans", lambda x: (x["b0"] <= b0) & (x["b1"] >= b1) & (x["a0"] <= a0) & (x["a1"] >= a1)), F.lit(False))
+
+    # weak chains inside passages of the others say nothing new: in runs of like words each place has one
+    passages = aligned(linked.where("NOT weak").drop("weak"))
+    weak = linked.where("weak").join(spans_of(passages), ["tb", "ta"], "left")
+    weak = weak.where(~inside_one(F.col("pb")[0], F.element_at("pb", -1) + k, F.array_min("pa"), F.array_max("pa") + k))
+    weak, _ = stored(weak.select("tb", "ta", "pb", "pa", F.col("pb")[0].alias("p"), F.col("pa")[0].alias("p_a")), "weak")
+    # words around them go as bytes: few of these chains need the texts
     places = weak.select(F.col("tb").alias("t"), "p").union(weak.select("ta", "p_a")).distinct().groupBy("t").agg(F.collect_list("p").alias("at"))
     around, _ = stored(places.hint("merge").join(whole, "t").mapInArrow(_around(k, min_words), "t long, p int, before binary, after binary"), "around")
     weak = weak.join(around.withColumnRenamed("t", "tb").hint("merge"), ["tb", "p"])
     weak = weak.join(around.toDF("ta", "p_a", "before_a", "after_a").hint("merge"), ["ta", "p_a"])
     reaching, _ = stored(weak.mapInArrow(_reaching(k, min_words), chain), "reaching")
-    passages = aligned(linked.where("NOT weak").drop("weak").union(reaching))
+    passages = passages.union(aligned(reaching))
     # a seed's places, if they are more than two; own: in no passage that ties them to its first place
-    spans = passages.groupBy("tb", "ta").agg(F.collect_set(F.struct("b0", "b1", "a0", "a1")).alias("spans"))
     places = found.where("outer").join(first.where("n > 2"), "h").select("h", F.col("t").alias("tb"), "ta", F.col("p").alias("pb"), "pa")
-    tied = F.exists("spans", lambda x: (x["b0"] <= F.col("pb")) & (x["b1"] >= F.col("pb") + k) & (x["a0"] <= F.col("pa")) & (x["a1"] >= F.col("pa") + k))
-    places = places.join(spans.hint("merge"), ["tb", "ta"], "left")
-    places = places.select("h", F.col("tb").alias("t"), F.col("pb").alias("p"), (~F.when(F.col("tb") == F.col("ta"), F.col("pb") == F.col("pa")).otherwise(F.coalesce(tied, F.lit(False)))).alias("own"))
+    tied = inside_one(F.col("pb"), F.col("pb") + k, F.col("pa"), F.col("pa") + k)
+    places = places.join(spans_of(passages), ["tb", "ta"], "left")
+    places = places.select("h", F.col("tb").alias("t"), F.col("pb").alias("p"), (~F.when(F.col("tb") == F.col("ta"), F.col("pb") == F.col("pa")).otherwise(tied)).alias("own"))
     places, _ = stored(places, "places")
     open_seeds = places.groupBy("h").agg(F.max("own").alias("any"), F.min("t").alias("least"), F.max("t").alias("most")).where("any AND least < most")
     places, _ = stored(places.join(open_seeds.select("h"), "h", "left_semi"), "places")
@@ -526,7 +664,7 @@ def repeated_passages(
     ties = tiled(keyed, ["t", "p"], ["t", "p", "own"], TILE, contexts).mapInArrow(_ties(k, min_words, identity), "tb long, ta long, pb int, pa int")
     more, _ = stored(ties.distinct().select("tb", "ta", F.array("pb").alias("pb"), F.array("pa").alias("pa")), "ties")
     # what lies inside another passage of the same two texts, in both, says nothing new
-    before = Window.partitionBy("tb", "ta").orderBy("b0", F.desc("b1"), "a0", F.desc("a1")).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("tb", "ta").orderBy("b0", F.desc("b1"), "a0", F.desc("a1"), F.desc("identity")).rowsBetween(Window.unboundedPreceding, -1)
     passages = passages.union(aligned(more)).distinct().withColumn("outer", F.max(F.struct("b1", "a1", "a0")).over(before))
     inside = (F.col("outer.b1") >= F.col("b1")) & (F.col("outer.a0") <= F.col("a0")) & (F.col("outer.a1") >= F.col("a1"))
     passages = passages.where(~F.coalesce(inside, F.lit(False))).drop("outer")

@@ -203,3 +203,60 @@ def test_ties_of_a_seed_as_all_pairs():
 
         assert {(x["tb"], x["ta"]) for x in links} <= set(want) and len(links) < n
         assert groups([*((x["tb"], x["ta"]) for x in links), *tied]) == groups([*want, *tied])
+
+
+def test_ends_of_runs_are_not_extended_pair_by_pair(monkeypatch):
+    """Places of one seed at the ends of runs of a word have many words in common, but no passage: few are extended."""
+    import pyarrow as pa
+
+    r = random.Random(9)
+    k, side, n = passages.K, passages._side(passages.K, 50), 300
+    contexts = []
+    for _ in range(n):
+        run = ["the"] * r.randrange(30, 40)
+        contexts.append((run + [words(r, 1)[0]] * side, words(r, 1) * side))
+    marks = [[np.array([hash(w) % 2**20 + 2**16 for w in x[:side]], "<u4").tobytes() for x in c] for c in contexts]
+    tile = {"t": range(n), "p": [side] * n, "own": [True] * n, "first": [False] * n, "before": [x for x, _ in marks], "after": [x for _, x in marks]}
+    tile |= {"c": np.zeros(n, np.int32), "key": np.ones(n, np.int64), "i": np.zeros(n, np.int32), "j": np.zeros(n, np.int32)}
+    calls, outward = [], passages._outward
+    monkeypatch.setattr(passages, "_outward", lambda b, a: calls.append(1) or outward(b, a))
+    assert not [x for b in passages._ties(k, 50, 0.8)(iter(pa.table(tile).to_batches())) for x in b.to_pylist()]
+    assert len(calls) < 4 * n
+
+
+def test_places_in_runs_go_once(spark, monkeypatch):
+    """Chains of one seed inside a passage of their texts are not looked at: rows that reach follow texts, not places."""
+    r = random.Random(6)
+    rows = [(x, " ".join(words(r, 20) + ["the"] * 400 + words(r, 20))) for x in range(20)]
+    made, stored = {}, passages.stored
+
+    def counted(df, kind):
+        out = stored(df, kind)
+        made[kind] = made.get(kind, 0) + out[0].count()
+        return out
+
+    monkeypatch.setattr(passages, "stored", counted)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x for g in got for x in (g["doc_id"], g["other"])} == set(range(20))
+    assert made["reaching"] <= 5 * len(rows)
+
+
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), max_size=48), st.lists(st.integers(0, 3), max_size=48)), min_size=1, max_size=20))
+@settings(max_examples=200, deadline=None)
+def test_straight_extensions(pairs):
+    """Where no edit goes on, the equal words that two rows begin with are the whole extension."""
+    width = passages._side(passages.K, 50) + passages.EDIT + 3
+    left, right = ([bytes(p[n]) for p in pairs] for n in (0, 1))
+    n, ends = passages._straight(*(passages._rows_of(x, width, np.uint8) for x in (left, right)))
+    for b, a, m, end in zip(left, right, n.tolist(), ends.tolist(), strict=True):
+        found = passages._outward(b, a)[:3]
+        assert found == (m, m, m) if end else min(found) >= m
+
+
+@given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), max_size=60), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_seeds_of_many_texts(texts):
+    owner, at, h = passages.seeds_of(texts)
+    for x, words in enumerate(texts):
+        want = passages.seeds(words)
+        assert at[owner == x].tolist() == want[0].tolist() and h[owner == x].tolist() == want[1].tolist()
