@@ -406,7 +406,10 @@ def _ties(k: int, min_words: int, identity: float):
         t, p, own, first, i, j = (piece.column(c).to_numpy() for c in ("t", "p", "own", "first", "i", "j"))
         before, after = (piece.column(c).to_pylist() for c in ("before", "after"))
         around = [_rows_of(x, _side(k, min_words) + EDIT + 3) for x in (before, after)]
-        bags = [(_bags(before, after, run), n) for run, n in zip((1, 2), least, strict=True)]
+        bags = []
+        for run, n in zip((1, 2), least, strict=True):
+            some = [_bags(before[x : x + 1000], after[x : x + 1000], run) for x in range(0, len(before), 1000)]
+            bags.append((tuple(np.concatenate(x) for x in zip(*some, strict=True)), n))
         across = i != j
         tile = np.repeat(np.arange(len(starts)), ends - starts)
         label = np.where(own, np.arange(len(t)), -1 - tile)  # all that are not own are one
@@ -607,21 +610,17 @@ def repeated_passages(
     whole = texts.join(checked_broadcast(used, used.count()), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     whole, _ = stored(whole, "texts")
 
-    def texts_of(ids: DataFrame, name: str) -> DataFrame:
-        """Texts by `name`; if few are asked for, only these are shuffled."""
-        ids = ids.select(F.col(name).alias("t")).distinct()
-        few = ids.count() <= BROADCAST_ROWS
-        return (whole.join(F.broadcast(ids), "t", "left_semi") if few else whole).withColumnRenamed("t", name)
-
     def aligned(linked: DataFrame) -> DataFrame:
         ends = [F.min(F.col("pb")[0]).alias("first"), F.max(F.element_at("pb", -1)).alias("last")]
-        ids = linked.select("tb", "ta")
+        ids = linked.select("tb", "ta").distinct()
         pairs = linked.groupBy("tb", "ta").agg(F.collect_list(F.struct("pb", "pa")).alias("c"), *ends)
         kind = "array<struct<pb:array<int>,pa:array<int>>>"
 
         def step(some: DataFrame, ids: DataFrame, reach: int | None) -> DataFrame:
-            parts = some.join(texts_of(ids, "tb").hint("merge"), "tb").mapInArrow(_cut(reach), f"tb long, ta long, c {kind}, part binary, lo int, cut boolean")
-            both = parts.join(texts_of(ids, "ta").hint("merge"), "ta")
+            few = ids.count() <= BROADCAST_ROWS  # then only their texts are shuffled
+            of_b, of_a = ((whole.join(F.broadcast(ids.select(F.col(x).alias("t"))), "t", "left_semi") if few else whole).withColumnRenamed("t", x) for x in ("tb", "ta"))
+            parts = some.join(of_b.hint("merge"), "tb").mapInArrow(_cut(reach), f"tb long, ta long, c {kind}, part binary, lo int, cut boolean")
+            both = parts.join(of_a.hint("merge"), "ta")
             columns = f"tb long, ta long, b0 int, b1 int, a0 int, a1 int, identity double, c {kind}"
             return stored(both.mapInArrow(_aligned(k, min_words, identity), columns), "passages")[0]
 
