@@ -453,7 +453,7 @@ def _ties(k: int, min_words: int, identity: float):
                 tie(x, x + gap, int(starts[tile[x]]), int(ends[tile[x]]))
         for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
             if e - s > FEW:
-                many = max(1, 8192 // (e - s))  # rows at once: what they tie is known to the next ones
+                many = max(1, 32768 // (e - s))  # rows at once: what they tie is known to the next ones
                 for x in range(s, e - 1, many):
                     a, b = np.nonzero(label[x : x + many, None] != label[x:e])
                     a, b = a[a < b] + x, b[a < b] + x
