@@ -1,7 +1,7 @@
 """Embedding near-duplicates: PCA-ordered tiled comparison.
 
-Vectors are compared inside a group (label, width). A rotation to principal axes, found from second moments of all
-vectors, puts most of each vector's length into its first coordinates and keeps every cosine. A group that a tile holds
+Vectors are compared inside a group (label, width). A rotation to principal axes, found from second moments of a bounded
+sample, puts most of each vector's length into its first coordinates and keeps every cosine. A group that a tile holds
 is one tile. A larger one is cut into strips along the first axis; unit vectors with cosine t or more lie within
 sqrt(2 - 2t) of each other, so only equal and neighbouring strips meet. A strip with more rows than a tile holds is cut
 into blocks, and each pair of blocks is a tile. A tile streams one side in bands of rows. In a band, products grow a few coordinates at a time; what the rest can add is bounded by the product of the
@@ -29,6 +29,8 @@ TILE_NUMBERS, LEAST_TILE, MOST_TILE = 1 << 22, 1024, 8192
 BAND = 256
 STEP = 8
 SLACK = 1e-9  # above the rounding of a rotated product
+#: The sample that axes are fitted on: numbers and rows at most; and the widest vectors that are rotated.
+AXES_NUMBERS, AXES_ROWS, WIDEST = 1 << 21, 4096, 2048
 
 
 def usable(v: str = "v") -> str:
@@ -52,27 +54,25 @@ def _by_width(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield int(d), batch if (widths == d).all() else batch.filter(pa.array(widths == d))
 
 
-def principal_axes(reps: DataFrame) -> dict[int, np.ndarray]:
-    """Per width d, a d x d rotation, axes by falling second moment over all rows of reps(d, v), repeated ones too.
+def principal_axes(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Per width d of rows(d, v), a rotation to axes by falling second moment over a sample of AXES_NUMBERS numbers at most.
 
-    A partition sends one d x d sum for each width; these are added up in a tree. Widths are few by nature.
+    The sample is the rows with the smallest hashes. Any rotation keeps every product, so the sample decides on speed
+    alone, not on results. Beyond WIDEST numbers a vector's own coordinates, in order of their moments, serve. Widths are
+    few by nature.
     """
+    found = {}
+    for r in rows.groupBy("d").agg(F.count("*").alias("n")).orderBy("d").collect():
+        d = r["d"]
+        some = rows.where(F.col("d") == d).orderBy(F.xxhash64("v")).limit(max(64, min(AXES_ROWS, AXES_NUMBERS // d))).select("v").toArrow()
+        x = _units(some)
+        found[d] = np.linalg.eigh(x.T @ x)[1][:, ::-1] if d <= WIDEST else np.argsort(-(x * x).sum(axis=0), kind="stable")
+    return found
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for d, own in _by_width(batch):
-                x = _units(own)
-                sums[d] = sums.get(d, 0) + x.T @ x
-        for d, m in sums.items():
-            at = np.arange(d * d)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(d * d, d, np.int32)), pa.array(at), pa.array(m.ravel())], ["d", "at", "m"])
 
-    found = reps.select("d", "v").mapInArrow(moments, "d int, at long, m double").groupBy("d", "at").agg(F.sum("m").alias("m")).collect()
-    sums: dict[int, np.ndarray] = {}
-    for r in found:
-        sums.setdefault(r["d"], np.zeros(r["d"] ** 2))[r["at"]] = r["m"]
-    return {d: np.linalg.eigh(m.reshape(d, d))[1][:, ::-1] for d, m in sums.items()}
+def rotated(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Rows of x in the coordinates of axes, a matrix of them or an order of x's own."""
+    return x @ axes if axes.ndim == 2 else x[:, axes]
 
 
 def close_pairs(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +136,7 @@ def _tile(axes, threshold: float):
             own = piece.slice(s, e - s)
             side, n, ids = own.column("side").to_numpy(), own.column("n").to_numpy(), own.column("rep")
             x = _units(own)
-            p = x @ axes.value[x.shape[1]]
+            p = rotated(x, axes.value[x.shape[1]])
             if own.column("i")[0] == own.column("j")[0]:
                 order = np.arange(len(x))
                 first, second, u, v = tile_links(x, x, p, p, True, n, n, threshold)
@@ -181,9 +181,9 @@ def near_duplicates(
     rows = rows.withColumn("rep", F.when(F.col("ok"), F.unhex(F.concat(*halves))))
     good = rows.where("ok").select("rep", "id", F.xxhash64("g0").alias("g"), F.size("v").alias("d"), "v")
     rows, _ = stored(rows.select("id", "ok", "rep"), "rows")
-    axes = spark.sparkContext.broadcast(principal_axes(good))  # d x d numbers for each width
     reps = good.groupBy("rep").agg(F.count("*").alias("n"), F.min("id").alias("low"), *[F.first(c).alias(c) for c in ("g", "d", "v")])
     reps, _ = stored(reps, "reps")
+    axes = spark.sparkContext.broadcast(principal_axes(reps))  # d x d numbers for each width
     holds = F.lit(tile) if tile else F.expr(f"greatest({LEAST_TILE}, least({MOST_TILE}, {TILE_NUMBERS} div d))")
     groups, _ = stored(reps.groupBy("g", "d").agg(F.count("*").alias("rows")).select("g", "d", "rows", F.col("rows").alias("members"), holds.cast("int").alias("holds")), "groups")
     total = groups.agg(F.sum("rows")).head()[0] or 0
@@ -192,7 +192,7 @@ def near_duplicates(
     def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for d, own in _by_width(batch):
-                s = np.floor(_units(own) @ axes.value[d][:, 0] / width).astype(np.int32)
+                s = np.floor(rotated(_units(own), axes.value[d][..., :1])[:, 0] / width).astype(np.int32)
                 s[own.column("members").to_numpy() <= own.column("holds").to_numpy()] = 0
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(s)], [*own.schema.names, "s"])
 

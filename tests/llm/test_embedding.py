@@ -58,3 +58,14 @@ def test_empty(spark):
     df = spark.createDataFrame([(1, None, 1)], "vec_id long, embedding array<float>, label int")
     assert [tuple(x) for x in embedding.near_duplicates(df).collect()] == [(1, 0, 1, True)]
     assert embedding.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_wide_vectors(spark):
+    # axes come from a bounded sample, so that wide vectors cost no table of d x d rows
+    r = np.random.default_rng(9)
+    for d in (1536, 2500):
+        base = r.normal(size=(20, d))
+        rows = [(k, (base[k % 20] + (k >= 20) * 0.05 * r.normal(size=d)).astype(np.float32).tolist(), 1) for k in range(60)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+        got = [tuple(x) for x in embedding.near_duplicates(df).collect()]
+        assert sorted(got, key=str) == plain(rows, 0.98)
