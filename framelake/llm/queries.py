@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import decontaminate, embedding, langid, mixing, passages, quality, sharding, simhash, sst, urls
+from framelake.llm import decontaminate, embedding, langid, mixing, passages, quality, sharding, simhash, sst, urls, whitening
 from framelake.llm.common import new_path, table, tidy
 
 #: Rules of the URL filter: host, path, verdict.
@@ -118,3 +118,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@tidy
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and leading component: its whitened coordinate, exact deviation (null beyond a long) and the share explained."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
