@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import decontaminate, embedding, langid, mixing, passages, quality, sharding, simhash, sst, urls, whitening
+from framelake.llm import decontaminate, embedding, langid, mixing, negatives, passages, quality, sharding, simhash, sst, urls, warc, whitening
 from framelake.llm.common import new_path, table, tidy
 
 #: Rules of the URL filter: host, path, verdict.
@@ -125,3 +125,22 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vector and leading component: its whitened coordinate, exact deviation (null beyond a long) and the share explained."""
     found = whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@tidy
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page, from the archives read back: its payload's bytes and digest, and the page that a revisit refers to."""
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.Archives(spark, path).records().select(
+        F.col("record_id").cast("long").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@tidy
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per anchor and positive: up to three rows of other labels that score from 50 to 95 hundredths of the positive."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))

@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries that SQL can express.
 
-None for op1 (a tokenizer), op2 (XXH64 draws), op3 and op9 (fitted models), op7 (XXH64) and op8 (alignment); tests hold
+None for op1 (a tokenizer), op2 (XXH64 draws), op3 and op9 (fitted models), op7 (XXH64), op8 (alignment) and
+op11 (eigenvectors); tests hold
 these against brute force, exact round trips or held-out accuracy.
 """
 
@@ -56,4 +57,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_sharding": OP4, "op5_embedding": OP5, "op6_urls": OP6, "op10_decontamination": OP10}
+OP12 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS keep FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM keep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM keep THEN keep END AS refers_to
+FROM d
+"""
+
+OP13 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 3
+"""
+
+ORACLES: dict[str, str] = {"op4_sharding": OP4, "op5_embedding": OP5, "op6_urls": OP6, "op10_decontamination": OP10, "op12_warc": OP12, "op13_negatives": OP13}

@@ -18,6 +18,9 @@ COLUMNS = {
     "op6_urls": {"page_id", "host", "path", "rule", "verdict"},
     "op7_simhash": {"doc_id", "fingerprint", "component_id"},
     "op9_quality": {"doc_id", "held_out", "score", "predicted"},
+    "op11_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op12_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "op13_negatives": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
     "op10_decontamination": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
 }
 
