@@ -15,11 +15,12 @@ def shared_path(spark: SparkSession, kind: str) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = f"file://{tempfile.mkdtemp(prefix='framelake-')}"
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """df's rows as they are now, in the partitions they are in: for what depends on sampled boundaries."""
-    if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return df.checkpoint()
-    return df.persist()
+    """df's rows as they are now, whatever is lost later: for what depends on sampled boundaries. Written to the shared folder as Parquet."""
+    path = shared_path(df.sparkSession, "fixed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

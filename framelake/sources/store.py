@@ -1,7 +1,8 @@
 """Catalogue tables by key: episodes, segments, upload states, configurations, statistics.
 
 A table is a log of Parquet files: puts and deletes are appended with a version, and the last entry of a key counts. A
-version is taken by making its mark, which fails if another writer was first; readers see whole appends.
+version is taken by making its mark, which fails if another writer was first. Appends go through the committed table of
+`lake`, so readers see them whole.
 """
 
 from __future__ import annotations
@@ -9,10 +10,14 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.sources import lake
+
 
 @dataclass
 class KeyedTable:
@@ -23,11 +28,10 @@ class KeyedTable:
 
     def _log(self) -> DataFrame:
         full = f"{self.schema}, __version long, __gone boolean"
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p) or not any(f.getPath().getName().startswith("part-") for f in fs.listStatus(p)):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{lake.COMMITS}")
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(self.path)
+        return lake.load(self.spark, self.path, full)
 
     def _take(self) -> int:
         """The next version, as this writer's own."""
@@ -46,11 +50,14 @@ class KeyedTable:
 
     def _append(self, rows: DataFrame, gone: bool) -> None:
         version = self._take()
-        rows.withColumns({"__version": F.lit(version).cast("long"), "__gone": F.lit(gone)}).write.mode("append").parquet(self.path)
+        lake.append(rows.withColumns({"__version": F.lit(version).cast("long"), "__gone": F.lit(gone)}), self.path)
 
     def put(self, rows: DataFrame) -> None:
-        """Insert or replace; of rows with one key in one put, any one is kept."""
-        self._append(self.spark.createDataFrame([], self.schema).unionByName(rows).dropDuplicates(list(self.keys)), False)
+        """Insert or replace; of rows with one key in one put, the one with the least hash is kept. Null keys are keys like others."""
+        rows = self.spark.createDataFrame([], self.schema).unionByName(rows)
+        own = [F.col(f"`{c}`") for c in rows.columns]
+        first = rows.groupBy(*self.keys).agg(F.min_by(F.struct(*own), F.struct(F.xxhash64(*own), F.to_json(F.struct(*own)))).alias("__row"))
+        self._append(first.select("__row.*"), False)
 
     def delete(self, keys: DataFrame) -> None:
         empty = self.spark.createDataFrame([], self.schema)
@@ -59,11 +66,13 @@ class KeyedTable:
     def rows(self) -> DataFrame:
         """The last version of each key that isn't deleted."""
         log = self._log()
-        last = log.groupBy(*self.keys).agg(F.max("__version").alias("__version"))
-        return log.join(last, [*self.keys, "__version"]).where("NOT __gone").drop("__version", "__gone")
+        last = log.groupBy(*self.keys).agg(F.max_by(F.struct(*log.columns), "__version").alias("__last"))  # grouping holds nulls equal
+        return last.select("__last.*").where("NOT __gone").drop("__version", "__gone")
 
     def get(self, keys: DataFrame) -> DataFrame:
-        return self.rows().join(keys, list(self.keys), "left_semi")
+        rows, wanted = self.rows(), keys.select(*[F.col(f"`{k}`").alias(f"__{k}") for k in self.keys])
+        same = [rows[k].eqNullSafe(wanted[f"__{k}"]) for k in self.keys]
+        return rows.join(wanted, reduce(and_, same), "left_semi")
 
 
 EPISODES = "episode_id string, segment string, start long, `end` long, path string"
