@@ -69,10 +69,10 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return path
 
 
-def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+def stored(df: DataFrame, kind: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """df written as Parquet to the shared folder and read back: lineage ends there, and a lost executor costs a reread."""
     spark, path = df.sparkSession, new_path(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -240,7 +240,7 @@ class Archives:
         text = spark.read.option("lineSep", "\nWARC/1.").option("pathGlobFilter", glob).text(path)
         meta = [F.col(f"_metadata.{c}").alias(a) for c, a in (("file_path", "file"), ("file_block_start", "split"), ("file_size", "size"))]
         # stored, so that places stay as they are: splits may be cut otherwise by a later scan
-        self.pieces, _ = stored(text.select(F.col("value").cast("binary").alias("value"), *meta).mapInArrow(_pieces, PIECES), "pieces")
+        self.pieces, _ = stored(text.select(F.col("value").cast("binary").alias("value"), *meta).mapInArrow(_pieces, PIECES), "pieces", "zstd")
         sums = self.pieces.groupBy("file", "split").agg(F.sum("len").alias("len"), F.max("size").alias("size"))
         before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
         self.splits, _ = stored(sums.select("file", "split", "size", F.coalesce(F.sum("len").over(before), F.lit(0)).alias("base")), "splits")
