@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framelake.operators.intervals import interval_join
 from framelake.shared import fixed
 
 
@@ -81,5 +82,5 @@ def reindexed(rows: DataFrame, episode: str, order: list[str]) -> DataFrame:
 
 
 def annotated(frames: DataFrame, segments: DataFrame, ns: str, by: list[str]) -> DataFrame:
-    """frames ⋈ segments(by, start, end, label) with start <= time < end: an equi-join on `by` with a range filter."""
-    return frames.join(segments, [*by]).where((F.col(ns) >= F.col("start")) & (F.col(ns) < F.col("end")))
+    """frames ⋈ segments(by, start, end, label) with start <= time < end; segments may overlap."""
+    return interval_join(frames, segments, ns, by)
