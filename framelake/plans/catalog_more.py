@@ -272,13 +272,6 @@ def stream_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("source", "bucket_ns", F.array_join("features", ",").alias("features"), F.round(total, 3).alias("total"), "n_messages", "complete")
 
 
-@query(f"WITH {EV}, {_DAYS} SELECT source, bucket_ns, CAST(sum(n) AS BIGINT) AS n_messages, false AS complete FROM c WHERE source % 10 = 0 GROUP BY ALL")
-def stream_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyed aligner, where a required feature never comes: every frame is closed by time or by the end."""
-    messages = event_messages(spark, sf_dir).where("source % 10 = 0").withColumn("feature", F.col("topic"))
-    return aligner.replayed(messages, 0, ["no such"], interval=DAY, early=True).select("source", "bucket_ns", "n_messages", "complete")
-
-
 # --- stores and sidecars
 
 

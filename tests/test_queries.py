@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from framelake.plans import catalog, catalog_more  # noqa: F401  both register queries
+from framelake.plans import catalog, catalog_more, catalog_streams  # noqa: F401  all register queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
