@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelake.shipping import ship
+from framelake.sorted_groups import pieces
+
 Frames = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -42,7 +46,10 @@ def transformed(frames: DataFrame, transform: Callable[[pd.DataFrame], Iterable[
 
 
 class Hooks:
-    """A processor with a life: start once an episode, process on its frames in order, end after the last."""
+    """A processor with a life: start once an episode, process on its frames in order, batch by batch, end after the last.
+
+    What process needs of earlier batches it keeps in itself.
+    """
 
     def start(self, episode) -> None: ...
 
@@ -53,21 +60,28 @@ class Hooks:
 
 
 def per_episode(frames: DataFrame, make: Callable[[], Hooks], added: str = "", episode: str = "episode_index", order: str = "frame_index") -> DataFrame:
-    """frames through hooks of one's own, made anew for each episode; the episode's frames come as one pandas frame.
-
-    An episode has to fit a task's memory, as frames without pictures do.
-    """
+    """frames through hooks of one's own, made anew for each episode. An episode streams through a task in batches, so it may be of any length."""
     extra = T.StructType.fromDDL(added) if added else T.StructType()
     schema = T.StructType([*frames.schema.fields, *extra.fields])
-
-    def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        hooks = make()
-        hooks.start(key[0])
-        out = hooks.process(batch.sort_values(order))
-        hooks.end(key[0])
-        return out[[f.name for f in schema.fields]]
-
-    return frames.groupBy(episode).applyInPandas(run, schema)
+    names = [f.name for f in schema.fields]
+    ship(frames.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        hooks, last = None, None
+        for (key,), new, piece in pieces(batches, [episode]):
+            if new:
+                if hooks:
+                    hooks.end(last)
+                hooks, last = make(), key
+                hooks.start(key)
+            yield hooks.process(piece.to_pandas())[names]
+        if hooks:
+            hooks.end(last)
+
+    def in_order(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return run(pa.RecordBatch.from_pandas(p, preserve_index=False) for p in parts)
+
+    return frames.repartition(episode).sortWithinPartitions(episode, order).mapInPandas(in_order, schema)
 
 
 def processor_stats(out: DataFrame) -> DataFrame:

@@ -2,40 +2,141 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from framelake.shipping import ship
+from framelake.sorted_groups import pieces
+
+
+#: What a group's moments consist of on their way: rows, first row's place in order and width, and an entry a dimension.
+PARTIAL = "feature int, n long, o long, w int, low array<double>, high array<double>, mean array<double>, m2 array<double>"
+
+
+def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of numbers as wide as the widest: (numbers, which are there)."""
+    widths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    there = np.arange(int(widths.max(initial=0))) < widths[:, None]
+    flat = column.flatten()
+    numbers = np.zeros(there.shape)
+    numbers[there] = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False)
+    there[there] = pc.is_valid(flat).to_numpy(zero_copy_only=False)
+    return numbers, there
+
+
+def _moments(x: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(min, max, mean, sum of squared deviations) of each column; what isn't there counts as 0 in the last two."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        low = np.fmin.reduce(np.where(there, x, np.inf), axis=0)
+        nan = there & np.isnan(x)
+        low = np.where(nan.sum(axis=0) == np.maximum(1, there.sum(axis=0)), np.nan, low)
+        high = np.max(np.where(there, x, -np.inf), axis=0)
+        mean = x.mean(axis=0)
+        return low, high, mean, ((x - mean) ** 2).sum(axis=0)
+
+
+def _merge(a: dict, b: dict) -> dict:
+    """Chan's update of two groups' moments; a narrower one counts as zeros beyond its width."""
+    width = max(len(a["mean"]), len(b["mean"]))
+    wide = lambda v, fill: np.concatenate([v, np.full(width - len(v), fill)])
+    n, (ma, mb), (sa, sb) = a["n"] + b["n"], (wide(x["mean"], 0.0) for x in (a, b)), (wide(x["m2"], 0.0) for x in (a, b))
+    with np.errstate(invalid="ignore", over="ignore"):
+        gap = mb - ma
+        mean, m2 = ma + gap * (b["n"] / n), sa + sb + gap * gap * (a["n"] * b["n"] / n)
+        la, lb, ha, hb = wide(a["low"], np.inf), wide(b["low"], np.inf), wide(a["high"], -np.inf), wide(b["high"], -np.inf)
+        # a NaN is larger than any number, as Spark holds
+        low = np.where(np.isnan(la) & (lb == np.inf) | np.isnan(lb) & (la == np.inf), np.nan, np.fmin(la, lb))
+        high = np.maximum(ha, hb)
+    first = min(a, b, key=lambda x: (x["o"] is not None, x["o"] if x["o"] is not None else 0, x["w"]))
+    return {"n": n, "o": first["o"], "w": first["w"], "low": low, "high": high, "mean": mean, "m2": m2}
+
+
+def _partials(by: list[str], features: int):
+    """Batches of (by, o, v0, v1, ...) -> a row for each group and feature of a batch, moments of whole vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = np.zeros(batch.num_rows, np.int64)
+            for k in by:
+                own = pc.dictionary_encode(batch.column(k), null_encoding="encode")
+                code = np.unique(code * (len(own.dictionary) + 1) + own.indices.to_numpy(), return_inverse=True)[1]
+            for f in range(features):
+                rows = np.flatnonzero(pc.is_valid(batch.column(f"v{f}")).to_numpy(zero_copy_only=False))
+                if not len(rows):
+                    continue
+                rows = rows[np.argsort(code[rows], kind="stable")]
+                x, there = _matrix(batch.column(f"v{f}").take(pa.array(rows)))
+                o, w = batch.column("o").take(pa.array(rows)), pc.list_value_length(batch.column(f"v{f}").take(pa.array(rows))).to_numpy()
+                starts = np.flatnonzero(np.r_[True, np.diff(code[rows]) != 0])
+                out = []
+                for s, e in zip(starts, [*starts[1:], len(rows)], strict=True):
+                    own, width = o.slice(s, e - s).to_pylist(), int(w[s:e].max())
+                    first = min(range(s, e), key=lambda k: (own[k - s] is not None, own[k - s] or 0, w[k]))
+                    out.append((f, int(e - s), own[first - s], int(w[first]), *(v[:width] for v in _moments(x[s:e], there[s:e]))))
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.list_(pa.float64())] * 4]
+                columns = [batch.column(k).take(pa.array(rows[starts])) for k in by] + [pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, [*by, "feature", "n", "o", "w", "low", "high", "mean", "m2"])
+
+    return run
+
+
+def _finished(by: list[str], names: list[str]):
+    """Partial rows sorted by group and feature -> a row a dimension, up to the first row's width."""
+
+    def rows(key: tuple, own: dict) -> pa.RecordBatch | None:
+        width = min(own["w"], len(own["mean"]))
+        if not width:
+            return None
+        kept = {c: own[c][:width] for c in ("low", "high", "mean", "m2")}
+        numbers = lambda v: pa.array(np.where(np.isinf(v) & np.isin(v, (np.inf, -np.inf)) & own["empty"][:width], np.nan, v), mask=own["empty"][:width])
+        std = np.sqrt(np.maximum(0.0, kept["m2"] / own["n"]))
+        columns = [pa.array([k] * width, t) for k, t in zip(key[:-1], own["types"], strict=True)]
+        columns += [pa.array(np.arange(width, dtype=np.int32)), pa.array(np.full(width, own["n"])), numbers(kept["low"]), numbers(kept["high"]), pa.array(kept["mean"]), pa.array(std), pa.array([names[key[-1]]] * width)]
+        return pa.RecordBatch.from_arrays(columns, [*by, "dim", "n_rows", "min", "max", "mean", "std", "feature"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, None
+        for key, new, piece in pieces(batches, [*by, "feature"]):
+            if new and held is not None and (done := rows(now, held)) is not None:
+                yield done
+            held, now = None if new else held, key
+            types = [piece.column(k).type for k in by]
+            for r in piece.select(["n", "o", "w", "low", "high", "mean", "m2"]).to_pylist():
+                own = {c: np.array(v, float) if isinstance(v, list) else v for c, v in r.items()}
+                held = own if held is None else _merge(held, own)
+            held["types"], held["empty"] = types, (held["low"] == np.inf) & (held["high"] == -np.inf)
+        if held is not None and (done := rows(now, held)) is not None:
+            yield done
+
+    return run
 
-def vector_stats(rows: DataFrame, by: list[str], vector: str, order: str) -> DataFrame:
-    """(by, dim, n_rows, min, max, mean, std) a dimension; the width is that of the first row by `order`.
 
-    mean divides by all rows, so a short row counts in n and adds nothing; std is the population's, by the two sums.
-    Null vectors are no rows.
+def episode_stats(rows: DataFrame, by: list[str], vectors: dict[str, str], order: str = "frame_index") -> DataFrame:
+    """(by, dim, n_rows, min, max, mean, std, feature) of each {feature: column}, over values as recorded: call before any fill.
+
+    One scan for all features. Each batch of rows gives the moments of whole vectors for its groups; these, a few arrays a
+    group, are shuffled, sorted and merged pairwise, so numbers far from zero keep their deviations. The width is that of
+    the first row by `order`, a number. mean divides by all rows, so a short row counts in n and adds nothing; std is the
+    population's. Null vectors are no rows; null numbers are none, and a dimension of nothing else has no least or largest.
     """
-    rows = rows.where(F.col(vector).isNotNull())
-    # one pass: place 0 of a row stands for the row itself, its numbers follow
-    numbers = F.concat(F.array(F.lit(0.0)), F.col(vector).cast("array<double>"))
-    cells = rows.select(*by, F.struct(F.col(order).alias("o"), F.size(vector).alias("w")).alias("__row"), F.posexplode(numbers).alias("dim", "x"))
-    x = F.col("x")
-    sums = cells.groupBy(*by, "dim").agg(
-        F.count("*").alias("__n"), F.min(F.when(F.col("dim") == 0, F.col("__row"))).alias("__first"), F.min("x").alias("min"), F.max("x").alias("max"), F.sum("x").alias("s"), F.sum(x * x).alias("ss")
-    )
-    whole = Window.partitionBy(*by)  # over sums, a row a dimension
-    out = sums.withColumn("n_rows", F.max(F.when(F.col("dim") == 0, F.col("__n"))).over(whole)).withColumn("width", F.max(F.when(F.col("dim") == 0, F.col("__first.w"))).over(whole))
-    out = out.where("dim > 0 AND dim <= width").withColumn("dim", F.col("dim") - 1)
-    mean = F.col("s") / F.col("n_rows")
-    std = F.sqrt(F.greatest(F.lit(0.0), F.col("ss") / F.col("n_rows") - mean * mean))
-    return out.select(*by, "dim", "n_rows", "min", "max", mean.alias("mean"), std.alias("std"))
+    spark = rows.sparkSession
+    ship(spark)
+    own = rows.select(*by, F.col(order).cast("long").alias("o"), *[F.col(c).cast("array<double>").alias(f"v{k}") for k, c in enumerate(vectors.values())])
+    kinds = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in by)
+    head = f"{kinds}, " if by else ""
+    parts = own.mapInArrow(_partials(by, len(vectors)), f"{head}{PARTIAL}")
+    dealt = parts.repartition(*by, "feature").sortWithinPartitions(*by, "feature")
+    return dealt.mapInArrow(_finished(by, list(vectors)), f"{head}dim int, n_rows long, min double, max double, mean double, std double, feature string")
 
 
-def episode_stats(rows: DataFrame, by: list[str], vectors: dict[str, str], order: str = "frame_index") -> DataFrame:
-    """(by, feature, dim, ...) of each {feature: column}, over values as recorded: call before any fill."""
-    out = None
-    for feature, column in vectors.items():
-        own = vector_stats(rows, by, column, order).withColumn("feature", F.lit(feature))
-        out = own if out is None else out.unionByName(own)
-    return out
+def vector_stats(rows: DataFrame, by: list[str], vector: str, order: str) -> DataFrame:
+    """(by, dim, n_rows, min, max, mean, std) of one vector column, as episode_stats."""
+    return episode_stats(rows, by, {vector: vector}, order).drop("feature")
 
 
 def merged(stats: DataFrame, by: list[str], exact: bool = False) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelake.functions.names import video_path
+from framelake.shipping import ship
+from framelake.sorted_groups import folded
 from framelake.sources.recordings import UnsupportedFormat
 
 
@@ -36,20 +39,32 @@ def fragment_full(frames: Column, held_bytes: Column, most_frames: int, most_byt
 def fragments_by_bytes(images: DataFrame, by: list[str], order: str, frames: int, most_bytes: int, seconds: float, fps: int, size: str = "size") -> DataFrame:
     """(by, order, fragment): as fragments(), and full too once its frames hold most_bytes.
 
-    Where a fragment ends depends on where the one before did, so a fold runs over the sizes of an episode's frames.
+    Where a fragment ends depends on where the one before did, so a fold runs over an episode's frames in order; it carries
+    the fragment's number, frames and bytes, and a batch of frames is in memory. A null size counts as 0.
     """
-    rows = images.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("f"))
-    zero = F.lit(0).cast("long")
-    start = F.struct(zero.alias("n"), zero.alias("b"), zero.alias("k"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        n, b = acc["n"] + 1, acc["b"] + F.coalesce(x["s"], zero)
-        full = fragment_full(n, b, frames, most_bytes, seconds, fps)
-        return F.struct(F.when(full, zero).otherwise(n).alias("n"), F.when(full, zero).otherwise(b).alias("b"), (acc["k"] + full.cast("long")).alias("k"), F.concat(acc["out"], F.array(acc["k"])).alias("out"))
-
-    found = F.aggregate("f", start, step, lambda acc: acc["out"])
-    cells = rows.select(*by, F.explode(F.arrays_zip(F.col("f.o").alias("o"), found.alias("fragment"))).alias("x"))
-    return cells.select(*by, F.col("x.o").alias(order), F.col("x.fragment").alias("fragment"))
+    rows = images.select(*by, order, F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")).alias("__size"))
+    full = max(1, min(frames, -(-int(seconds * fps * 10**6) // 10**6)))
+
+    def fold():
+        n = held = k = 0
+
+        def step(key: tuple, new: bool, piece: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal n, held, k
+            if new:
+                n = held = k = 0
+            out = []
+            for own in piece.column("__size").to_pylist():
+                out.append(k)
+                n, held = n + 1, held + own
+                if n >= full or held >= most_bytes:
+                    n, held, k = 0, 0, k + 1
+            return pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*by, order)], pa.array(out, pa.int64())], [*by, order, "fragment"])
+
+        return step
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*by, order))
+    ship(images.sparkSession)
+    return folded(rows, by, [order], fold, f"{kinds}, fragment long")
 
 
 def manifest(images: DataFrame, per_chunk: int = 500) -> DataFrame:
