@@ -44,10 +44,10 @@ def dense_numbers(keys: DataFrame, order: list[str], out: str = "episode_index")
     Keys are dealt to ranges by sampled boundaries, whatever they look like; a range's first number is the running sum of
     the sizes of those before it, so only the list of ranges, a row a partition, comes to the driver.
     """
-    return _numbered(keys.select(*order).distinct(), order, out)
+    return numbered(keys.select(*order).distinct(), order, out)
 
 
-def _numbered(table: DataFrame, order: list[str], out: str, amount: str | None = None, base: str = "__before") -> DataFrame:
+def numbered(table: DataFrame, order: list[str], out: str, amount: str | None = None, base: str = "__before") -> DataFrame:
     """table, a row a key, with places in order and, if asked for, the sum of amount over all rows before as base."""
     # sampled boundaries may differ from run to run: what they make is fixed before it is counted
     ranged = fixed(table.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
@@ -76,7 +76,7 @@ def reindexed(rows: DataFrame, episode: str, order: list[str]) -> DataFrame:
     """
     place = Window.partitionBy(episode).orderBy(*order)
     sizes = rows.groupBy(episode).agg(F.count("*").alias("__size"))
-    bases = _numbered(sizes, [episode], "episode_index", "__size").drop("__size")
+    bases = numbered(sizes, [episode], "episode_index", "__size").drop("__size")
     out = rows.withColumn("frame_in_episode", (F.row_number().over(place) - 1).cast("long")).join(bases, episode)
     return out.withColumn("index", F.col("__before") + F.col("frame_in_episode")).withColumn("frame_index", F.col("index")).drop("__before")
 

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from framelake.operators.episodes import numbered
 
 VERSION = "v2.1"
 
 
+def first_seen(tasks: DataFrame, task: str, order: list[str]) -> DataFrame:
+    """(task, first): distinct texts with the place where each first appears."""
+    return tasks.where(F.col(task).isNotNull()).groupBy(F.col(task).alias("task")).agg(F.min(F.struct(*order)).alias("first"))
+
+
 def task_dictionary(tasks: DataFrame, task: str, order: list[str]) -> DataFrame:
-    """(task, task_index): texts numbered as they first appear. The window runs over distinct tasks only."""
-    first = tasks.where(F.col(task).isNotNull()).groupBy(F.col(task).alias("task")).agg(F.min(F.struct(*order)).alias("__first"))
-    return first.select("task", (F.row_number().over(Window.orderBy("__first", "task")) - 1).cast("long").alias("task_index"))
+    """(task, task_index): texts numbered as they first appear, by ranges of them; several first in one place go by text."""
+    return numbered(first_seen(tasks, task, order), ["first", "task"], "task_index").select("task", "task_index")
 
 
 def episode_lines(rows: DataFrame, tasks: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.operators import dictionary
+from framelake.plans import incremental
 from framelake.plans.catalog import DAY, EV, query
 from framelake.shared import shared_path
 from framelake.sources import lake
@@ -115,3 +117,34 @@ def streamed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals.run_in_parts([*parts, timed(end)], start)
     found = lake.load(spark, root).where("source >= 0")
     return sessions.assigned(messages, found, ["source"]).select("seq", "episode")
+
+
+# --- what lasts over runs
+
+
+@query("SELECT p_type AS task, row_number() OVER (ORDER BY min(p_partkey), p_type) - 1 AS task_index FROM part GROUP BY 1")
+def lasting_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of parts as tasks, registered in four arrivals and once more: the indices of one pass."""
+    own = dictionary.TaskDictionary(spark, shared_path(spark, "tasks"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    n = parts.agg(F.max("p_partkey")).head()[0] or 0
+    for k in (0, 1, 2, 3, 1):
+        own.extend(parts.where(F.floor(F.col("p_partkey") * 4 / F.lit(n + 1)) == k), "p_type", ["p_partkey"])
+    return own.tasks()
+
+
+@query("SELECT l_orderkey AS episode_index, l_linenumber AS frame_index, l_partkey, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
+def converted_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files that become more over three runs, a run repeated: the lines of each are converted once."""
+    root = shared_path(spark, "converted")
+    files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.floor("o_totalprice").cast("long").alias("length"), F.unix_date(F.col("o_orderdate").cast("date")).cast("long").alias("modified"))
+    lines = table(spark, sf_dir, "lineitem")
+
+    def convert(todo: DataFrame) -> DataFrame:
+        own = lines.join(todo, lines["l_orderkey"] == F.col("path").cast("long"), "left_semi")
+        return own.select(F.col("l_orderkey").alias("episode_index"), F.col("l_linenumber").alias("frame_index"), "l_partkey", "l_quantity")
+
+    cuts = files.approxQuantile("modified", [0.3, 0.7, 1.0], 0.01)
+    for cut in (cuts[0], cuts[1], cuts[1], 10**9) if cuts else ():
+        incremental.run(files.where(F.col("modified") <= cut), root, convert)
+    return lake.load(spark, root) if cuts else convert(files.limit(0))

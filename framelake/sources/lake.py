@@ -4,8 +4,8 @@
 has, and returns what it wrote: file, rows, bytes, and the episode if files are cut by episode. When all tasks are
 through, the driver publishes one commit, a small JSON file that names them, by one rename. Readers see the files that
 commits name and no others: nothing of a write that is under way or failed, and all of one that is through. A task that
-fails removes its files, and a write that fails all that its tasks wrote; what a lost executor may leave is in nobody's
-way, and `vacuum` removes it.
+fails removes its files, and a write that fails all that its tasks wrote. What a lost executor leaves, or a task that is
+cut off just then, is in nobody's way, and `vacuum` removes it.
 
 A stream's commit carries the sink's name and the batch's number. A batch that is run again after a restart finds its
 commit there, drops what it wrote, and changes nothing.
@@ -39,7 +39,9 @@ from framelake.sources.recordings import _open
 COMMITS, DATA = "_commits", "data"
 FILE_BYTES = 256 << 20
 PER_CHUNK = 500
-COMMIT = "schema string, replaces boolean, at long, files array<struct<name:string,rows:long,bytes:long,episode:long>>"
+COMMIT = "schema string, replaces boolean, at long, files array<struct<name:string,rows:long,bytes:long,episode:long,part:string>>"
+#: The part of a table that its rows are in, and the one that tells what they were made from.
+ROWS, INPUTS = "rows", "inputs"
 
 
 @dataclass
@@ -120,6 +122,7 @@ class _Sink:
         self.root, self.schema, self.overwrite = options["path"].rstrip("/"), schema.json(), overwrite
         self.episode, self.most = options.get("episode"), int(options.get("file_bytes", FILE_BYTES))
         self.sink, self.job = options.get("sink", "stream"), uuid.uuid4().hex
+        self.part, self.held = options.get("part", ROWS), options.get("held")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files = _Files(self.root, self.job, self.episode, self.most)
@@ -149,18 +152,24 @@ class _Sink:
         if self.episode is not None:
             self._whole_episodes(store, root, files)
         names = ("name", "rows", "bytes", "episode")
-        commit = {"schema": self.schema, "replaces": self.overwrite, "at": time.time_ns(), "files": [dict(zip(names, f, strict=True)) for f in files]}
-        store.create_dir(f"{root}/{COMMITS}", recursive=True)
-        hidden = f"{root}/{COMMITS}/.{name}-{uuid.uuid4().hex}"
-        with store.open_output_stream(hidden) as out:
-            out.write(json.dumps(commit).encode())
-        store.move(hidden, f"{root}/{COMMITS}/{name}.json")
+        listed = [dict(zip(names, f, strict=True)) | {"part": self.part} for f in files]
+        commit = {"schema": self.schema, "replaces": self.overwrite, "at": time.time_ns(), "files": listed}
+        _put(store, root, f".held-{self.held}" if self.held else name, commit)
 
     def drop(self, messages: list) -> None:
         store, root = _open(self.root)
         _remove(store, root, [f[0] for m in messages if m is not None for f in m.files])
 
 
+def _put(store, root: str, name: str, commit: dict) -> None:
+    """A commit file, there as a whole or not at all."""
+    store.create_dir(f"{root}/{COMMITS}", recursive=True)
+    hidden = f"{root}/{COMMITS}/.{uuid.uuid4().hex}"
+    with store.open_output_stream(hidden) as out:
+        out.write(json.dumps(commit).encode())
+    store.move(hidden, f"{root}/{COMMITS}/{name}.json")
+
+
 class _Batch(_Sink, DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         self.publish(messages, f"{time.time_ns():020d}-{uuid.uuid4().hex}")
@@ -222,7 +231,7 @@ class _Reader(DataSourceReader):
         store, root = _open(self.root)
         out, held, size = [], [], 0
         for c in _commits(store, root):
-            for f in c["files"]:
+            for f in (f for f in c["files"] if f["part"] == ROWS):
                 if held and size + f["bytes"] > self.most:
                     out.append(_Part(held))
                     held, size = [], 0
@@ -297,6 +306,24 @@ def append(df: DataFrame, root: str, replace: bool = False, **options: str) -> N
     df.write.format("framelake").mode("overwrite" if replace else "append").options(path=root, **options).save()
 
 
+def append_with_inputs(rows: DataFrame, inputs: DataFrame, root: str) -> None:
+    """rows, and the inputs that they were made from, as one commit: readers see both or neither."""
+    token = uuid.uuid4().hex
+    store, path = _open(root.rstrip("/"))
+    names = [f".held-{token}-{part}" for part in (ROWS, INPUTS)]
+    try:
+        for part, df in ((ROWS, rows), (INPUTS, inputs)):
+            append(df, root, part=part, held=f"{token}-{part}")
+        held = []
+        for name in names:
+            with store.open_input_stream(f"{path}/{COMMITS}/{name}.json") as f:
+                held.append(json.loads(f.read()))
+        commit = {"schema": held[0]["schema"], "replaces": False, "at": time.time_ns(), "files": held[0]["files"] + held[1]["files"]}
+        _put(store, path, f"{time.time_ns():020d}-{token}", commit)
+    finally:
+        _remove(store, f"{path}/{COMMITS}", [f"{n}.json" for n in names])
+
+
 def append_episodes(frames: DataFrame, root: str, episode: str = "episode_index", frame: str = "frame_index") -> None:
     """Frames as one commit, a file an episode, frames in order. An episode that the table holds already is an error."""
     append(frames.repartition(episode).sortWithinPartitions(episode, frame), root, episode=episode)
@@ -309,25 +336,31 @@ def stream_into(stream: DataFrame, root: str, notes: str, sink: str = "stream"):
 
 
 def files(spark: SparkSession, root: str) -> DataFrame:
-    """(name, rows, bytes, episode) of the files that the table consists of, a row a file."""
+    """(name, rows, bytes, episode, part) of the files that the table consists of, a row a file."""
     found = spark.read.schema(COMMIT).option("pathGlobFilter", "*.json").json(f"{root.rstrip('/')}/{COMMITS}")
     last = found.where("replaces").agg(F.coalesce(F.max("at"), F.lit(0)).alias("last"))
     return found.join(F.broadcast(last), F.col("at") >= F.col("last")).select(F.inline("files"))  # a row
 
 
-def load(spark: SparkSession, root: str, schema: StructType | str | None = None) -> DataFrame:
+def load(spark: SparkSession, root: str, schema: StructType | str | None = None, part: str = ROWS) -> DataFrame:
     """The table by Spark's own Parquet reader, with its pruning and push-down; columns that a file lacks are null.
 
-    As with any file table, the list of files is on the driver.
+    As with any file table, the list of files is on the driver. The schema of inputs has to be given.
     """
     register(spark)
-    names = [r["name"] for r in files(spark, root).select("name").collect()]
+    names = [r["name"] for r in files(spark, root).where(F.col("part") == part).select("name").collect()]
     schema = schema or spark.read.format("framelake").load(root).schema
     if not names:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{root.rstrip('/')}/{n}" for n in names])
 
 
+def exists(spark: SparkSession, root: str) -> bool:
+    """Whether anything has been committed."""
+    store, path = _open(root.rstrip("/"))
+    return next(_commits(store, path), None) is not None
+
+
 def orphans(spark: SparkSession, root: str) -> DataFrame:
     """(path, modificationTime) of files below data that no commit names: of writes under way, and of lost executors."""
     there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/{DATA}").select("path", "modificationTime")

@@ -28,8 +28,7 @@ class KeyedTable:
 
     def _log(self) -> DataFrame:
         full = f"{self.schema}, __version long, __gone boolean"
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{lake.COMMITS}")
-        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        if not lake.exists(self.spark, self.path):
             return self.spark.createDataFrame([], full)
         return lake.load(self.spark, self.path, full)
 
