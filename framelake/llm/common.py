@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -192,6 +194,21 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run with its memory given back at the end: a Python worker lives on, beside those of the stages that follow."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return own
+
+
 def group_bounds(piece: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """First row and row after the last of each group in a sorted table."""
     changed = np.zeros(piece.num_rows, dtype=bool)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.common import ready
+from framelake.llm.common import lean, ready
 
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+|\n|_+")
 #: Tokens outside the vocabulary fall into classes of their own, as do words that stand again beside or next but one to
@@ -250,4 +250,4 @@ def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "scor
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, out])
         sent.value.cache.clear()  # the worker lives on
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)

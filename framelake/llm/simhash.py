@@ -13,7 +13,8 @@ are then bands of bits, in a number that leaves one pair of SPLIT_MISS unfound;
 each link of a tile's nearest-first spanning forest is checked on the texts' shingles themselves. That brings large groups
 together in a few links. What bits miss is found exactly: sets of that similarity share one of their least shingles (a
 fifth of them and one), so texts of different groups that share such a shingle meet in tiles too. There, only pairs are
-left out whose sizes or parity bits, a bit for each class of hashes, prove that they differ in too many shingles. A tile
+left out whose sizes or parity bits, a bit for each class of hashes, prove that they differ in too many shingles. The
+order puts shingles last that are frequent in a sample, so that few texts meet for what many have in common. A tile
 returns links that connect what is left, never all pairs; of each group that these make, the texts' shingles are
 compared, all with all, in tiles once more, which return spanning links of the similarity.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from framelake.llm.common import checked_broadcast, group_bounds, key_runs, ready, sliced, spanning_links, split_join, stored
+from framelake.llm.common import checked_broadcast, group_bounds, key_runs, lean, ready, sliced, spanning_links, split_join, stored
 from framelake.llm.components import connected_components
 
 SEED = 42
@@ -44,6 +45,8 @@ WIDE, SPLIT_MISS, BAND_ROWS = 4, 0.005, 512
 PARITY_BITS = 1 << 15
 #: Shingles of a row of a tile of sets; a text of more counts as several.
 SET_SHINGLES = 1024
+#: Texts, in expectation, that frequent shingles are counted in, and how many of these come last in a set's order.
+FREQUENT_TEXTS, FREQUENT = 8000, 500_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -110,7 +113,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint"
             found = np.fromiter((fingerprint(x.as_py(), width) for x in texts), np.uint64, batch.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def _over(planes: np.ndarray, rows: np.ndarray, radius: int) -> np.ndarray:
@@ -281,7 +284,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> D
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("c", "key"))
     dealt = tiled(keyed, ["fp"], ["fp"], tile)
-    return dealt.mapInArrow(_tile_links(radius), "u long, v long")
+    return dealt.mapInArrow(lean(_tile_links(radius)), "u long, v long")
 
 
 def tiled(keyed: DataFrame, ident: list[str], columns: list[str], tile: int, wide: DataFrame | None = None, weight: str | None = None) -> DataFrame:
@@ -409,11 +412,42 @@ def _similar(similarity: float):
     return run
 
 
-def least_shingles(shingles: np.ndarray, similarity: float) -> np.ndarray:
-    """Of a sorted set, the least ones that it shares one of with every set of this Jaccard similarity."""
+def least_shingles(shingles: np.ndarray, similarity: float, frequent: np.ndarray | None = None) -> np.ndarray:
+    """Of a sorted set, the least ones that it shares one of with every set of this Jaccard similarity.
+
+    frequent: sorted shingles that come behind all others. Any order that all sets have in common will do; with this one,
+    what many texts have in common seldom brings them together.
+    """
+    if frequent is not None and len(frequent):
+        last = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+        shingles = np.concatenate([shingles[~last], shingles[last]])
     return shingles[: len(shingles) - math.ceil(similarity * len(shingles) - 1e-6) + 1]
 
 
+def frequent_shingles(texts: DataFrame, width: int) -> np.ndarray:
+    """Sorted shingles that several of some FREQUENT_TEXTS texts(t, text) have, FREQUENT at most, the most frequent ones.
+
+    The texts are those whose hash t falls in a share of all hashes; a task counts equal texts once. What is found decides
+    on speed alone.
+    """
+    share = min(1.0, FREQUENT_TEXTS / max(1, texts.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in sliced(batches):
+            found = []
+            for t, x in zip(batch.column("t").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
+                if t not in seen:
+                    seen.add(t)
+                    found.append(shingle_set(words_of(x.as_py()), width))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["s"])
+
+    some = texts.where(F.pmod(F.xxhash64("t"), F.lit(1 << 40)) < int(share * (1 << 40))).select("t", "text")
+    counts = some.mapInArrow(lean(run), "s long").groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
+    return np.sort(counts.orderBy(F.desc("n"), "s").limit(FREQUENT).select("s").toArrow().column("s").to_numpy().view(np.uint64))
+
+
 def size_class(n, similarity: float) -> np.ndarray:
     """Classes of set sizes; sizes of sets of this similarity are in one or in two that follow each other."""
     return np.floor(np.log(np.maximum(n, 1)) / math.log(1.01 / similarity)).astype(np.int64)
@@ -545,15 +579,15 @@ def _rest(prints: DataFrame, linked: DataFrame, similarity: float, sets_of: Call
     groups, _ = stored(split_join(members, roots, ["root"], "n", members.count()).select("u", "r"), "groups")
     least = prints.select("u", "z", "pre").join(groups, "u", "left").select("u", F.coalesce("r", "u").alias("r"), "z", F.explode("pre").alias("key"))
     # sorted, not aggregated: nearly every shingle is in one text alone, and a hash table of them all takes much memory
-    tied = least.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "c int, key long, u long, r long")
+    tied = least.repartition("key").sortWithinPartitions("key").mapInArrow(lean(_across), "c int, key long, u long, r long")
     tied, _ = stored(tied, "tied")
     tiles = tiled(tied, ["u"], ["u", "r"], TILE, prints.select("u", "n", "z", "sk"))
-    may, _ = stored(connected_components(tiles.mapInArrow(_rest_tiles(similarity), "u long, v long")).toDF("u", "key"), "may")
+    may, _ = stored(connected_components(tiles.mapInArrow(lean(_rest_tiles(similarity)), "u long, v long")).toDF("u", "key"), "may")
     size = F.ceil(F.col("n") / F.lit(SET_SHINGLES)).alias("w")
     texts = may.join(prints.select("u", "k", "n"), "u").join(groups, "u", "left")
     texts, _ = stored(texts.select(F.lit(0).alias("c"), "key", "k", F.coalesce("r", "u").alias("r"), F.greatest(size, F.lit(1)).alias("w")), "texts")
     tiles = tiled(texts, ["k"], ["k", "r"], TILE, sets_of(texts.select("k")), "w")
-    return stored(tiles.mapInArrow(_similar_sets(similarity), "u binary, v binary"), "similar")[0]
+    return stored(tiles.mapInArrow(lean(_similar_sets(similarity)), "u binary, v binary"), "similar")[0]
 
 
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -565,6 +599,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     spark = df.sparkSession
     ready(spark)
     texts = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("t"), F.col(f"`{text}`").alias("text"))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, width))
     schema = texts.select("id", "t").schema.add("k", "binary")
     for n in range(WIDE):
         schema = schema.add(f"f{n}", "long")
@@ -579,7 +614,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
                 shingles = shingle_set(words, width)
                 prints.append(wide_fingerprint(shingles))
                 sizes.append(len(shingles))
-                least.append(least_shingles(shingles, similarity).view(np.int64))
+                least.append(least_shingles(shingles, similarity, frequent.value).view(np.int64))
                 odd.append(parities(shingles, similarity))
             found = np.array(prints, np.uint64).reshape(-1, WIDE).view(np.int64)
             classes = size_class(np.array(sizes, np.int64), similarity)
@@ -587,7 +622,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
             columns = [batch.column("id"), batch.column("t"), pa.array(names, pa.binary()), *(pa.array(found[:, n]) for n in range(WIDE)), *sets]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    rows, _ = stored(texts.mapInArrow(printed, schema), "prints")
+    rows, _ = stored(texts.mapInArrow(lean(printed), schema), "prints")
     ends = [f"f{n}" for n in range(WIDE)]
     of_each = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("first")
     own = [F.first(c).alias(c) for c in (*ends, "n", "z", "pre", "sk")]
@@ -595,8 +630,8 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     prints, _ = stored(prints, "distinct")
     bands, radius = bands_for(prints.count(), similarity)
     kinds = ", ".join(f"{f} long" for f in ends)
-    keyed = prints.select("k", *ends).mapInArrow(_banded(bands), f"c int, key long, k binary, {kinds}")
-    near = tiled(keyed, ["k"], ["k", *ends], TILE).mapInArrow(_similar_tiles(radius), "u binary, v binary")
+    keyed = prints.select("k", *ends).mapInArrow(lean(_banded(bands)), f"c int, key long, k binary, {kinds}")
+    near = tiled(keyed, ["k"], ["k", *ends], TILE).mapInArrow(lean(_similar_tiles(radius)), "u binary, v binary")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -608,7 +643,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
         met, _ = stored(ids.join(prints.select("k", "first"), "k").select("k", F.col("first.id").alias("own"), F.col("first.t").alias("hash")), "met")
         n_met = met.count()
         there = texts.join(checked_broadcast(met, n_met), F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("hash")))
-        sets = there.select("k", "text").mapInArrow(shingled, "k binary, s binary")
+        sets = there.select("k", "text").mapInArrow(lean(shingled), "k binary, s binary")
         return stored(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")[0]
 
     def checked(near: DataFrame) -> DataFrame:
@@ -616,7 +651,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wid
         near, _ = stored(near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near")
         sets = sets_of(near.select(F.col("u").alias("k")).union(near.select("v")).distinct())
         pairs = near.join(sets.toDF("u", "a").hint("merge"), "u").join(sets.toDF("v", "b").hint("merge"), "v")
-        return stored(pairs.select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u binary, v binary"), "similar")[0]
+        return stored(pairs.select("u", "v", "a", "b").mapInArrow(lean(_similar(similarity)), "u binary, v binary"), "similar")[0]
 
     linked, _ = stored(connected_components(checked(near)), "linked")
     more = _rest(prints, linked, similarity, sets_of)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framelake.llm.common import ready, stored
+from framelake.llm.common import lean, ready, stored
 
 MAGIC = b"FLSST001"
 FOOTER = struct.Struct("<8sIQQIQIQQI")
@@ -292,7 +292,7 @@ def write_shards(df: DataFrame, path: str, tokenizer: str, ident: str = "doc_id"
         if writer.hashes:
             yield pack([*out, *writer.finish()])
 
-    shards = rows.mapInArrow(run, "row binary")
+    shards = rows.mapInArrow(lean(run), "row binary")
     shards.select(F.col("row").cast("string").alias("value")).write.option("compression", "none").text(path)
 
 

@@ -173,3 +173,24 @@ def test_rest_tiles_return_links_not_pairs():
     schema = pa.schema([*kinds, ("k", pa.binary()), ("r", pa.int64()), ("s", pa.binary())])
     got = [(x["u"][0], x["v"][0]) for b in simhash._similar_sets(0.8)(iter([pa.RecordBatch.from_pylist(rows, schema)])) for x in b.to_pylist()]
     assert len(got) < n and {tuple(sorted(x)) for x in got} <= set(want) and groups(got) == groups(want)
+
+
+def test_least_shingles_with_frequent_ones_last():
+    """Whatever comes last in the order of all sets, sets of the similarity share one of their least shingles."""
+    r = np.random.default_rng(4)
+    for n in (1, 5, 30, 400):
+        common = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        a = np.unique(np.concatenate([common, r.integers(0, 2**64, n, dtype=np.uint64)]))
+        b = np.setxor1d(a, r.choice(a, len(a) // 12, replace=False))
+        b = np.unique(np.concatenate([b, r.integers(0, 2**64, len(a) // 12, dtype=np.uint64)]))
+        assert len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        for frequent in (common, np.sort(r.choice(common, (n + 1) // 2, replace=False)), a, np.zeros(0, np.uint64)):
+            x, y = (simhash.least_shingles(s, 0.8, frequent) for s in (a, b))
+            assert np.isin(x, y).any()
+
+
+def test_frequent_shingles(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "x b c d e f"), (3, None), (4, "lone words that nobody else has")], "t long, text string")
+    found = simhash.frequent_shingles(df, 5)
+    assert np.isin(simhash.shingle_set(b"b c d e f".split(), 5), found).all() and not np.isin(simhash.shingle_set(b"lone words that nobody else".split(), 5), found).any()
+    assert not len(simhash.frequent_shingles(df.limit(0), 5))
