@@ -42,6 +42,7 @@ def main(args: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("framelake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     from framelake.operators.metadata import topic_metadata
     from framelake.plans.convert import convert, messages_of
+    from framelake.sources import splits
     from framelake.sources.config import from_toml
     from framelake.sources.recordings import kind_of, read_messages, read_recordings
     from framelake.sources.sidecars import list_files
@@ -50,12 +51,14 @@ def main(args: list[str] | None = None) -> None:
         return show(list_files(spark, a.source).orderBy("path"), a.output)
     if kind_of(a.source) == "rrd":
         p.error("rrd recordings can't be read")
-    messages = read_recordings(spark, a.source)
+    whole = not splits.ranged(a.source)  # a store that only Spark's reader opens: files of up to 2 GB
     if a.what == "topics":
+        messages = read_recordings(spark, a.source) if whole else splits.read_splits(spark, a.source)
         return show(topic_metadata(messages, ["topic", "type"]).orderBy("topic"), a.output)
     with open(a.config) as f:
         config = from_toml(f.read())
-    rows, infos = messages_of(read_messages(spark, a.source))
+    topics = [m.topic for m in config.mappings] or None  # only chunks that have them are read
+    rows, infos = messages_of(read_messages(spark, a.source, topics) if whole else splits.read_splits(spark, a.source, topics, typed=True))
     report = convert(spark, rows, a.target, config, ["source"], task=a.task, infos=infos)
     show(spark.createDataFrame([tuple(report.values())], list(report)), a.output)
 

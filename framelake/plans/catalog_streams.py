@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.functions import clock
 from framelake.operators import dictionary
 from framelake.plans import incremental
 from framelake.plans.catalog import DAY, EV, query
 from framelake.shared import shared_path
-from framelake.sources import lake
+from framelake.sources import lake, splits
 from framelake.sources.tables import event_messages, table
 from framelake.streaming import arrivals, keyed, sessions
 
@@ -119,6 +120,52 @@ def streamed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.assigned(messages, found, ["source"]).select("seq", "episode")
 
 
+# --- recordings made by tasks
+
+
+def _recorded(spark: SparkSession, sf_dir: str, where: str, root: str) -> int:
+    """Events as recordings, a file a source or part of one; how many messages were written."""
+    own = event_messages(spark, sf_dir).where(where).withColumn("payload", F.to_json(F.struct(F.col("seq").alias("id"), F.col("data")[0].alias("v"))))
+    return splits.write_recordings(own, root).agg(F.sum("messages")).head()[0] or 0
+
+
+def _read_back(found: DataFrame) -> DataFrame:
+    parts = F.from_json("data", "id long, v double")
+    source = F.regexp_extract("source_file", r"(\d+)-\d+\.mcap$", 1).cast("long")
+    return found.select(source.alias("source"), "topic", "log_time_ns", parts["id"].alias("id"), F.round(parts["v"], 3).alias("v"))
+
+
+_EVENTS = f"WITH {EV} SELECT source, topic, ns AS log_time_ns, seq AS id, round(CAST(v AS DOUBLE), 3) AS v FROM ev"
+
+
+@query(_EVENTS)
+def recorded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as recordings that tasks write, cut at their chunks and read by byte ranges."""
+    root = shared_path(spark, "recordings")
+    _recorded(spark, sf_dir, "true", root)
+    return _read_back(splits.read_splits(spark, root, split_bytes=4096))
+
+
+@query(f"{_EVENTS} WHERE topic IN ('click', 'error') AND ns >= 1704844800000000000 AND ns < 1705708800000000000")
+def recorded_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics of ten days of the same recordings: only chunks that have some of them are read."""
+    root = shared_path(spark, "recordings")
+    _recorded(spark, sf_dir, "true", root)
+    return _read_back(splits.read_splits(spark, root, ["click", "error"], 1704844800 * clock.NS, 1705708800 * clock.NS))
+
+
+@query(_EVENTS)
+def streamed_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prefix of recordings that grows in three steps, streamed to a committed table from one checkpoint."""
+    root, notes, out = (shared_path(spark, kind) for kind in ("recordings", "notes", "messages"))
+    splits.register(spark)
+    for k in range(3):
+        _recorded(spark, sf_dir, f"source % 3 = {k}", root)
+        stream = spark.readStream.format("recordings").option("path", root).load()
+        lake.stream_into(stream, out, notes).trigger(availableNow=True).start().awaitTermination()
+    return _read_back(lake.load(spark, out))
+
+
 # --- what lasts over runs
 
 

@@ -14,6 +14,10 @@ from framelake.operators import metadata
 from framelake.sources.recordings import UnsupportedFormat
 
 
+#: Characters of lines that go to a store at once.
+BLOCK = 1 << 20
+
+
 class Files:
     """Small files through Hadoop's file systems."""
 
@@ -32,13 +36,21 @@ class Files:
             stream.close()
 
     def write_lines(self, name: str, lines: Iterable[str], end: bool = True) -> int:
-        """Lines one by one, so that none but the current block is in memory; how many there were. No lines, no file. end: a line feed after the last, too."""
-        stream, n = None, 0
+        """Lines in blocks of BLOCK characters, so that a call to the store is made for each block and no more is in memory.
+
+        Returns how many there were. No lines, no file. end: a line feed after the last, too.
+        """
+        stream, n, held, size = None, 0, [], 0
         try:
             for line in lines:
                 stream = stream or self.fs.create(self.path(name), True)
-                stream.write((line + "\n" if end else "\n" * bool(n) + line).encode())
-                n += 1
+                held.append(line + "\n" if end else "\n" * bool(n) + line)
+                n, size = n + 1, size + len(line)
+                if size >= BLOCK:
+                    stream.write("".join(held).encode())
+                    held, size = [], 0
+            if held:
+                stream.write("".join(held).encode())
         finally:
             if stream:
                 stream.close()
