@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from framelake.operators.episodes import numbered
 from framelake.operators.metadata import first_seen
+from framelake.shared import made_new
 
 SCHEMA = "task string, task_index long"
 #: Seconds that a mark may be there without its content.
@@ -51,7 +52,8 @@ class TaskDictionary:
     def versions(self) -> list[dict]:
         """Marks in order: {table, first, tasks}; a row a run that found new tasks."""
         fs, p = self._fs("_versions")
-        names = sorted(int(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        names = sorted(int(n) for n in names if n.isdigit())
         return [self._mark(n) for n in names]
 
     def tasks(self, version: int | None = None) -> DataFrame:
@@ -63,18 +65,7 @@ class TaskDictionary:
 
     def _publish(self, version: int, mark: dict) -> bool:
         """Whether this run's mark is the version's."""
-        fs, p = self._fs(f"_versions/{version:012d}")
-        try:
-            stream = fs.create(p, False)
-        except Exception as e:
-            if "xists" not in str(e):
-                raise
-            return False
-        try:
-            stream.write(json.dumps(mark).encode())
-        finally:
-            stream.close()
-        return True
+        return made_new(self.spark, f"{self.path}/_versions/{version:012d}", json.dumps(mark))
 
     def extend(self, rows: DataFrame, task: str, order: list[str]) -> int:
         """Give the rows' unknown tasks the next indices, in order of appearance; the number of new tasks. Null is no task."""

@@ -8,7 +8,8 @@ fails removes its files, and a write that fails all that its tasks wrote. What a
 cut off just then, is in nobody's way, and `vacuum` removes it.
 
 A stream's commit carries the sink's name and the batch's number. A batch that is run again after a restart finds its
-commit there, drops what it wrote, and changes nothing.
+commit there, drops what it wrote, and changes nothing. Files are written through pyarrow's file systems (local, HDFS, S3,
+GCS), and read by `load` through Spark's.
 
     data/<write>/<task>.parquet or data/<write>/chunk-NNN/episode_NNNNNN-<task>.parquet
     _commits/<time>-<name>.json, or <name of sink>-<batch>.json

@@ -16,6 +16,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.shared import made_new
 from framelake.sources import lake
 
 
@@ -37,15 +38,11 @@ class KeyedTable:
         marks = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
         fs = marks.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         fs.mkdirs(marks)
-        version = 1 + max((int(f.getPath().getName()) for f in fs.listStatus(marks)), default=0)
-        while True:
-            try:
-                fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(marks, f"{version:012d}"), False).close()
-                return version
-            except Exception as e:
-                if "Exists" not in str(e) and "exists" not in str(e):
-                    raise
-                version += 1
+        names = [f.getPath().getName() for f in fs.listStatus(marks)]
+        version = 1 + max((int(n) for n in names if n.isdigit()), default=0)
+        while not made_new(self.spark, f"{self.path}/_versions/{version:012d}", ""):
+            version += 1
+        return version
 
     def _append(self, rows: DataFrame, gone: bool) -> None:
         version = self._take()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framelake.operators import dictionary
 from framelake.operators.dictionary import TaskDictionary
 from framelake.plans import incremental
-from framelake.shared import shared_path
+from framelake.shared import made_new, shared_path
 from framelake.sources import lake
 
 
@@ -72,3 +72,12 @@ def test_files_are_converted_once(spark):
     rows = sorted((r["path"], r["n"]) for r in lake.load(spark, root).collect())
     assert rows == sorted([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 3), *[("a", n) for n in (1, 2, 3, 4)]])
     assert lake.load(spark, root, incremental.FILE, lake.INPUTS).count() == 4
+
+
+def test_one_of_many_makes_a_file(spark):
+    path = shared_path(spark, "marks")
+    for k in range(20):
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda n, k=k: n if made_new(spark, f"{path}/{k}", str(n)) else None, range(8)))
+        won = [n for n in won if n is not None]
+        assert len(won) == 1 and open(f"{path.removeprefix('file://')}/{k}").read() == str(won[0])
