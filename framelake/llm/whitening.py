@@ -3,8 +3,9 @@
 Vectors are laid on an integer grid, x = floor(scale * c) + offset, so that their sums per dimension are exact. A row is
 centred as (x - S div n) - (S mod n) / n: the integer part without rounding, however large the sums are. MLlib's RowMatrix
 adds up the Gramian of the centred rows in a tree over the executors and decomposes it; all d singular values are asked
-for, as MLlib takes a direct decomposition then, not an iteration that stops at a tolerance. A variance is a singular
-value's square over n. The total variance doesn't come from them, but from the rows' deviations, exact integers.
+for, as MLlib takes a direct decomposition then, not an iteration that stops at a tolerance (beyond DIRECT numbers a vector
+only the leading ones, by that iteration). A variance is a singular value's square over n. The total variance doesn't come
+from them, but from the rows' deviations, exact integers.
 
 Vectors of different widths have no covariance, so each width is whitened on its own.
 """
@@ -31,6 +32,8 @@ LARGEST = 2**52
 #: Singular values below this share of the largest are not told from rounding of a Gramian.
 LEAST_SHARE = 1e-6
 DIGITS = 10**38
+#: Widest vectors whose Gramian is decomposed directly; of wider ones MLlib iterates for the leading components.
+DIRECT = 4096
 
 
 @dataclass
@@ -116,7 +119,7 @@ def fit(df: DataFrame, ident: str = "vec_id", vector: str = "embedding", compone
     for d, (n, sums) in _sums(rows, scale, offset).items():
         own = Axes(n, sums, np.zeros((d, 0)), np.zeros(0))
         matrix = rows.where(F.col("d") == d).select(array_to_vector(_centred(own, scale, offset)).alias("v"))
-        svd = RowMatrix(MLUtils.convertVectorColumnsFromML(matrix, "v")).computeSVD(d, rCond=LEAST_SHARE)
+        svd = RowMatrix(MLUtils.convertVectorColumnsFromML(matrix, "v")).computeSVD(d if d <= DIRECT else components, rCond=LEAST_SHARE)
         s, v = svd.s.toArray(), svd.V.toArray()
         s = s[s > 0][:components]
         v = v[:, : len(s)]

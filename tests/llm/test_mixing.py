@@ -87,3 +87,26 @@ def test_draws_are_multinomial(spark):
     assert [sum(c.get(s, 0) for c in counts.values()) for s in range(3)] == [5000, 3000, 2000]
     each = slots.groupBy("sid", "pass", "block").count()
     assert each.where("count > 1").count() == 0
+
+
+def test_taken_by_a_plain_mix(spark):
+    """Every slot's block read word by word from its source's stream, laid out in Python; quotas by their definition."""
+    df, rows = docs(spark)
+    m = mixing.mix(df, block=16, shard_slots=50)
+    streams, sizes = defaultdict(list), defaultdict(int)
+    for r in mixing._hashed(df, 11).collect():
+        n = len(re.findall(mixing.WORD, r["text"] or ""))
+        streams[r["source"]].append((r["__h"] % 1024, r["__h"], r["__h2"], r["doc_id"], n))
+        sizes[r["source"]] += n
+    order = sorted(streams, key=lambda s: (s is None, s or ""))
+    owners = [[(k, row[3]) for k, row in enumerate(sorted(streams[s], key=lambda x: x[:3])) for _ in range(row[4])] for s in order]
+    took, used = defaultdict(int), defaultdict(int)
+    for s in m.slots.collect():
+        used[s["sid"]] += 1
+        for owner in owners[s["sid"]][16 * s["block"] : 16 * s["block"] + 16]:
+            took[(s["sid"], *owner)] += 1
+    for k, (s, target) in enumerate(zip(order, mixing.targets([sizes[s] for s in order]), strict=True)):
+        blocks = -(-sizes[s] // 16)
+        assert used[k] == (min(2 * blocks, round(target * blocks / sizes[s])) if sizes[s] else 0)
+    want = sorted(str((order[sid], doc, n)) for (sid, _, doc), n in took.items())
+    assert sorted(str((r["source"], r["doc_id"], r["__taken"])) for r in mixing.taken(m).where("__taken > 0").select("source", "doc_id", "__taken").collect()) == want
