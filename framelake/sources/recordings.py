@@ -33,6 +33,8 @@ EXTENSIONS = ("mcap", "bag", "rrd")
 FAULTS = "__faults"
 #: Bytes of chunks that one task reads.
 SPLIT_BYTES = 64 << 20
+#: What opening a file costs, as bytes: small files share a task.
+OPEN_BYTES = 256 << 10
 
 
 class UnsupportedFormat(ValueError):
@@ -144,11 +146,15 @@ def read_messages(spark: SparkSession, path: str | list[str], topics: list[str]
 
 
 class _Part(InputPartition):
-    """Chunks of a file by offset, or all of it."""
+    """A task's work: (path, size, chunks by number and offset) of each file; None for all of a file, whose summary the task reads."""
 
-    def __init__(self, path: str, chunks: list[tuple[int, int]] | None):
-        super().__init__(path)
-        self.path, self.chunks = path, chunks
+    def __init__(self, files: list[tuple[str, int, list[tuple[int, int]] | None]]):
+        super().__init__(files)
+        self.files = files
+
+    @property
+    def chunks(self) -> list[tuple[int, int]]:
+        return [c for _, _, chunks in self.files for c in chunks or ()]
 
 
 def _open(path: str):
@@ -158,7 +164,32 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
 
+def splits_of(file, size: int, extension: str, topics: set[str] | None, start_ns: int | None, end_ns: int | None, most: int) -> Iterator[tuple[list[tuple[int, int]] | None, int]]:
+    """(chunks as (number, offset), bytes) of each split of an open file; None for all of a file that can't be cut."""
+    summary = mcap_summary(file, size) if extension == "mcap" else None
+    if summary is None:
+        yield None, size
+        return
+    chunks, reader = summary
+    wanted = {k for k, c in reader.channels.items() if topics is None or c.topic in topics}
+    held, total = [], 0
+    for n, c in enumerate(chunks):
+        outside = (end_ns is not None and c.start_ns >= end_ns) or (start_ns is not None and c.end_ns < start_ns)
+        if outside or (c.channels and not wanted & set(c.channels)):
+            continue
+        if held and total + c.size > most:
+            yield held, total
+            held, total = [], 0
+        held.append((n, c.offset))
+        total += c.size
+    if held:
+        yield held, total
+
+
 class _Reader(DataSourceReader):
+    #: Files of more bytes are opened when a read is planned; tasks look at the others.
+    opened_above = -1
+
     def __init__(self, options: dict, extension: str):
         self.extension, self.path = extension, options["path"]
         topics = options.get("topics")
@@ -176,53 +207,52 @@ class _Reader(DataSourceReader):
         found = [info] if info.is_file else [f for f in store.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file and f.path.lower().endswith(f".{self.extension}")]
         return sorted((f.path, f.size) for f in found)
 
-    def partitions(self) -> list[_Part]:
-        store, out = _open(self.path)[0], []
-        for path, size in self._files():
-            summary = None
-            if self.extension == "mcap":
+    def _parts(self, files: list[tuple[str, int]]) -> list[_Part]:
+        """Files dealt to tasks, cut where one is more than a task's work; small ones share a task, many of them."""
+        store, out, held, total = _open(self.path)[0], [], [], 0
+        for path, size in files:
+            if size <= self.opened_above:
+                cut = [(None, size)]
+            else:
                 with store.open_input_file(path) as f:
-                    summary = mcap_summary(f, size)
-            if summary is None:
-                out.append(_Part(path, None))
-                continue
-            chunks, reader = summary
-            wanted = {k for k, c in reader.channels.items() if self.topics is None or c.topic in self.topics}
-            held, total = [], 0
-            for n, c in enumerate(chunks):
-                late = self.end is not None and c.start_ns >= self.end
-                early = self.start is not None and c.end_ns < self.start
-                if late or early or (c.channels and not wanted & set(c.channels)):
-                    continue
-                if held and total + c.size > SPLIT_BYTES:
-                    out.append(_Part(path, held))
+                    cut = list(splits_of(f, size, self.extension, self.topics, self.start, self.end, SPLIT_BYTES))
+            for chunks, n in cut:
+                n = max(n, OPEN_BYTES)
+                if held and total + n > SPLIT_BYTES:
+                    out.append(_Part(held))
                     held, total = [], 0
-                held.append((n, c.offset))
-                total += c.size
-            if held:
-                out.append(_Part(path, held))
-        return out or [_Part("", [])]
+                held.append((path, size, chunks))
+                total += n
+        return [*out, _Part(held)] if held or not out else out
+
+    def partitions(self) -> list[_Part]:
+        return self._parts(self._files())
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
-        kinds = ARROW[self.typed]
-        if not partition.path:
-            return
-        store, faults = _open(self.path)[0], None if self.strict else Faults()
-        info = store.get_file_info(partition.path)
-        with store.open_input_file(partition.path) as f:
-            yield from _batches(self._messages(f, info.size, partition, faults), kinds)
-
-    def _messages(self, f, size: int, partition: _Part, faults: Faults | None) -> Iterator[tuple]:
-        if partition.chunks is None:
-            args = (f, self.topics, self.start, self.end, faults)
-            found = Mcap(*args).messages() if self.extension == "mcap" else bag_messages(*args)
-            yield from _rows(partition.path, found, faults, self.typed)
-            return
+        store = _open(self.path)[0]
+
+        def rows() -> Iterator[tuple]:
+            for path, size, chunks in partition.files:
+                with store.open_input_file(path) as f:
+                    yield from self._messages(f, path, size, chunks, None if self.strict else Faults())
+
+        yield from _batches(rows(), ARROW[self.typed])
+
+    def _messages(self, f, path: str, size: int, chunks: list[tuple[int, int]] | None, faults: Faults | None) -> Iterator[tuple]:
+        if chunks is None:
+            own = [c for c, _ in splits_of(f, size, self.extension, self.topics, self.start, self.end, size)]
+            if own == [None]:
+                f.seek(0)
+                args = (f, self.topics, self.start, self.end, faults)
+                found = Mcap(*args).messages() if self.extension == "mcap" else bag_messages(*args)
+                yield from _rows(path, found, faults, self.typed)
+                return
+            chunks = [c for part in own for c in part]
         known = mcap_summary(f, size)[1].channels
         reader = Mcap(f, self.topics, self.start, self.end, faults)
         reader.channels = known
-        for n, offset in partition.chunks:  # messages of later chunks have higher numbers
-            yield from _rows(partition.path, reader.at(offset), faults, self.typed, n << 32)
+        for n, offset in chunks:  # messages of later chunks have higher numbers
+            yield from _rows(path, reader.at(offset), faults, self.typed, n << 32)
 
 
 class McapSource(DataSource):

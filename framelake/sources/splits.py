@@ -5,7 +5,8 @@ wanted time, which a task finds in a file's summary; and the messages of each sp
 long recording is many tasks' work, and what isn't wanted isn't read. A file without a summary, and a bag, is one split
 that is read record by record; memory follows the largest record, not the file.
 
-`recordings` is the same as a stream of a prefix that grows: offsets are the chunks taken of each file.
+`recordings` is the same as a stream of a prefix that grows: offsets are the files taken. Only a file of more than a task's
+work is opened on the driver; small ones share tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from framelake.sorted_groups import pieces
 from framelake.sources import recordings
 from framelake.sources.decoding import BadRecording, Faults, Mcap, bag_messages, mcap_summary
 from framelake.sources.generate import Out, mcap_bytes
+from framelake.sources.recordings import _open, splits_of
 
 #: File systems that byte ranges are read from; others go through Spark's own reader.
 RANGED = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
@@ -33,28 +35,6 @@ def ranged(path: str) -> bool:
     return (path.split(":", 1)[0] if "://" in path else "") in RANGED
 
 
-def splits_of(file, size: int, extension: str, topics: set[str] | None, start_ns: int | None, end_ns: int | None, most: int) -> Iterator[tuple[list[tuple[int, int]] | None, int]]:
-    """(chunks as (number, offset), bytes) of each split of an open file; None for all of a file that can't be cut."""
-    summary = mcap_summary(file, size) if extension == "mcap" else None
-    if summary is None:
-        yield None, size
-        return
-    chunks, reader = summary
-    wanted = {k for k, c in reader.channels.items() if topics is None or c.topic in topics}
-    held, total = [], 0
-    for n, c in enumerate(chunks):
-        outside = (end_ns is not None and c.start_ns >= end_ns) or (start_ns is not None and c.end_ns < start_ns)
-        if outside or (c.channels and not wanted & set(c.channels)):
-            continue
-        if held and total + c.size > most:
-            yield held, total
-            held, total = [], 0
-        held.append((n, c.offset))
-        total += c.size
-    if held:
-        yield held, total
-
-
 def messages_of_split(file, size: int, extension: str, chunks: list[tuple[int, int]] | None, topics, start_ns, end_ns, faults: Faults | None):
     """(number, message) of a split; numbers of later chunks are higher. What can't be read is a fault, or raises without faults."""
     args = (file, topics, start_ns, end_ns, faults)
@@ -86,7 +66,6 @@ def read_splits(
     wanted = set(topics) if topics else None
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size"))  # no content is read
     files = files.where(F.lower("path").rlike(r"\.(mcap|bag|rrd)$"))
-    open_ = recordings._open
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,7 +74,7 @@ def read_splits(
                 extension = name.rsplit(".", 1)[-1].lower()
                 if extension == "rrd":
                     raise recordings.UnsupportedFormat("rrd recordings can't be read")
-                store, at = open_(name if "://" in name else name.removeprefix("file:"))
+                store, at = _open(name if "://" in name else name.removeprefix("file:"))
                 with store.open_input_file(at) as f:
                     out += [(name, size, None if c is None else [{"n": n, "at": o} for n, o in c], b) for c, b in splits_of(f, size, extension, wanted, start_ns, end_ns, split_bytes)]
             if out:
@@ -106,7 +85,7 @@ def read_splits(
             for part in batch.to_pylist():
                 name, faults = part["path"], None if strict else Faults()
                 chunks = None if part["chunks"] is None else [(c["n"], c["at"]) for c in part["chunks"]]
-                store, at = open_(name if "://" in name else name.removeprefix("file:"))
+                store, at = _open(name if "://" in name else name.removeprefix("file:"))
                 with store.open_input_file(at) as f:
                     found = messages_of_split(f, part["size"], name.rsplit(".", 1)[-1].lower(), chunks, wanted, start_ns, end_ns, faults)
                     yield from recordings._batches(_rows(name, found, faults, typed), recordings.ARROW[typed])
@@ -129,35 +108,27 @@ def _rows(name: str, found, faults: Faults | None, typed: bool) -> Iterator[tupl
 
 
 class _Stream(recordings._Reader, DataSourceStreamReader):
-    """Offsets are {file: chunks taken}. A file is taken when it is first seen, so files have to appear whole, by a rename."""
+    """Offsets are {file below the path: its size}. A file is taken when it is first seen, so files have to appear whole, by a rename."""
+
+    opened_above = recordings.SPLIT_BYTES
 
     def initialOffset(self) -> dict:
         return {}
 
-    def _counted(self, path: str, size: int) -> int:
-        known = self.__dict__.setdefault("counts", {})
-        if path not in known:
-            with recordings._open(self.path)[0].open_input_file(path) as f:
-                summary = mcap_summary(f, size) if self.extension == "mcap" else None
-            known[path] = len(summary[0]) if summary else 1
-        return known[path]
+    def _below(self, path: str) -> str:
+        return path.removeprefix(f"{_open(self.path)[1].rstrip('/')}/")
 
     def latestOffset(self) -> dict:
-        return {path: self._counted(path, size) for path, size in self._files()}
+        return {self._below(path): size for path, size in self._files()}
 
     def partitions(self, start: dict, end: dict) -> list:
-        store, out = recordings._open(self.path)[0], []
-        for path, n in sorted(end.items()):
-            if n <= start.get(path, 0):
-                continue
-            size = store.get_file_info(path).size
-            with store.open_input_file(path) as f:
-                found = list(splits_of(f, size, self.extension, self.topics, self.start, self.end, recordings.SPLIT_BYTES))
-            out += [recordings._Part(path, chunks) for chunks, _ in found]
-        return out or [recordings._Part("", [])]
+        root = _open(self.path)[1].rstrip("/")
+        taken = {self._below(path) for path in start}  # earlier checkpoints name files from the root of their store
+        new = [(self._below(path), size) for path, size in end.items()]
+        return self._parts([(path if path == root else f"{root}/{path}", size) for path, size in sorted(new) if path not in taken])
 
     def commit(self, end: dict) -> None:
-        self.__dict__["counts"] = {p: n for p, n in self.__dict__.get("counts", {}).items() if p in end}
+        pass
 
 
 class RecordingStream(DataSource):
@@ -188,7 +159,7 @@ def write_recordings(messages: DataFrame, root: str, most: int = 20_000) -> Data
     ship(messages.sparkSession)
 
     def put(source, k: int, held: list[Out]) -> tuple[str, int]:
-        store, folder = recordings._open(root.rstrip("/"))
+        store, folder = _open(root.rstrip("/"))
         path = f"{folder}/{source}-{k:05d}.mcap"
         store.create_dir(folder, recursive=True)
         with store.open_output_stream(f"{path}.part") as out:

@@ -72,3 +72,20 @@ def test_a_prefix_that_grows(spark, tmp_path):
     (tmp_path / "b.mcap").write_bytes(mcap_bytes(sample(3000), "zstd", 50))
     (tmp_path / "c.mcap").write_bytes(mcap_bytes([], "zstd", 50))
     assert run() == 15 and run() == 15
+
+
+def test_small_files_share_tasks(tmp_path):
+    """A task for many small recordings, none of them opened when the stream is planned; offsets of earlier checkpoints hold."""
+    for k in range(600):
+        (tmp_path / f"{k:03d}.mcap").write_bytes(mcap_bytes(sample(2), "zstd", 50, summary=k > 0))
+    for cls in (splits._Stream, recordings._Reader):
+        reader = cls({"path": f"file://{tmp_path}"}, "mcap")
+        parts = reader.partitions({}, reader.latestOffset()) if cls is splits._Stream else reader.partitions()
+        assert 1 < len(parts) <= 4 and sorted(p for part in parts for p, _, _ in part.files) == sorted(str(p) for p in tmp_path.iterdir())
+        assert sum(b.num_rows for part in parts for b in reader.read(part)) == 1200
+    stream = splits._Stream({"path": f"file://{tmp_path}"}, "mcap")
+    assert all(chunks is None for part in stream.partitions({}, stream.latestOffset()) for _, _, chunks in part.files)
+    taken = {f"{tmp_path}/{k:03d}.mcap": 1 for k in range(599)}
+    assert [p for part in stream.partitions(taken, stream.latestOffset()) for p, _, _ in part.files] == [f"{tmp_path}/599.mcap"]
+    (one,) = splits._Stream({"path": f"{tmp_path}/599.mcap"}, "mcap").partitions({}, splits._Stream({"path": f"{tmp_path}/599.mcap"}, "mcap").latestOffset())
+    assert [p for p, _, _ in one.files] == [f"{tmp_path}/599.mcap"]
