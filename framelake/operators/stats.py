@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelake.shipping import ship
-from framelake.sorted_groups import pieces
+from framelake.sorted_groups import begins
 
 
 #: What a group's moments consist of on their way: rows, first row's place in order and width, and an entry a dimension.
@@ -29,31 +29,32 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return numbers, there
 
 
-def _moments(x: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(min, max, mean, sum of squared deviations) of each column; what isn't there counts as 0 in the last two."""
-    with np.errstate(invalid="ignore", over="ignore"):
-        low = np.fmin.reduce(np.where(there, x, np.inf), axis=0)
-        nan = there & np.isnan(x)
-        low = np.where(nan.sum(axis=0) == np.maximum(1, there.sum(axis=0)), np.nan, low)
-        high = np.max(np.where(there, x, -np.inf), axis=0)
-        mean = x.mean(axis=0)
-        return low, high, mean, ((x - mean) ** 2).sum(axis=0)
-
-
-def _merge(a: dict, b: dict) -> dict:
-    """Chan's update of two groups' moments; a narrower one counts as zeros beyond its width."""
-    width = max(len(a["mean"]), len(b["mean"]))
-    wide = lambda v, fill: np.concatenate([v, np.full(width - len(v), fill)])
-    n, (ma, mb), (sa, sb) = a["n"] + b["n"], (wide(x["mean"], 0.0) for x in (a, b)), (wide(x["m2"], 0.0) for x in (a, b))
+def _least(low: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Least of each run, infinite where there is none; a NaN is larger than any number, as Spark holds."""
+    least = np.fmin.reduceat(low, starts, axis=0)
+    return np.where(np.isinf(least) & (least > 0) & np.logical_or.reduceat(np.isnan(low), starts, axis=0), np.nan, least)
+
+
+def _moments(x: np.ndarray, there: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(min, max, mean, sum of squared deviations) of each run of rows; what isn't there counts as 0 in the last two."""
+    n = np.diff(np.r_[starts, len(x)])
     with np.errstate(invalid="ignore", over="ignore"):
-        gap = mb - ma
-        mean, m2 = ma + gap * (b["n"] / n), sa + sb + gap * gap * (a["n"] * b["n"] / n)
-        la, lb, ha, hb = wide(a["low"], np.inf), wide(b["low"], np.inf), wide(a["high"], -np.inf), wide(b["high"], -np.inf)
-        # a NaN is larger than any number, as Spark holds
-        low = np.where(np.isnan(la) & (lb == np.inf) | np.isnan(lb) & (la == np.inf), np.nan, np.fmin(la, lb))
-        high = np.maximum(ha, hb)
-    first = min(a, b, key=lambda x: (x["o"] is not None, x["o"] if x["o"] is not None else 0, x["w"]))
-    return {"n": n, "o": first["o"], "w": first["w"], "low": low, "high": high, "mean": mean, "m2": m2}
+        low = np.fmin.reduceat(np.where(there, x, np.inf), starts, axis=0)
+        nan = np.add.reduceat((there & np.isnan(x)).astype(np.int64), starts, axis=0)
+        low = np.where(nan == np.maximum(1, np.add.reduceat(there.astype(np.int64), starts, axis=0)), np.nan, low)
+        high = np.maximum.reduceat(np.where(there, x, -np.inf), starts, axis=0)
+        mean = np.add.reduceat(x, starts, axis=0) / n[:, None]
+        return low, high, mean, np.add.reduceat((x - np.repeat(mean, n, axis=0)) ** 2, starts, axis=0)
+
+
+def _firsts(group: np.ndarray, o: pa.Array, w: np.ndarray) -> np.ndarray:
+    """The row of each group that comes first by order, nulls first, and then by width; groups are numbered from 0."""
+    order = np.lexsort((w, pc.fill_null(o, 0).to_numpy(zero_copy_only=False), pc.is_valid(o).to_numpy(zero_copy_only=False), group))
+    return order[np.flatnonzero(np.diff(group[order], prepend=-1))]
+
+
+def _lists(numbers: np.ndarray, widths: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(widths)], pa.int32()), pa.array(numbers))
 
 
 def _partials(by: list[str], features: int):
@@ -70,48 +71,80 @@ def _partials(by: list[str], features: int):
                 if not len(rows):
                     continue
                 rows = rows[np.argsort(code[rows], kind="stable")]
-                x, there = _matrix(batch.column(f"v{f}").take(pa.array(rows)))
-                o, w = batch.column("o").take(pa.array(rows)), pc.list_value_length(batch.column(f"v{f}").take(pa.array(rows))).to_numpy()
-                starts = np.flatnonzero(np.r_[True, np.diff(code[rows]) != 0])
-                out = []
-                for s, e in zip(starts, [*starts[1:], len(rows)], strict=True):
-                    own, width = o.slice(s, e - s).to_pylist(), int(w[s:e].max())
-                    first = min(range(s, e), key=lambda k: (own[k - s] is not None, own[k - s] or 0, w[k]))
-                    out.append((f, int(e - s), own[first - s], int(w[first]), *(v[:width] for v in _moments(x[s:e], there[s:e]))))
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.list_(pa.float64())] * 4]
-                columns = [batch.column(k).take(pa.array(rows[starts])) for k in by] + [pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                vectors, o = batch.column(f"v{f}").take(pa.array(rows)), batch.column("o").take(pa.array(rows))
+                x, there = _matrix(vectors)
+                w = pc.list_value_length(vectors).to_numpy().astype(np.int64)
+                new = np.diff(code[rows], prepend=-1) != 0
+                starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+                first, widths = _firsts(group, o, w), np.maximum.reduceat(w, starts)
+                held = np.arange(x.shape[1]) < widths[:, None]
+                columns = [batch.column(k).take(pa.array(rows[starts])) for k in by]
+                columns += [pa.array(np.full(len(starts), f, np.int32)), pa.array(np.diff(np.r_[starts, len(rows)])), o.take(pa.array(first)), pa.array(w[first], pa.int32())]
+                columns += [_lists(v[held], widths) for v in _moments(x, there, starts)]
                 yield pa.RecordBatch.from_arrays(columns, [*by, "feature", "n", "o", "w", "low", "high", "mean", "m2"])
 
     return run
 
 
+def _merged(batch: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
+    """Partial rows, sorted by group, as one for each group; a narrower one counts as zeros beyond its width.
+
+    Deviations are taken from the means of partial rows, not from sums of squares.
+    """
+    new = begins(batch, keys)
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    if len(starts) == batch.num_rows:
+        return batch
+    n, widths = batch.column("n").to_numpy(), pc.list_value_length(batch.column("mean")).to_numpy().astype(np.int64)
+    first, total, wide = _firsts(group, batch.column("o"), batch.column("w").to_numpy()), np.add.reduceat(n, starts), np.maximum.reduceat(widths, starts)
+    row = np.repeat(np.arange(batch.num_rows), widths)
+    dim = np.arange(len(row)) - np.repeat(np.cumsum(widths) - widths, widths)
+    order = np.lexsort((dim, group[row]))
+    row, dim = row[order], dim[order]
+    low, high, mean, m2 = (batch.column(c).flatten().to_numpy(zero_copy_only=False)[order] for c in ("low", "high", "mean", "m2"))
+    cells = np.flatnonzero((np.diff(dim, prepend=-1) != 0) | (np.diff(group[row], prepend=-1) != 0))
+    if len(cells):
+        here, all_ = n[row], total[group[row[cells]]]
+        with np.errstate(invalid="ignore", over="ignore"):
+            whole = np.add.reduceat(here * mean, cells) / all_
+            gap = mean - np.repeat(whole, np.diff(np.r_[cells, len(row)]))
+            m2 = np.add.reduceat(m2 + here * gap * gap, cells)
+            short = all_ - np.add.reduceat(here, cells)
+            m2 = np.where(short > 0, m2 + short * whole * whole, m2)
+            low, high, mean = _least(low, cells), np.maximum.reduceat(high, cells), whole
+    columns = [batch.column(k).take(pa.array(starts)) for k in keys] + [pa.array(total), *[batch.column(c).take(pa.array(first)) for c in ("o", "w")]]
+    return pa.RecordBatch.from_arrays(columns + [_lists(v, wide) for v in (low, high, mean, m2)], batch.schema.names)
+
+
 def _finished(by: list[str], names: list[str]):
     """Partial rows sorted by group and feature -> a row a dimension, up to the first row's width."""
 
-    def rows(key: tuple, own: dict) -> pa.RecordBatch | None:
-        width = min(own["w"], len(own["mean"]))
-        if not width:
-            return None
-        kept = {c: own[c][:width] for c in ("low", "high", "mean", "m2")}
-        numbers = lambda v: pa.array(np.where(np.isinf(v) & np.isin(v, (np.inf, -np.inf)) & own["empty"][:width], np.nan, v), mask=own["empty"][:width])
-        std = np.sqrt(np.maximum(0.0, kept["m2"] / own["n"]))
-        columns = [pa.array([k] * width, t) for k, t in zip(key[:-1], own["types"], strict=True)]
-        columns += [pa.array(np.arange(width, dtype=np.int32)), pa.array(np.full(width, own["n"])), numbers(kept["low"]), numbers(kept["high"]), pa.array(kept["mean"]), pa.array(std), pa.array([names[key[-1]]] * width)]
+    def rows(own: pa.RecordBatch) -> pa.RecordBatch:
+        w, widths = own.column("w").to_numpy().astype(np.int64), pc.list_value_length(own.column("mean")).to_numpy().astype(np.int64)
+        group = np.repeat(np.arange(own.num_rows), widths)
+        dim = np.arange(len(group)) - np.repeat(np.cumsum(widths) - widths, widths)
+        kept = dim < w[group]
+        group, dim = group[kept], dim[kept]
+        low, high, mean, m2 = (own.column(c).flatten().to_numpy(zero_copy_only=False)[kept] for c in ("low", "high", "mean", "m2"))
+        n, empty = own.column("n").to_numpy()[group], (low == np.inf) & (high == -np.inf)
+        columns = [own.column(k).take(pa.array(group)) for k in by]
+        columns += [pa.array(dim.astype(np.int32)), pa.array(n), pa.array(low, mask=empty), pa.array(high, mask=empty), pa.array(mean), pa.array(np.sqrt(np.maximum(0.0, m2 / n)))]
+        columns.append(pa.array(names).take(own.column("feature").take(pa.array(group))))
         return pa.RecordBatch.from_arrays(columns, [*by, "dim", "n_rows", "min", "max", "mean", "std", "feature"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, None
-        for key, new, piece in pieces(batches, [*by, "feature"]):
-            if new and held is not None and (done := rows(now, held)) is not None:
-                yield done
-            held, now = None if new else held, key
-            types = [piece.column(k).type for k in by]
-            for r in piece.select(["n", "o", "w", "low", "high", "mean", "m2"]).to_pylist():
-                own = {c: np.array(v, float) if isinstance(v, list) else v for c, v in r.items()}
-                held = own if held is None else _merge(held, own)
-            held["types"], held["empty"] = types, (held["low"] == np.inf) & (held["high"] == -np.inf)
-        if held is not None and (done := rows(now, held)) is not None:
-            yield done
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch.cast(held.schema)]).combine_chunks().to_batches()[0]
+            own = _merged(batch, [*by, "feature"])
+            held = own.slice(own.num_rows - 1)  # its group may go on
+            if own.num_rows > 1:
+                yield rows(own.slice(0, own.num_rows - 1))
+        if held is not None:
+            yield rows(held)
 
     return run
 

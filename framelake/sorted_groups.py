@@ -10,20 +10,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 
+def begins(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Where groups of a sorted batch begin, for all its rows; nulls are a key."""
+    changed = np.zeros(batch.num_rows, bool)
+    changed[:1] = True
+    for k in keys:
+        c = batch.column(k)
+        a, b = c.slice(1), c.slice(0, max(0, len(c) - 1))
+        same = pc.or_kleene(pc.equal(a, b), pc.and_(pc.is_null(a), pc.is_null(b)))
+        changed[1:] |= ~pc.fill_null(pc.and_(same, pc.equal(pc.is_null(a), pc.is_null(b))), False).to_numpy(zero_copy_only=False)
+    return changed
+
+
 def pieces(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
     """(key, whether a new group begins, rows) of a stream sorted by keys: rows of one group each, as they come; nulls are a key."""
     now = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        changed = np.zeros(batch.num_rows, bool)
-        changed[0] = True
-        for k in keys:
-            c = batch.column(k)
-            a, b = c.slice(1), c.slice(0, len(c) - 1)
-            same = pc.or_kleene(pc.equal(a, b), pc.and_(pc.is_null(a), pc.is_null(b)))
-            changed[1:] |= ~pc.fill_null(pc.and_(same, pc.equal(pc.is_null(a), pc.is_null(b))), False).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(changed)
+        starts = np.flatnonzero(begins(batch, keys))
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
             rows = batch.slice(s, e - s)
             key = tuple(rows.column(k)[0].as_py() for k in keys)
