@@ -99,38 +99,47 @@ def frame_is_valid(layout: Column, width: Column, height: Column, size: Column)
     return F.coalesce(raw_bytes(layout, width, height) == size, F.lit(False))
 
 
-def _planes(data: bytes, width: int, height: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Full-range BT.601 in 8-bit fixed point; chroma is the mean of each 2 x 2 square."""
-    rgb = np.frombuffer(data, np.uint8).reshape(height, width, 3).astype(np.int32)
-    r, g, b = rgb[..., 0], rgb[..., 1], rgb[..., 2]
+def _planes(rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Full-range BT.601 in 8-bit fixed point of pictures of one size; chroma is the mean of each 2 x 2 square."""
+    n, height, width, _ = rgb.shape
+    r, g, b = (rgb[..., k].astype(np.int32) for k in range(3))
     y = (77 * r + 150 * g + 29 * b) >> 8
     u, v = ((-43 * r - 85 * g + 128 * b) >> 8) + 128, ((128 * r - 107 * g - 21 * b) >> 8) + 128
-    square = lambda p: p.reshape(height // 2, 2, width // 2, 2).sum(axis=(1, 3)) // 4
-    return tuple(np.clip(p, 0, 255).astype(np.uint8) for p in (y, square(u), square(v)))
+    square = lambda p: p.reshape(n, height // 2, 2, width // 2, 2).sum(axis=(2, 4)) // 4
+    return tuple(np.clip(p, 0, 255).astype(np.uint8).reshape(n, -1) for p in (y, square(u), square(v)))
 
 
-def _ready(data: bytes | None, width, height) -> bool:
-    return data is not None and width > 0 and height > 0 and width % 2 == 0 and height % 2 == 0 and len(data) == width * height * 3
+#: Bytes of pictures that are converted at once.
+AT_ONCE = 4 << 20
+
+
+def _converted(data: pd.Series, width: pd.Series, height: pd.Series, layout) -> pd.Series:
+    """layout(y, u, v) of the pictures, those of one size together; null for odd sizes or a wrong number of bytes."""
+    w, h = (x.fillna(0).to_numpy().astype(np.int64) for x in (width, height))
+    size = np.fromiter((-1 if d is None else len(d) for d in data), np.int64, len(data))
+    ready = (w > 0) & (h > 0) & (w % 2 == 0) & (h % 2 == 0) & (size == w * h * 3)
+    data, out = data.to_numpy(), np.full(len(data), None, object)
+    for own_w, own_h in {*zip(w[ready].tolist(), h[ready].tolist(), strict=True)}:
+        rows = np.flatnonzero(ready & (w == own_w) & (h == own_h))
+        step = max(1, AT_ONCE // (own_w * own_h * 3))
+        for at in range(0, len(rows), step):
+            own = rows[at : at + step]
+            planes = layout(*_planes(np.frombuffer(b"".join(data[own]), np.uint8).reshape(len(own), own_h, own_w, 3)))
+            n, whole = planes.shape[1], planes.tobytes()
+            out[own] = [whole[k : k + n] for k in range(0, len(whole), n)]
+    return pd.Series(out, dtype=object)
 
 
 @F.pandas_udf(T.BinaryType())
 def rgb_to_yuv420p(data: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """Planes Y, U, V one after another; null for odd sizes or a wrong number of bytes."""
-    rows = zip(data, width.fillna(0).astype(int), height.fillna(0).astype(int), strict=True)
-    return pd.Series([b"".join(p.tobytes() for p in _planes(d, w, h)) if _ready(d, w, h) else None for d, w, h in rows])
+    return _converted(data, width, height, lambda y, u, v: np.concatenate([y, u, v], axis=1))
 
 
 @F.pandas_udf(T.BinaryType())
 def rgb_to_nv12(data: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """Plane Y, then U and V interleaved."""
-    out = []
-    for d, w, h in zip(data, width.fillna(0).astype(int), height.fillna(0).astype(int), strict=True):
-        if not _ready(d, w, h):
-            out.append(None)
-            continue
-        y, u, v = _planes(d, w, h)
-        out.append(y.tobytes() + np.stack([u, v], axis=-1).tobytes())
-    return pd.Series(out)
+    return _converted(data, width, height, lambda y, u, v: np.concatenate([y, np.stack([u, v], axis=-1).reshape(len(u), -1)], axis=1))
 
 
 #: Channels and bits of a channel by colour type; floats are from 0 to 1.

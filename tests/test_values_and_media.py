@@ -97,3 +97,30 @@ def test_paths_and_urls(spark):
             names.parse_url(bad)
     assert [one(spark, names.type_style(F.col("t")), t=(t, "string")) for t in ("a/msg/B", "a/B", "a.b.C", "x y")] == ["ros2", "ros1", "proto", None]
     assert one(spark, names.batch_id_ok(F.col("b")), b=("ns:" + "a" * 1030, "string")) is False
+
+
+def test_pictures_of_one_size_are_converted_together(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from framelake.functions import media
+
+    r, calls = np.random.default_rng(3), []
+    sizes = [[(2, 2), (4, 2), (2, 6), (3, 2), (0, 0)][int(k)] for k in r.integers(0, 5, 300)]
+    data = [None if k % 17 == 0 else r.bytes(w * h * 3 - (k % 13 == 0 and w > 0)) for k, (w, h) in enumerate(sizes)]
+    args = pd.Series(data), pd.Series([w if k % 19 else None for k, (w, _) in enumerate(sizes)]), pd.Series([h for _, h in sizes])
+    own = media._planes
+    monkeypatch.setattr(media, "_planes", lambda rgb: calls.append(1) or own(rgb))
+    planar, mixed = media.rgb_to_yuv420p.func(*args), media.rgb_to_nv12.func(*args)
+    assert len(calls) == 6  # once a size and layout, not once a picture
+    for k, (w, h) in enumerate(sizes):
+        if data[k] is None or k % 19 == 0 or w % 2 or not w or len(data[k]) != w * h * 3:
+            assert planar[k] is None and mixed[k] is None
+            continue
+        x = np.frombuffer(data[k], np.uint8).reshape(h, w, 3).astype(int)
+        y = (x @ [77, 150, 29]) >> 8
+        u, v = ((((x @ c) >> 8) + 128).reshape(h // 2, 2, w // 2, 2).sum(axis=(1, 3)) // 4 for c in ([-43, -85, 128], [128, -107, -21]))
+        u, v = (np.clip(p, 0, 255).astype(np.uint8) for p in (u, v))
+        assert planar[k] == y.astype(np.uint8).tobytes() + u.tobytes() + v.tobytes()
+        assert mixed[k] == y.astype(np.uint8).tobytes() + np.stack([u, v], axis=-1).tobytes()
+    assert len(media.rgb_to_nv12.func(*(s[:0] for s in args))) == 0
