@@ -1,8 +1,8 @@
 """The frame aligner on keyed state: a source's open buckets in maps, closed by its own clock, late rows kept.
 
-State of a source: the latest time seen, the last message of each (bucket, feature), and for each bucket its number of
-messages and whether its frame has left. A micro-batch's rows are reduced to the last one of each cell before they meet
-the state, so state and its traffic grow with cells, not with messages. At the end of a batch
+State of a source: the latest time seen, and for each open bucket the last message of each feature, its number of messages
+and whether its frame has left. A source's open buckets are read once a batch, and only those that changed and stay open are
+written, each once: traffic with the store grows with open buckets, not with messages or cells. At the end of a batch
 
 * a frame leaves when all required features are there (with none required, at its first message): complete;
 * a bucket is closed when the source's latest time has passed its window: its frame leaves if it hasn't yet.
@@ -12,7 +12,7 @@ dropped: they come out as rows of their own kind, so that frames and late rows t
 depends on how messages fall into batches, not on their order inside one.
 
 A message without a feature ends its source: what is open leaves. A source that has been silent for `idle_ms` is ended
-likewise by a timer; with `ttl_ms`, Spark forgets cells and buckets that haven't been written for that long.
+likewise by a timer; with `ttl_ms`, Spark forgets buckets that haven't been written for that long.
 """
 
 from __future__ import annotations
@@ -42,81 +42,67 @@ class Aligner(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.clock = handle.getValueState("clock", "latest long")
-        self.cells = handle.getMapState("cells", "bucket long, feature string", "seq long, data array<float>", self.ttl)
-        self.buckets = handle.getMapState("buckets", "bucket long", "n long, features array<string>, gone boolean", self.ttl)
+        self.buckets = handle.getMapState("buckets", "bucket long", "n long, gone boolean, features array<string>, seqs array<long>, data array<array<float>>", self.ttl)
 
     def _latest(self) -> int | None:
-        return self.clock.get()[0] if self.clock.exists() else None
-
-    def _frame(self, source: int, bucket: int, features: list[str], n: int, complete: bool) -> tuple:
-        names = sorted(features)
-        data = [list(self.cells.getValue((bucket, f))[1]) for f in names]
-        return source, FRAME, bucket, names, data, n, complete, None, None
-
-    def _forget(self, bucket: int, features: list[str]) -> None:
-        for f in features:
-            self.cells.removeKey((bucket, f))
-        self.buckets.removeKey((bucket,))
-
-    def _fold(self, rows: pd.DataFrame) -> None:
-        """On-time rows of a batch into the state."""
-        counts = rows.groupby("bucket_ns").size()
-        last = rows.sort_values("seq", kind="stable").drop_duplicates(["bucket_ns", "feature"], keep="last")
-        for bucket, own in last.groupby("bucket_ns"):
-            bucket = int(bucket)
-            n, features, _ = self.buckets.getValue((bucket,)) if self.buckets.containsKey((bucket,)) else (0, [], False)
-            features = list(features)
-            for feature, seq, data in zip(own["feature"], own["seq"], own["data"], strict=True):
-                if feature not in features:
-                    features.append(feature)
-                elif self.cells.getValue((bucket, feature))[0] > seq:
-                    continue
-                self.cells.updateValue((bucket, feature), (int(seq), [float(x) for x in data]))
-            self.buckets.updateValue((bucket,), (int(n + counts[bucket]), features, False))
+        found = self.clock.get()
+        return found[0] if found else None
+
+    def _open(self) -> dict[int, list]:
+        """Bucket -> [number of messages, whether its frame has left, {feature: (seq, data)}], in one exchange with the store."""
+        return {b: [n, gone, dict(zip(features, zip(seqs, data, strict=True), strict=True))] for (b,), (n, gone, features, seqs, data) in self.buckets.iterator()}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        source, before, out, latest, ended = int(key[0]), self._latest(), [], self._latest(), False
-        gone: dict[int, bool] = {}
+        source, before, held, ended = int(key[0]), self._latest(), self._open(), False
+        out, latest, known, changed = [], before, set(held), set()
+        closed = {b for b, own in held.items() if own[1]}
         for batch in rows:
-            ended |= bool(batch["feature"].isna().any())
-            batch = batch[batch["feature"].notna()]
-            if not len(batch):
-                continue
-            for b in batch["bucket_ns"].unique().tolist():
-                if b not in gone:
-                    closed = before is not None and b + self.window <= before
-                    gone[b] = closed or (self.buckets.containsKey((b,)) and bool(self.buckets.getValue((b,))[2]))
-            is_late = batch["bucket_ns"].map(gone)
-            for r in batch[is_late].itertuples(index=False):
-                out.append((source, LATE, int(r.bucket_ns), [r.feature], [[float(x) for x in r.data]], 1, False, int(r.seq), int(r.log_time_ns)))
-            if not is_late.all():
-                self._fold(batch[~is_late])
-            latest = max(int(batch["log_time_ns"].max()), latest if latest is not None else int(batch["log_time_ns"].min()))
-        if latest is not None:
+            columns = [batch[c].tolist() for c in ("bucket_ns", "feature", "seq", "log_time_ns", "data")]
+            for b, feature, seq, ns, data in zip(*columns, strict=True):
+                if feature is None or feature != feature:
+                    ended = True
+                    continue
+                latest = ns if latest is None else max(latest, ns)
+                data = [float(x) for x in data]
+                if b in closed or (before is not None and b + self.window <= before):
+                    out.append((source, LATE, b, [feature], [data], 1, False, seq, ns))
+                    continue
+                own = held.setdefault(b, [0, False, {}])
+                own[0] += 1
+                changed.add(b)
+                if feature not in own[2] or own[2][feature][0] <= seq:
+                    own[2][feature] = (seq, data)
+        if latest is not None and latest != before:
             self.clock.update((latest,))
-        yield from self._due(source, latest, ended, out)
+        yield from self._due(source, latest, ended, out, held, known, changed)
         if self.idle is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             if not ended:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
 
-    def _due(self, source: int, latest: int | None, ended: bool, out: list[tuple]) -> Iterator[pd.DataFrame]:
-        """Frames that are complete or closed, oldest first, with the rows in out."""
-        for (bucket,), (n, features, gone) in sorted(self.buckets.iterator(), key=lambda b: b[0][0]):
-            features, complete = list(features), self.required <= set(features)
+    def _due(self, source: int, latest: int | None, ended: bool, out: list[tuple], held: dict[int, list], known: set[int], changed: set[int]) -> Iterator[pd.DataFrame]:
+        """Frames that are complete or closed, oldest first, with the rows in out; then what has changed of open buckets is kept."""
+        for bucket, own in sorted(held.items()):
+            n, gone, cells = own
+            complete = self.required <= set(cells)
             closed = ended or (latest is not None and bucket + self.window <= latest)
             if not gone and (complete or closed):
-                out.append(self._frame(source, bucket, features, n, complete))
-                gone = True
-                self.buckets.updateValue((bucket,), (n, features, True))
+                names = sorted(cells)
+                out.append((source, FRAME, bucket, names, [list(cells[f][1]) for f in names], n, complete, None, None))
+                own[1] = True
+                changed.add(bucket)
             if closed:
-                self._forget(bucket, features)
+                if bucket in known:
+                    self.buckets.removeKey((bucket,))
+            elif bucket in changed:
+                self.buckets.updateValue((bucket,), (n, own[1], list(cells), [q for q, _ in cells.values()], [d for _, d in cells.values()]))
         if out:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({"seq": "Int64", "log_time_ns": "Int64"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._due(int(key[0]), self._latest(), True, [])
+        held = self._open()
+        yield from self._due(int(key[0]), self._latest(), True, [], held, set(held), set())
 
     def close(self) -> None:
         pass

@@ -64,3 +64,47 @@ def test_ends(spark):
     df = spark.createDataFrame([(1, "a", 1, 5, [1.0]), (1, "b", 2, 6, [1.0]), (4, "a", 3, 7, [])], SCHEMA)
     assert sorted(tuple(r) for r in keyed.ends(df).collect()) == [(1, None, -1, 0, None), (4, None, -1, 0, None)]
     assert keyed.ends(df.where(F.lit(False))).count() == 0
+
+
+def test_a_batch_exchanges_open_buckets_with_the_store():
+    """Calls to the store follow the buckets that stay open, not messages or cells."""
+    import pandas as pd
+
+    calls = []
+
+    class State(dict):
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name in ("get", "exists"):
+                    return self.v if "v" in self.__dict__ else None
+                if name == "iterator":
+                    return iter(list(self.items()))
+                if name == "update":
+                    self.__dict__["v"] = args[0]
+                elif name == "updateValue":
+                    self[args[0]] = args[1]
+                elif name == "removeKey":
+                    del self[args[0]]
+                else:
+                    raise AssertionError(name)
+
+            return call
+
+        get = property(lambda self: self.__getattr__("get"))
+        update = property(lambda self: self.__getattr__("update"))
+
+    class Handle:
+        def getValueState(self, *a):
+            return State()
+
+        def getMapState(self, *a):
+            return State()
+
+    own = keyed.Aligner(["no such"], 3 * STEP, None, None)
+    own.init(Handle())
+    rows = pd.DataFrame([(k // STEP * STEP, "abc"[k % 3], k, k, [float(k)]) for k in range(1000)], columns=["bucket_ns", "feature", "seq", "log_time_ns", "data"])
+    frames = [f for at in (0, 500) for out in own.handleInputRows((7,), iter([rows[at : at + 500]]), None) for f in out.itertuples()]
+    assert len(frames) == 97 and sum(f.n_messages for f in frames) == 970
+    assert len(calls) <= 2 * (3 + 2 * 3)
+    assert len([f for out in own.handleInputRows((7,), iter([pd.DataFrame([(0, None, -1, 0, None)], columns=rows.columns)]), None) for f in out.itertuples()]) == 3
