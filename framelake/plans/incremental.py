@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.shared import fixed
 from framelake.sources import lake
 
 #: What tells a file: a file that grew or was written anew is another one.
@@ -32,7 +33,7 @@ def run(files: DataFrame, root: str, convert: Callable[[DataFrame], DataFrame])
     convert takes the table of files and returns rows. A run that fails has converted nothing, and one that is run again
     finds nothing to do. Runs of one table follow each other.
     """
-    todo = pending(files, root)
+    todo = fixed(pending(files, root))  # asked for three times: counted, converted, logged
     n = todo.count()
     if n:
         lake.append_with_inputs(convert(todo), todo, root)

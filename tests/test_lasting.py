@@ -81,3 +81,23 @@ def test_one_of_many_makes_a_file(spark):
             won = list(pool.map(lambda n, k=k: n if made_new(spark, f"{path}/{k}", str(n)) else None, range(8)))
         won = [n for n in won if n is not None]
         assert len(won) == 1 and open(f"{path.removeprefix('file://')}/{k}").read() == str(won[0])
+
+
+def test_pending_files_are_looked_up_once(spark):
+    """Counting, converting and logging read one table of pending files."""
+    from pyspark.sql import functions as F
+
+    from framelake.plans import incremental
+    from framelake.shared import shared_path
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    files = spark.range(40).select(F.col("id").cast("string").alias("path"), F.col("id").alias("length"), F.lit(1).cast("long").alias("modified")).mapInArrow(look, incremental.FILE)
+    root = shared_path(spark, "once")
+    assert incremental.run(files, root, lambda todo: todo.select("length")) == 40 and seen.value == 40
+    assert incremental.run(files, root, lambda todo: todo.select("length")) == 0
